@@ -1,8 +1,9 @@
 """Posterior draws and poststratification (SURVEY §2.10 M6-M10, J13, J16,
 G8, G9, A10, A14, F35, F36).
 
-Plan shape (§4.3.1): strata x draws is a broadcast cross product (the draw
-table has ``n_draws`` rows, a parameter, so its size is bounded), the three
+Plan shape (§4.3.1): strata x draws repeats each stratum once per draw id
+and joins the draw table on the id (broadcast hash join; the draw table has
+``n_draws`` rows, a bounded parameter; no cross join), the three
 stage probabilities sit in one row so the product is made once, and
 ``groupBy(area, draw)`` combines partial sums map-side, collapsing strata x
 draws to areas x draws before the shuffle. Quantiles then run over at most
@@ -68,21 +69,35 @@ def linear_predictor(draws: DataFrame, design: dict[str, Column]) -> Column:
     return e
 
 
+def with_draws(strata: DataFrame, draws: DataFrame, n_draws: int | None = None) -> DataFrame:
+    """J13 without a cross join: each stratum row is repeated once per draw
+    id (``explode(sequence)``) and the draw table (``n_draws`` rows, a
+    bounded parameter) is joined on the id as a broadcast hash join."""
+    n = int(n_draws) if n_draws is not None else int(draws.agg(F.max("draw")).first()[0])
+    if n > MAX_BROADCAST_DRAWS:
+        raise ValueError(f"n_draws={n} exceeds the broadcast bound {MAX_BROADCAST_DRAWS}")
+    rep = strata.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    return rep.join(F.broadcast(draws), "draw")
+
+
 def cell_draws(strata: DataFrame, draws: DataFrame, design: dict[str, Column],
                out_col: str = "p", re_sd: dict[str, float] | None = None,
-               stratum_key: Sequence[str] = (), re_mode: str = "cell",
-               seed: int = 7, keep: Sequence[str] | None = None) -> DataFrame:
+               stratum_key: Sequence = (), re_mode: str = "level",
+               seed: int = 7, keep: Sequence[str] | None = None, n_draws: int | None = None) -> DataFrame:
     """M6: probability per (stratum, draw).
 
     ``re_mode='cell'`` (the reference, Q1): one independent normal per cell
     and draw with variance = sum of the factors' variances.
-    ``re_mode='level'``: one normal per (factor, level, draw) shared by every
-    cell of that level; computed from the hash of the level value, so no
-    join is needed.
+    ``re_mode='level'`` (default): one normal per (factor, level, draw)
+    shared by every cell of that level; computed from the hash of the level
+    value, so no join is needed.
     """
     keep = list(keep) if keep is not None else strata.columns
-    j = strata.crossJoin(F.broadcast(draws))
-    lp = linear_predictor(draws, design)
+    j = with_draws(strata, draws, n_draws)
+    lp = None
+    for term, x in design.items():
+        part = F.col(term) * x
+        lp = part if lp is None else lp + part
     re_sd = {g: s for g, s in (re_sd or {}).items() if s is not None and s > 0}
     if re_sd:
         if re_mode == "cell":
@@ -93,7 +108,7 @@ def cell_draws(strata: DataFrame, draws: DataFrame, design: dict[str, Column],
                 lp = lp + F.lit(s) * normal(seed, F.lit(g), F.col(g), "draw")
         else:
             raise ValueError(re_mode)
-    return j.select(*[strata[c] for c in keep], draws["draw"], inv_logit(lp).alias(out_col))
+    return j.select(*keep, "draw", inv_logit(lp).alias(out_col))
 
 
 def stage_shares(p_turnout: Column, p_first: Column, p_second: Column,

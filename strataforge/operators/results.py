@@ -49,7 +49,11 @@ def wide_by_key(long: DataFrame, seat: str, key: str, values: dict[str, str],
     if keys is None:
         keys = sorted(r[0] for r in long.select(key).distinct().collect())  # the key list, not the rows
     aggs = [F.first(F.col(src), ignorenulls=True).alias(name) for name, src in values.items()]
-    return long.groupBy(seat).pivot(key, list(keys)).agg(*aggs)
+    wide = long.groupBy(seat).pivot(key, list(keys)).agg(*aggs)
+    if len(values) == 1:   # Spark names a single measure by the key alone
+        name = next(iter(values))
+        wide = wide.withColumnsRenamed({str(k): f"{k}_{name}" for k in keys})
+    return wide
 
 
 def unpivot_by_suffix(wide: DataFrame, ids: Sequence[str], suffix: str, key: str = "party",
