@@ -27,32 +27,63 @@ def _as_col(k) -> Column:
     return F.lit(str(k))
 
 
+def _digest(seed, *keys) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[_as_col(k) for k in keys]))
+
+
+def _bits_to_unit(h: Column, part: int) -> Column:
+    """Hex digits [13*part+1, 13*part+13] of a digest -> (0, 1)."""
+    bits = F.conv(F.substring(h, HEX_DIGITS * part + 1, HEX_DIGITS), 16, 10).cast("bigint")
+    return (bits.cast("double") + F.lit(0.5)) / F.lit(TWO_POW_52)
+
+
 def uniform(seed, *keys) -> Column:
     """u(seed, keys) in (0, 1); strings name columns, Columns are used as is,
     other values become literals."""
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[_as_col(k) for k in keys]))
-    bits = F.conv(F.substring(h, 1, HEX_DIGITS), 16, 10).cast("bigint")
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(TWO_POW_52)
+    return _bits_to_unit(_digest(seed, *keys), 0)
+
+
+def normal_pair(seed, *keys) -> tuple[Column, Column]:
+    """Two independent standard normals (Box-Muller, cos and sin) from the
+    two 52-bit uniforms of ONE digest; Catalyst evaluates the shared digest
+    once per row."""
+    h = _digest(seed, *keys)
+    u1, u2 = _bits_to_unit(h, 0), _bits_to_unit(h, 1)
+    r = F.sqrt(F.lit(-2.0) * F.log(u1))
+    a = F.lit(2.0 * math.pi) * u2
+    return r * F.cos(a), r * F.sin(a)
 
 
 def normal(seed, *keys) -> Column:
-    """Standard normal by Box-Muller from two independent keyed uniforms."""
-    u1 = uniform(seed, F.lit("z1"), *keys)
-    u2 = uniform(seed, F.lit("z2"), *keys)
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+    """Standard normal by Box-Muller from one keyed digest."""
+    return normal_pair(seed, *keys)[0]
 
 
-def uniform_sql(seed, *key_sql: str) -> str:
-    """The same draw as DuckDB SQL text (for oracle queries)."""
+def _digest_sql(seed, *key_sql: str) -> str:
     parts = ", ".join([f"'{seed}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
-    return (f"((CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, {HEX_DIGITS})) AS BIGINT)"
+    return f"md5(concat_ws('|', {parts}))"
+
+
+def _unit_sql(digest: str, part: int) -> str:
+    return (f"((CAST(('0x' || substr({digest}, {HEX_DIGITS * part + 1}, {HEX_DIGITS})) AS BIGINT)"
             f" + 0.5::DOUBLE) / {TWO_POW_52!r}::DOUBLE)")
 
 
+def uniform_sql(seed, *key_sql: str) -> str:
+    """The same draw as DuckDB SQL text (for oracle queries)."""
+    return _unit_sql(_digest_sql(seed, *key_sql), 0)
+
+
+def normal_pair_sql(seed, *key_sql: str) -> tuple[str, str]:
+    h = _digest_sql(seed, *key_sql)
+    u1, u2 = _unit_sql(h, 0), _unit_sql(h, 1)
+    r = f"sqrt(-2.0::DOUBLE * ln({u1}))"
+    a = f"({2.0 * math.pi!r}::DOUBLE * {u2})"
+    return f"({r} * cos({a}))", f"({r} * sin({a}))"
+
+
 def normal_sql(seed, *key_sql: str) -> str:
-    u1 = uniform_sql(seed, "'z1'", *key_sql)
-    u2 = uniform_sql(seed, "'z2'", *key_sql)
-    return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos({2.0 * math.pi!r}::DOUBLE * {u2}))"
+    return normal_pair_sql(seed, *key_sql)[0]
 
 
 def dlit(x: float) -> str:

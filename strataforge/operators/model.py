@@ -90,6 +90,7 @@ class Fit:
     iterations: int = 0
     converged: bool = True
     fallback_cov: bool = False
+    singular: bool = False
 
     def coefficient_table(self, spark: SparkSession) -> DataFrame:
         """One row per fixed effect (mean, sd) and per random
@@ -114,7 +115,7 @@ def _design_indices(factors, levels):
 
 def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], covariate: str,
               max_iter: int = 200, tol: float = 1e-6, fixed_precision: float = 1e-4,
-              prior_a: float = 1e-3, prior_b: float = 1e-3) -> Fit:
+              prior_a: float = 1e-3, prior_b: float = 1e-3, min_variance: float = 1e-4) -> Fit:
     """M1 / M2: logit P = b0 + b1 x + sum_g a_g[level], a_g ~ N(0, s_g^2).
 
     Levels of each factor are listed once (a factor's level list is small);
@@ -144,7 +145,7 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
     m = np.zeros(P)
     V = np.eye(P)
     sc = spark.sparkContext
-    converged = False
+    converged = singular = False
     it = 0
     for it in range(1, max_iter + 1):
         bm, bV = sc.broadcast(m), sc.broadcast(V)
@@ -200,10 +201,15 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
         if delta < tol:
             converged = True
             break
+        if all(1.0 / t < min_variance for t in tau.values()):
+            singular = True   # every variance has collapsed: no group structure to fit
+            break
     variances = {g: 1.0 / tau[g] for g in factors}
     level_means = {g: m[offsets[g]:offsets[g] + len(levels[g])] for g in factors}
-    return Fit("mixed" if len(factors) > 1 else "mixed_area", ["(Intercept)", covariate], m[:2].copy(),
-               V[:2, :2].copy(), variances, levels, level_means, it, converged)
+    fit = Fit("mixed" if len(factors) > 1 else "mixed_area", ["(Intercept)", covariate], m[:2].copy(),
+              V[:2, :2].copy(), variances, levels, level_means, it, converged)
+    fit.singular = singular
+    return fit
 
 
 def fit_glm(spark: SparkSession, cell_df: DataFrame, covariate: str, max_iter: int = 50) -> Fit:
@@ -241,9 +247,9 @@ def fit_with_fallback(spark: SparkSession, cell_df: DataFrame, factors: Sequence
             f = fit_mixed(spark, cell_df, fs, covariate, **kw)
         except Exception:  # noqa: BLE001 - numerical failure -> next model
             continue
+        if f.singular or all(v < min_variance for v in f.variances.values()):
+            break          # singular -> plain model, as a singular mixed fit is dropped
         if not f.converged:
             continue
-        if all(v < min_variance for v in f.variances.values()):
-            break
         return f
     return fit_glm(spark, cell_df, covariate)

@@ -76,7 +76,12 @@ def with_draws(strata: DataFrame, draws: DataFrame, n_draws: int | None = None)
     n = int(n_draws) if n_draws is not None else int(draws.agg(F.max("draw")).first()[0])
     if n > MAX_BROADCAST_DRAWS:
         raise ValueError(f"n_draws={n} exceeds the broadcast bound {MAX_BROADCAST_DRAWS}")
-    rep = strata.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    # The strata table is small in bytes, so AQE may have coalesced it into
+    # very few partitions; the explode multiplies its rows by n. Spread it
+    # first (an explicit repartition(n) is never coalesced by AQE).
+    spark = strata.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rep = strata.repartition(parts).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
     return rep.join(F.broadcast(draws), "draw")
 
 

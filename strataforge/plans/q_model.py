@@ -8,13 +8,13 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strataforge.functions import numeric as N
-from strataforge.functions.bins import band_order
-from strataforge.functions.hashing import dlit, normal, normal_sql
+from strataforge.functions.hashing import dlit, normal_pair, normal_pair_sql, normal_sql
 from strataforge.operators import frame, model, poststrat, results, sampling
 from strataforge.plans import q_results
 from strataforge.plans.catalogue import register, r6, cte
 from strataforge.plans.derived import roll, survey, SURVEY_SQL, ROLL_SQL
-from strataforge.plans.q_frame import draws_sql, AGE_BAND_SQL
+from strataforge.plans.q_frame import draws_sql
+from strataforge.session import ensure_checkpoint_dir
 
 # Fixed parameters: seeds of the survey labels, draw counts, stage
 # coefficients (intercept, covariate) with their covariances, and the
@@ -36,7 +36,10 @@ FACTORS = ("constituency_name", "gender", "age_band", "area_type", "R", "G")
 
 def past(spark, sf_dir, drop_seats=()):
     """Past result per seat from RESULT buckets (seats with number % 6 == 0
-    have no NDA or other votes, so NDA_cond is 0/0 -> 0.5)."""
+    have no NDA or other votes, so NDA_cond is 0/0 -> 0.5). The per-seat
+    table is checkpointed once (one row per seat): the z-score and median
+    statistics then read it instead of re-running the result join."""
+    ensure_checkpoint_dir(spark)
     bl = q_results.bucket_long(spark, sf_dir)
     w = results.wide_by_key(bl, "constituency", "bucket", {"v": "total_votes"}, keys=q_results.BUCKETS)
     k = F.regexp_extract("constituency", r"(\d+)", 1).cast("int")
@@ -47,6 +50,7 @@ def past(spark, sf_dir, drop_seats=()):
                  F.when(zero, 0.0).otherwise(F.col("Other_v").cast("double")).alias("other_votes"))
     for s in drop_seats:
         w = w.where(F.col("constituency_name") != s)
+    w = w.checkpoint(eager=True)
     tot = F.col("aitc_votes") + F.col("nda_votes") + F.col("other_votes")
     w = w.withColumn("total_votes", tot).select(
         "constituency_name", "total_votes",
@@ -54,9 +58,10 @@ def past(spark, sf_dir, drop_seats=()):
         (F.col("other_votes") / tot).alias("OTHER_2021"))
     w = w.withColumn("NDA_cond_2021", N.safe_ratio(F.col("NDA_2021"), F.col("NDA_2021") + F.col("OTHER_2021"), 0.5))
     w = model.max_normalise(w, "total_votes", "turnout_2021")
+    w = w.checkpoint(eager=True)
     for c in ("AITC_2021", "NDA_cond_2021", "turnout_2021"):
         w = model.zscore(w, c, f"{c}_z")
-    return w
+    return w.checkpoint(eager=True)
 
 
 def past_sql(drop=()) -> dict:
@@ -250,10 +255,12 @@ def three_stage_cells(spark, sf_dir):
     sd = float(np.sqrt(sum(v * v for v in RE_SD.values())))
     cov_of = {"t": "turnout_2021_z", "a": "AITC_2021_z", "n": "NDA_cond_2021_z"}
     j = poststrat.with_draws(st, draws, FORECAST_DRAWS)
+    z1, z2 = normal_pair(NOISE_SEED, *_noise_key(), "draw")
+    z3, _ = normal_pair(NOISE_SEED + 1, *_noise_key(), "draw")
+    noise = {"t": z1, "a": z2, "n": z3}
     ps = {}
     for k in ("t", "a", "n"):
-        lp = (F.col(f"{k}0") + F.col(f"{k}1") * F.col(cov_of[k])
-              + F.lit(sd) * normal(NOISE_SEED + ord(k), *_noise_key(), "draw"))
+        lp = F.col(f"{k}0") + F.col(f"{k}1") * F.col(cov_of[k]) + F.lit(sd) * noise[k]
         ps[k] = N.inv_logit(lp)
     shares = poststrat.stage_shares(ps["t"], ps["a"], ps["n"], "population")
     return j.select("eroll_no", "constituency_name", "n_individuals", "draw", *FRAME_KEY_COLS[1:],
@@ -273,9 +280,12 @@ def _cells_sql() -> dict:
         d[f"d{k}"] = draws_sql([f"{k}0", f"{k}1"], mean, cov, FORECAST_DRAWS, seed)
     sd = float(np.sqrt(sum(v * v for v in RE_SD.values())))
     key = _noise_key_sql()
+    z1, z2 = normal_pair_sql(NOISE_SEED, *key, "r.draw")
+    z3, _ = normal_pair_sql(NOISE_SEED + 1, *key, "r.draw")
+    noise = {"t": z1, "a": z2, "n": z3}
     lp = {}
     for k, c in (("t", "turnout_2021_z"), ("a", "AITC_2021_z"), ("n", "NDA_cond_2021_z")):
-        z = normal_sql(NOISE_SEED + ord(k), *key, "r.draw")
+        z = noise[k]
         lp[k] = f"1.0::DOUBLE / (1.0::DOUBLE + exp(-(d{k}.{k}0 + d{k}.{k}1 * {c} + {dlit(sd)} * {z})))"
     d["cl0"] = f"""SELECT r.*, {lp['t']} AS p_t, {lp['a']} AS p_a, {lp['n']} AS p_n
         FROM (SELECT sfx.*, CAST(g.draw AS INTEGER) AS draw FROM sfx, range(1, {FORECAST_DRAWS + 1}) g(draw)) r
