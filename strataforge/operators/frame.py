@@ -102,6 +102,20 @@ def booth_weights(rows: DataFrame, area: str = "eroll_no", booth: str = "booth_n
             .select(area, booth, "booth_weight"))
 
 
+def booth_table(rows: DataFrame, area: str = "eroll_no", booth: str = "booth_no",
+                total: str = "total_individuals", area_type: str = "area_type",
+                order_col: str = "voter_id") -> DataFrame:
+    """A2 + A3 + W1 + W2 in ONE aggregate pass over the rows: per booth the
+    area-type mode (ties -> smallest), the first non-null head count (rows
+    with a null count have a null ordering key, which ``min_by`` skips) and
+    the booth's share of the area's summed counts. Null keys are dropped."""
+    b = (rows.where(F.col(area).isNotNull() & F.col(booth).isNotNull())
+             .groupBy(area, booth)
+             .agg(F.mode(area_type, deterministic=True).alias("__mode"),
+                  F.min_by(F.col(total), F.when(F.col(total).isNotNull(), F.col(order_col))).alias("__first")))
+    return with_group_share(b, area, "__first", "booth_weight").drop("__first")
+
+
 def stratification_frame(rows: DataFrame,
                          strata=("eroll_no", "constituency_name", "gender", "age_band",
                                  "area_type", "R", "G", "SG"),
@@ -112,19 +126,19 @@ def stratification_frame(rows: DataFrame,
     """Entry A (§3.1): labelled voter rows to strata with counts, booth-
     weighted size and share of the area.
 
-    Steps: age bands (F16) -> area type filled from booth mode (J2) -> booth
-    weight (A2, W1, W2) joined on (J3) -> roll-up keeping null keys (A1) ->
-    share of area (W2) -> ordered by area asc, share desc (O1).
+    Steps: age bands (F16) -> booth table (mode, first head count, weight)
+    from one aggregate -> joined back: area type filled (J2), weight attached
+    (J3) -> roll-up keeping null keys (A1) -> share of area (W2). The rows
+    are read twice (booth aggregate, roll-up); ordering (O1) is left to the
+    sink.
     """
     strata = list(strata)
+    bt = booth_table(rows, area, booth, total, area_type, order_col) \
+        .select(F.col(area).alias("__a"), F.col(booth).alias("__b"), "__mode", "booth_weight")
     df = rows.withColumn("age_band", right_closed_bins(F.col(age), include_lowest=include_lowest))
-    df = fill_from_group_mode(df, [area, booth], area_type)
-    w = booth_weights(df, area, booth, total, order_col) \
-        .select(F.col(area).alias("__a"), F.col(booth).alias("__b"), "booth_weight")
-    df = df.join(w, (F.col(area) == F.col("__a")) & (F.col(booth) == F.col("__b")), "left") \
-           .drop("__a", "__b")
+    df = df.join(bt, (F.col(area) == F.col("__a")) & (F.col(booth) == F.col("__b")), "left")
+    df = df.withColumn(area_type, F.coalesce(F.col(area_type), F.col("__mode"))).drop("__a", "__b", "__mode")
     frame = (df.groupBy(*strata)
                .agg(F.count("booth_weight").alias("n_individuals"),
                     F.coalesce(F.sum("booth_weight"), F.lit(0.0)).alias("weighted_n")))
-    frame = with_group_share(frame, area, "weighted_n", "stratum_share")
-    return frame
+    return with_group_share(frame, area, "weighted_n", "stratum_share")

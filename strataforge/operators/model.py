@@ -87,11 +87,19 @@ class Fit:
     variances: dict = field(default_factory=dict)
     levels: dict = field(default_factory=dict)
     level_means: dict = field(default_factory=dict)
+    level_sds: dict = field(default_factory=dict)
     iterations: int = 0
     converged: bool = True
     fallback_cov: bool = False
     singular: bool = False
 
+    def level_table(self, spark: SparkSession, factor: str) -> DataFrame:
+        """Fitted effect per level of one factor (mean, posterior sd); a
+        factor's level list is small, so this table is broadcastable."""
+        rows = [(str(v), float(self.level_means[factor][i]), float(self.level_sds[factor][i]))
+                for i, v in enumerate(self.levels.get(factor, []))]
+        return spark.createDataFrame(rows, "level string, m double, s double")
+
     def coefficient_table(self, spark: SparkSession) -> DataFrame:
         """One row per fixed effect (mean, sd) and per random
         level (mean), plus the variance of each grouping factor."""
@@ -123,6 +131,7 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
     pass rereads the same collapsed table."""
     factors = list(factors)
     ensure_checkpoint_dir(spark)
+    cell_df = cell_df.checkpoint(eager=True)     # the collapsed survey, read once per pass
     levels = {g: [r[0] for r in cell_df.select(g).distinct().orderBy(g).collect()] for g in factors}
     offsets, P = _design_indices(factors, levels)
     lvl_maps = {g: F.create_map(*[x for i, v in enumerate(levels[g]) for x in (F.lit(v), F.lit(offsets[g] + i))])
@@ -206,8 +215,10 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
             break
     variances = {g: 1.0 / tau[g] for g in factors}
     level_means = {g: m[offsets[g]:offsets[g] + len(levels[g])] for g in factors}
+    dv = np.sqrt(np.maximum(np.diag(V), 0.0))
+    level_sds = {g: dv[offsets[g]:offsets[g] + len(levels[g])] for g in factors}
     fit = Fit("mixed" if len(factors) > 1 else "mixed_area", ["(Intercept)", covariate], m[:2].copy(),
-              V[:2, :2].copy(), variances, levels, level_means, it, converged)
+              V[:2, :2].copy(), variances, levels, level_means, level_sds, it, converged)
     fit.singular = singular
     return fit
 

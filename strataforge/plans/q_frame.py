@@ -162,7 +162,8 @@ STRAT_FRAME_SQL = cte(
 def stratification_frame(spark, sf_dir):
     """Entry A as one lazy plan."""
     fr = frame.stratification_frame(roll(spark, sf_dir))
-    return fr.select(*[r6(c).alias(c) if c in ("weighted_n", "stratum_share") else c for c in fr.columns])
+    out = fr.select(*[r6(c).alias(c) if c in ("weighted_n", "stratum_share") else c for c in fr.columns])
+    return out.orderBy("eroll_no", F.desc("stratum_share"))   # O1 at the sink
 
 
 def seat_dim(spark, sf_dir):

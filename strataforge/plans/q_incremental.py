@@ -217,3 +217,22 @@ def text_table_scan(spark, sf_dir):
       .option("ignoreTrailingWhiteSpace", False).csv(path))
     names = ["﻿voter_id ", " gender", "age"]
     return io.read_text_table(spark, path, names)
+
+
+def _sharded_sql() -> str:
+    from strataforge.plans.q_sampling import _DEDUPE_SQL, KEY_SQL
+    return _DEDUPE_SQL + f""", ch AS (SELECT {KEY_SQL} AS stratum_key, dup_count,
+        CAST(ntile(4) OVER (ORDER BY {KEY_SQL}) + 8 AS INTEGER) AS chunk FROM dd)
+SELECT chunk, count(*) AS n_rows, CAST(sum(dup_count) AS BIGINT) AS n_people FROM ch GROUP BY chunk"""
+
+
+@register("sharded_sink", _sharded_sql())
+def sharded_sink(spark, sf_dir):
+    """Deduplicated sample cut into 4 near-equal shards numbered from
+    9, written one folder per shard (CSV with header), read back per shard."""
+    from strataforge.plans.q_sampling import chunks
+    c = chunks(spark, sf_dir)
+    path = io.scratch_dir(spark, "shards")
+    io.write_partitioned(c, path, ["chunk"])
+    back = (spark.read.schema("stratum_key string, dup_count int, chunk int").option("header", True).csv(path))
+    return back.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("dup_count").cast("bigint").alias("n_people"))

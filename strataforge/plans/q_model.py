@@ -372,3 +372,93 @@ def seat_forecast(spark, sf_dir):
     median and 95 % interval, medians rescaled to 100, winner, swing against
     the past result, margin and the surveyed flag; fixed coefficients."""
     return seat_forecast_from_cells(spark, sf_dir, three_stage_cells(spark, sf_dir))
+
+
+# ----------------------------------------------------------- end to end
+
+STAGES = (("t", "voted", "turnout_2021_z"), ("a", "voted_AITC", "AITC_2021_z"), ("n", "voted_NDA_cond", "NDA_cond_2021_z"))
+MRP_DRAWS = 200
+MRP_SEED = 3030
+
+
+def stage_fits(spark, sf_dir, factors=FACTORS):
+    """M7: turnout on all rows, first party among voters, second party among
+    voters not choosing the first; each stage filters its own rows and runs
+    the M4 chain on its cells. The labelled survey is materialised once."""
+    s = labelled_survey(spark, sf_dir).checkpoint(eager=True)
+    fits = {}
+    for k, outcome, cov in STAGES:
+        c = model.cells(s, outcome, list(factors), [cov])
+        fits[k] = model.fit_with_fallback(spark, c, list(factors), "constituency_name", cov)
+    return fits
+
+
+def level_effects(spark, st, fits, g, n_draws, seed):
+    """Random effect of every level of factor ``g`` in every draw for the
+    three stages: fitted mean + posterior sd x normal, or N(0, s_g^2) for a
+    level the survey never saw. One row per (level, draw): levels x draws,
+    bounded by the factor's level list and the draw count, so it is
+    broadcast; no per-cell hashing."""
+    lv = st.select(F.col(g).alias("level")).distinct()
+    cols = []
+    for i, (k, _, _) in enumerate(STAGES):
+        f = fits[k]
+        if g not in f.variances:
+            cols.append(F.lit(0.0).alias(f"e_{k}"))
+            continue
+        lt = f.level_table(spark, g).select("level", F.col("m").alias(f"m_{k}"), F.col("s").alias(f"s_{k}"))
+        lv = lv.join(F.broadcast(lt), "level", "left")
+        z = normal_pair(seed + 100 + 10 * i, F.lit(g), F.col("level"), "draw")[0]
+        sd_unseen = float(np.sqrt(f.variances[g]))
+        cols.append((F.coalesce(F.col(f"m_{k}"), F.lit(0.0)) + F.coalesce(F.col(f"s_{k}"), F.lit(sd_unseen)) * z)
+                    .alias(f"e_{k}"))
+    eff = lv.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n_draws)))).select(
+        F.col("level").alias(g), "draw", *cols)
+    return eff.select(g, "draw", *[F.col(f"e_{k}").alias(f"e_{k}_{g}") for k, _, _ in STAGES])
+
+
+def mrp_cells(spark, sf_dir, fits, n_draws=MRP_DRAWS, re_mode="level", seed=MRP_SEED):
+    """M6 for the three fitted stages: fixed-effect draws from each fit's
+    posterior (G8), random effects either shared per level (``level``:
+    fitted mean + posterior sd, unseen levels N(0, s_g^2); one small table
+    per factor joined on (level, draw)) or, as the reference, one cell-level
+    normal with the summed variances (``cell``, Q1)."""
+    st = _frame_strata(spark, sf_dir)
+    for g in FACTORS:
+        st = st.withColumn(g, F.col(g).cast("string"))
+    st = st.checkpoint(eager=True)
+    draws = None
+    for i, (k, _, _) in enumerate(STAGES):
+        f = fits[k]
+        d = poststrat.coefficient_draws(spark, [f"{k}0", f"{k}1"], f.mean, f.cov, n_draws, seed + i)
+        draws = d if draws is None else draws.join(d, "draw")
+    j = poststrat.with_draws(st, draws, n_draws)
+    lp = {k: F.col(f"{k}0") + F.col(f"{k}1") * F.col(cov) for k, _, cov in STAGES}
+    if re_mode == "level":
+        for g in FACTORS:
+            if not any(g in fits[k].variances for k, _, _ in STAGES):
+                continue
+            eff = level_effects(spark, st, fits, g, n_draws, seed)
+            j = j.join(F.broadcast(eff), [g, "draw"], "left")
+            lp = {k: e + F.coalesce(F.col(f"e_{k}_{g}"), F.lit(0.0)) for k, e in lp.items()}
+    else:
+        key = _noise_key()
+        for i, (k, _, _) in enumerate(STAGES):
+            if fits[k].variances:
+                sd = float(np.sqrt(sum(fits[k].variances.values())))
+                lp[k] = lp[k] + F.lit(sd) * normal_pair(seed + 100 + 10 * i, *key, "draw")[0]
+    ps = {k: N.inv_logit(e) for k, e in lp.items()}
+    shares = poststrat.stage_shares(ps["t"], ps["a"], ps["n"], "population")
+    return j.select("constituency_name", "n_individuals", "draw", *[v.alias(k) for k, v in shares.items()])
+
+
+@register("mrp_forecast")
+def mrp_forecast(spark, sf_dir):
+    """Entry C end to end (M7 + M6 + M9): three fitted stages on the survey,
+    posterior draws poststratified over the roll frame, seat table with
+    intervals, winner, swing and surveyed flag. Rows only (model fits are
+    iterative)."""
+    fits = stage_fits(spark, sf_dir)
+    out = seat_forecast_from_cells(spark, sf_dir, mrp_cells(spark, sf_dir, fits))
+    types = [(k, fits[k].model_type) for k, _, _ in STAGES]
+    return out.withColumn("models", F.lit(",".join(f"{k}:{t}" for k, t in types)))
