@@ -50,11 +50,13 @@ def max_normalise(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def median_fill(df: DataFrame, cols: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """Nulls take the column median of ``source`` (default: ``df``)."""
+    from strataforge.operators.sampling import exact_quantiles
+
     src = source if source is not None else df
     out = df
     for c in cols:
-        med = src.select(F.percentile(c, 0.5)).scalar()
-        out = out.withColumn(c, F.coalesce(F.col(c), med))
+        med = exact_quantiles(src, c, [0.5])[0]      # distributed exact median, one number back
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(med).cast("double")))
     return out
 
 

@@ -1,10 +1,10 @@
 """Profiling and set operators (SURVEY §2.4 A5-A9, A11, A18, A19, A21,
 A24-A28; §2.7 U1-U5; F38).
 
-All are single aggregations that combine map-side. Exact quantiles use
-``percentile``, whose buffer is a value -> count map (memory grows with the
-number of distinct values, not rows); ``approx=True`` switches to
-``percentile_approx`` for high-cardinality columns at scale.
+All are single aggregations that combine map-side. Whole-column exact
+quantiles are computed from distributed global ranks (a global
+``percentile`` would merge every distinct value in one task);
+``approx=True`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -24,18 +24,22 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """One row per column: count, mean, sample sd, min, quartiles
-    (linear interpolation), max."""
+    (linear interpolation), max. Quartiles are exact and distributed
+    (``sampling.exact_quantiles``: global ranks, no single-task merge of all
+    distinct values); ``approx=True`` uses ``percentile_approx`` instead."""
+    from strataforge.operators.sampling import exact_quantiles
+
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
-             else F.percentile(x, [0.25, 0.5, 0.75]))
+        if approx:
+            q = F.percentile_approx(x, [0.25, 0.5, 0.75], 100000)
+        else:
+            q = F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, c, [0.25, 0.5, 0.75])])
         parts.append(df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                            F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                            q.alias("__q"), F.max(x).alias("max"))
+                            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
                      .select(F.lit(c).alias("column"), "count", "mean", "std", "min",
-                             F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"),
-                             F.col("__q")[2].alias("p75"), "max"))
+                             q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -85,7 +85,7 @@ def bucket_rollup(collapsed: DataFrame, bucket_of: Column, buckets: Sequence[str
                      F.when((F.col("__top.v") == 0) | F.col("__top.c").isNull(), F.lit(""))
                       .otherwise(F.col("__top.c")).alias("candidate"))
     seats = collapsed.select(seat).distinct()
-    grid = seats.crossJoin(F.broadcast(collapsed.sparkSession.createDataFrame([(b,) for b in buckets], "bucket string")))
+    grid = seats.withColumn("bucket", F.explode(F.array(*[F.lit(b) for b in buckets])))
     return (grid.join(agg, [seat, "bucket"], "left")
                 .select(seat, "bucket", F.coalesce("candidate", F.lit("")).alias("candidate"),
                         F.coalesce("total_votes", F.lit(0).cast("bigint")).alias("total_votes"),
@@ -101,8 +101,8 @@ def winner_of(names: Sequence[str], cols: Sequence[str]) -> Column:
 def seat_counts(df: DataFrame, winner: str = "winner", total_label: str = "TOTAL") -> DataFrame:
     """Seats per winner with share, plus a TOTAL line (``rollup``)."""
     g = df.rollup(winner).agg(F.count(F.lit(1)).alias("seats"), F.grouping_id().alias("__g"))
-    tot = g.where(F.col("__g") == 1).select(F.col("seats").alias("__all"))
-    return (g.crossJoin(F.broadcast(tot))
+    tot = df.select(F.count(F.lit(1)).alias("__all")).scalar()
+    return (g.withColumn("__all", tot)
              .select(F.when(F.col("__g") == 1, F.lit(total_label)).otherwise(F.col(winner)).alias(winner),
                      "seats", F.round(F.col("seats") * 100.0 / F.col("__all"), 2).alias("share")))
 
@@ -143,5 +143,5 @@ def class_share(df: DataFrame, text: str, pattern: str, out: str = "class") -> D
     dropped), counts and share of the matched total."""
     x = df.select(F.regexp_extract(F.col(text), pattern, 1).alias(out)).where(F.col(out) != "")
     g = x.groupBy(out).agg(F.count(F.lit(1)).alias("n"))
-    tot = g.agg(F.sum("n").alias("__t"))
-    return g.crossJoin(F.broadcast(tot)).select(out, "n", (F.col("n") / F.col("__t")).alias("share"))
+    tot = g.select(F.sum("n")).scalar()
+    return g.select(out, "n", (F.col("n") / tot).alias("share"))

@@ -52,7 +52,7 @@ def categorical(probs: dict, seed, *keys) -> Column:
     return expr.otherwise(F.lit(list(ws)[-1]))
 
 
-def global_prefix(df: DataFrame, key: str, weight: str | None = None,
+def global_prefix(df: DataFrame, key, weight: str | None = None,
                   partitions: int | None = None) -> DataFrame:
     """Running sum of ``weight`` (or row number when no
     weight) in ``key`` order, as ``__lo`` (sum before the row) and ``__hi``
@@ -63,10 +63,11 @@ def global_prefix(df: DataFrame, key: str, weight: str | None = None,
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [key] if isinstance(key, str) else list(key)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    base = (df.withColumn("__w", w).repartitionByRange(p, F.col(key))
+    base = (df.withColumn("__w", w).repartitionByRange(p, *[F.col(k) for k in keys])
               .withColumn("__pid", F.spark_partition_id()))
-    run = Window.partitionBy("__pid").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy("__pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = base.withColumn("__cum", F.sum("__w").over(run)).checkpoint(eager=True)
     tot = local.groupBy("__pid").agg(F.max("__cum").alias("__tot"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -179,14 +180,14 @@ def chunk_ids(df: DataFrame, key: str, k: int, start: int = 0, out: str = "chunk
     N mod k one row longer; numbered from ``start``. Uses global row
     numbers from ``global_prefix``."""
     pre = global_prefix(df, key)
-    n_total = pre.agg(F.max("__hi").alias("__N"))
-    x = pre.crossJoin(F.broadcast(n_total))
+    n_total = pre.select(F.max("__hi").cast("bigint")).scalar()    # scalar subquery, no join
+    x = pre
     r = (F.col("__hi") - 1).cast("bigint")
-    q = (F.col("__N") / k).cast("bigint")
-    m = (F.col("__N") % k).cast("bigint")
+    q = (n_total / k).cast("bigint")
+    m = (n_total % k).cast("bigint")
     big = r < (q + 1) * m
     cid = F.when(big, F.floor(r / (q + 1))).otherwise(m + F.floor((r - (q + 1) * m) / q))
-    return x.withColumn(out, (cid + start).cast("int")).drop("__w", "__pid", "__lo", "__hi", "__N")
+    return x.withColumn(out, (cid + start).cast("int")).drop("__w", "__pid", "__lo", "__hi")
 
 
 def row_slice(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
@@ -195,3 +196,28 @@ def row_slice(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     r = (F.col("__hi") - 1).cast("bigint")
     return pre.where((r >= start) & (r < stop)).withColumn("row_pos", r) \
               .drop("__w", "__pid", "__lo", "__hi")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs) -> list:
+    """Exact linear-interpolation quantiles (R type 7, ``quantile_cont``)
+    of a whole column without a single-task aggregate: global ranks come
+    from ``global_prefix`` over (value, row id) -- the row id spreads a
+    heavily repeated value over several range partitions -- and only the
+    rows at the needed ranks (two per probability) reach the driver."""
+    import math as _m
+    x = (df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+           .withColumn("__tie", F.monotonically_increasing_id()))
+    pre = global_prefix(x, ["__v", "__tie"])
+    n = pre.agg(F.max("__hi")).first()[0]
+    if not n:
+        return [None for _ in probs]
+    n = int(n)
+    need = {}
+    for q in probs:
+        h = (n - 1) * float(q)
+        lo = int(_m.floor(h))
+        need[q] = (lo, min(lo + 1, n - 1), h - lo)
+    ranks = sorted({r for lo, hi, _ in need.values() for r in (lo, hi)})
+    got = {int(r["r"]): r["__v"] for r in
+           pre.select((F.col("__hi") - 1).cast("bigint").alias("r"), "__v").where(F.col("r").isin(ranks)).collect()}
+    return [got[lo] + d * (got[hi] - got[lo]) for lo, hi, d in (need[q] for q in probs)]

@@ -121,10 +121,18 @@ def test_glm_fallback_on_structureless_data(spark):
     assert abs(1 / (1 + math.exp(-fit.mean[0])) - 0.4) < 0.05
 
 
+def test_library_has_no_cross_join():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "strataforge"
+    offenders = [str(p) for p in root.rglob("*.py") if "crossJoin(" in p.read_text()]
+    assert offenders == []
+
+
 def test_plans_have_no_cartesian_product(spark):
     import __spark_entry__ as E
     qs = E.queries()
-    for name in ("poststrat_slice", "seat_forecast", "fuzzy_best_match", "stratification_frame"):
+    for name in ("poststrat_slice", "seat_forecast", "fuzzy_best_match", "stratification_frame", "weighted_sample",
+                 "bucket_rollup", "seat_totals", "chunks", "class_share", "record_blocks", "zscore"):
         plan = qs[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
