@@ -3,8 +3,9 @@ O1; lifecycle §3.1).
 
 Group totals are built as an aggregate joined back, not as a window over the
 raw rows: the aggregate combines map-side, so a key holding a third of all
-rows never lands in one task, and AQE turns the join into a broadcast when
-the totals are small (or splits a skewed partition when they are not).
+rows never lands in one task; the aggregate is broadcast after a row-count
+check (``joins.join_bounded``), so the rows are not shuffled for the join,
+and above the bound the shuffle join keeps AQE's skew splitting.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.functions.bins import right_closed_bins
+from strataforge.operators.joins import join_bounded
 
 
 def _cols(keys) -> list[str]:
@@ -28,7 +30,7 @@ def with_group_total(df: DataFrame, keys, value: str, total_col: str = "group_to
     totals = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]) \
                .agg(F.sum(value).alias(total_col))
     cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return df.join(totals, cond, "left").select(*df.columns, total_col)
+    return join_bounded(df, totals, cond, "left").select(*df.columns, total_col)
 
 
 def with_group_share(df: DataFrame, keys, value: str, share_col: str = "share",
@@ -59,7 +61,7 @@ def fill_from_group_mode(df: DataFrame, keys, value: str, fallback=None) -> Data
     if fallback is not None:
         filled = F.coalesce(filled, fallback if isinstance(fallback, Column) else F.lit(fallback))
     cols = [filled.alias(value) if c == value else F.col(c) for c in df.columns]
-    return df.join(modes, cond, "left").select(*cols)
+    return join_bounded(df, modes, cond, "left").select(*cols)
 
 
 def first_non_null(df: DataFrame, keys, value: str, order_col: str, out_col: str | None = None) -> DataFrame:
@@ -136,7 +138,7 @@ def stratification_frame(rows: DataFrame,
     bt = booth_table(rows, area, booth, total, area_type, order_col) \
         .select(F.col(area).alias("__a"), F.col(booth).alias("__b"), "__mode", "booth_weight")
     df = rows.withColumn("age_band", right_closed_bins(F.col(age), include_lowest=include_lowest))
-    df = df.join(bt, (F.col(area) == F.col("__a")) & (F.col(booth) == F.col("__b")), "left")
+    df = join_bounded(df, bt, (F.col(area) == F.col("__a")) & (F.col(booth) == F.col("__b")), "left")
     df = df.withColumn(area_type, F.coalesce(F.col(area_type), F.col("__mode"))).drop("__a", "__b", "__mode")
     frame = (df.groupBy(*strata)
                .agg(F.count("booth_weight").alias("n_individuals"),

@@ -63,7 +63,8 @@ def median_fill(df: DataFrame, cols: Sequence[str], source: DataFrame | None = N
 def attach_covariates(df: DataFrame, cov: DataFrame, key: str, fill_median: Sequence[str] = ()) -> DataFrame:
     """J4 + A12: left join area covariates (one row per area), then fill
     misses with the covariate medians."""
-    out = df.join(cov, key, "left")
+    from strataforge.operators.joins import join_bounded
+    out = join_bounded(df, cov, key, "left")
     return median_fill(out, list(fill_median), cov) if fill_median else out
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform
+from strataforge.operators.joins import join_bounded
 from strataforge.session import ensure_checkpoint_dir
 
 
@@ -132,11 +133,11 @@ def hash_rank(df: DataFrame, group, key: str, seed, target_rows: int = 1_000_000
     x = df.withColumn("__u", u)
     sizes = x.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.withColumn("__B", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(target_rows))).cast("int"))
-    x = x.join(sizes, group, "left").withColumn("__b", F.floor(F.col("__u") * F.col("__B")).cast("int"))
+    x = join_bounded(x, sizes, group, "left").withColumn("__b", F.floor(F.col("__u") * F.col("__B")).cast("int"))
     cnt = x.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__c"))
     wb = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(wb), F.lit(0))).drop("__c")
-    x = x.join(cnt, group + ["__b"], "left")
+    x = join_bounded(x, cnt, group + ["__b"], "left")
     wr = Window.partitionBy(*group, "__b").orderBy("__u", key)
     return x.withColumn("__rank", F.col("__off") + F.row_number().over(wr)).drop("__B", "__b", "__off")
 

@@ -58,10 +58,9 @@ def past(spark, sf_dir, drop_seats=()):
         (F.col("other_votes") / tot).alias("OTHER_2021"))
     w = w.withColumn("NDA_cond_2021", N.safe_ratio(F.col("NDA_2021"), F.col("NDA_2021") + F.col("OTHER_2021"), 0.5))
     w = model.max_normalise(w, "total_votes", "turnout_2021")
-    w = w.checkpoint(eager=True)
     for c in ("AITC_2021", "NDA_cond_2021", "turnout_2021"):
         w = model.zscore(w, c, f"{c}_z")
-    return w.checkpoint(eager=True)
+    return w
 
 
 def past_sql(drop=()) -> dict:
