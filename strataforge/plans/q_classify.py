@@ -65,8 +65,8 @@ def _docs(spark, sf_dir):
 
 @register("two_stage_classifier")
 def two_stage_classifier(spark, sf_dir):
-    """M11 stage 1 + G7 split + M14 held-out report (A20) + A22 loss per
-    iteration appended as rows ``loss_<i>``."""
+    """M11 stage 1 on ``text [SEP] source`` (F29) + G7 split + M14 held-out
+    report (A20) + A22 loss per iteration appended as rows ``loss_<i>``."""
     d = sampling.stratified_split(_docs(spark, sf_dir), "lang", "doc_id", SPLIT_SEED, 0.85)
     model = classify.train(d.where(F.col("split") == "train"), "features_text", "lang", LANG_VOCAB, "U")
     val = classify.score(model, d.where(F.col("split") == "validation"), LANG_VOCAB, out="pred", digits=None)

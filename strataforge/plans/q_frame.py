@@ -49,8 +49,8 @@ def slice_strata(spark, sf_dir):
 def poststrat_slice(spark, sf_dir):
     """Poststratified share per area with a 95 % interval from coefficient
     draws: strata (A1) -> share (W2) -> x draws (J13) -> linear predictor,
-    inverse logit (J16, F20) -> sum N p / sum N (A14) -> quantiles (A10) ->
-    winner (W8)."""
+    inverse logit (J16, F20) -> sum N p / sum N with both sums in one
+    aggregate (A14, J5) -> quantiles (A10) -> winner (W8)."""
     strata = slice_strata(spark, sf_dir)
     draws = poststrat.coefficient_draws(spark, SLICE_TERMS, SLICE_MEAN, SLICE_COV,
                                         SLICE_DRAWS, SLICE_SEED)
