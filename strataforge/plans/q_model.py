@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataforge.functions import numeric as N
 from strataforge.functions.hashing import dlit, normal_pair, normal_pair_sql, normal_sql
 from strataforge.operators import frame, model, poststrat, results, sampling
+from strataforge.operators.joins import join_bounded
 from strataforge.plans import q_results
 from strataforge.plans.catalogue import register, r6, cte
 from strataforge.plans.derived import roll, survey, SURVEY_SQL, ROLL_SQL
@@ -333,7 +334,7 @@ def seat_forecast_from_cells(spark, sf_dir, c):
                                      ["constituency_name", "choice"])
     wide = poststrat.seat_table(summ, "constituency_name", ["AITC", "NDA", "OTHER"])
     pastv = past(spark, sf_dir).select("constituency_name", "AITC_2021", "NDA_2021", "OTHER_2021")
-    wide = wide.join(F.broadcast(pastv), "constituency_name", "left")
+    wide = wide.join(pastv, "constituency_name", "left")     # both one row per seat; AQE sizes it
     surveyed = survey(spark, sf_dir).select(F.col("constituency_name").alias("__s")).distinct()
     wide = wide.join(surveyed, F.col("constituency_name") == F.col("__s"), "left") \
                .withColumn("surveyed", F.col("__s").isNotNull()).drop("__s")
@@ -406,7 +407,7 @@ def level_effects(spark, st, fits, g, n_draws, seed):
             cols.append(F.lit(0.0).alias(f"e_{k}"))
             continue
         lt = f.level_table(spark, g).select("level", F.col("m").alias(f"m_{k}"), F.col("s").alias(f"s_{k}"))
-        lv = lv.join(F.broadcast(lt), "level", "left")
+        lv = lv.join(F.broadcast(lt), "level", "left")   # the fit's level list: size known on the driver
         z = normal_pair(seed + 100 + 10 * i, F.lit(g), F.col("level"), "draw")[0]
         sd_unseen = float(np.sqrt(f.variances[g]))
         cols.append((F.coalesce(F.col(f"m_{k}"), F.lit(0.0)) + F.coalesce(F.col(f"s_{k}"), F.lit(sd_unseen)) * z)
@@ -438,7 +439,7 @@ def mrp_cells(spark, sf_dir, fits, n_draws=MRP_DRAWS, re_mode="level", seed=MRP_
             if not any(g in fits[k].variances for k, _, _ in STAGES):
                 continue
             eff = level_effects(spark, st, fits, g, n_draws, seed)
-            j = j.join(F.broadcast(eff), [g, "draw"], "left")
+            j = join_bounded(j, eff, [g, "draw"], "left")     # levels x draws, size checked
             lp = {k: e + F.coalesce(F.col(f"e_{k}_{g}"), F.lit(0.0)) for k, e in lp.items()}
     else:
         key = _noise_key()
