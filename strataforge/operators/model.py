@@ -126,7 +126,8 @@ def _design_indices(factors, levels):
 
 def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], covariate: str,
               max_iter: int = 200, tol: float = 1e-6, fixed_precision: float = 1e-4,
-              prior_a: float = 1e-3, prior_b: float = 1e-3, min_variance: float = 1e-4) -> Fit:
+              prior_a: float = 1e-3, prior_b: float = 1e-3, min_variance: float = 1e-4,
+              cells_per_task: int = 250_000) -> Fit:
     """M1 / M2: logit P = b0 + b1 x + sum_g a_g[level], a_g ~ N(0, s_g^2).
 
     Levels of each factor are listed once (a factor's level list is small);
@@ -140,7 +141,12 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
     lvl_maps = {g: F.create_map(*[x for i, v in enumerate(levels[g]) for x in (F.lit(v), F.lit(offsets[g] + i))])
                 for g in factors}
     idx_cols = [F.element_at(lvl_maps[g], F.col(g)).alias(f"__i{k}") for k, g in enumerate(factors)]
-    prepared = cell_df.select(F.col(covariate).cast("double").alias("__x"), "s", "n", *idx_cols).checkpoint(eager=True)
+    # cells are an aggregate (bounded by the strata count): size the pass by
+    # cells per task, not by the shuffle-partition default
+    n_cells = cell_df.count()
+    parts = max(1, -(-n_cells // cells_per_task))
+    prepared = (cell_df.select(F.col(covariate).cast("double").alias("__x"), "s", "n", *idx_cols)
+                       .repartition(parts).checkpoint(eager=True))
 
     K = len(factors)
     kappa = prepared.agg(F.sum(F.col("s") - F.col("n") / 2).alias("k0"),
