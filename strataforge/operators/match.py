@@ -5,11 +5,11 @@
 array higher-order functions, i.e. inside the JVM, one dynamic-programming
 row per character of ``a``.
 
-The best-match join (J10) never forms a cross product: a ratio >= t needs
-200 * min(la, lb) / (la + lb) >= t, so every name is compared only with
-candidates whose length lies in that band (an equi-join on length after
-exploding the allowed lengths). The candidate side is a name dimension; it
-is broadcast only when its row count is under ``broadcast_rows``.
+The best-match join (J10) never forms a cross product and never scores all
+pairs of a group: candidates come from exact prefix filtering on
+(character, occurrence) tokens ordered by rarity (see ``best_match``); only
+names whose bound is empty fall back to the length band
+200 * min(la, lb) / (la + lb) >= t.
 """
 
 from __future__ import annotations
@@ -61,31 +61,81 @@ def token_sort_ratio(a, b) -> Column:
     return indel_ratio(sort_tokens(a), sort_tokens(b))
 
 
+def _char_tokens(s: Column) -> Column:
+    """A string as the set of (character, occurrence number) tokens, so
+    multiset overlap becomes set overlap."""
+    chars = F.split(s, "")
+    return F.transform(chars, lambda c, i: F.concat(
+        c, F.lit("\u0001"), F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+
+
+def _min_overlap(length: Column, t: float) -> Column:
+    """Smallest LCS any partner in the length band needs: a ratio >= t with
+    lb >= la * t / (200 - t) means LCS >= t * la / (200 - t); LCS is an
+    integer, so its ceiling (a tiny epsilon keeps float error from raising
+    an exact integer)."""
+    return F.ceil(length * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
+
+
 def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: str,
-               threshold: float = 80.0, normalise: bool = True,
-               broadcast_rows: int = 200_000) -> DataFrame:
+               threshold: float = 80.0, normalise: bool = True) -> DataFrame:
     """For each distinct left name, the right name with the highest
     token-sort ratio (ties: smallest right name), kept when >= threshold.
-    Names are compared by their F6 keys when ``normalise``."""
+    Names are compared by their F6 keys when ``normalise``.
+
+    Candidates come from exact prefix filtering (set-similarity joins:
+    Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007). The
+    ratio needs LCS >= alpha, and LCS is at most the overlap of the two
+    character multisets; with all (character, occurrence) tokens ordered by
+    global rarity, two strings with overlap >= alpha share a token among
+    their first |s| - alpha + 1 tokens. So only pairs sharing a rare prefix
+    token are scored (an equi-join on the token), and the LCS check keeps
+    the result exact. Names whose bound is 0 (empty, or threshold 0) fall
+    back to the length band."""
+    from pyspark.sql import Window
+
     key = match_key if normalise else (lambda c: _c(c))
+    t = float(threshold)
     lq = (left.select(F.col(left_name).alias("left_name")).where(F.col("left_name").isNotNull()).distinct()
-              .withColumn("__lt", sort_tokens(key(F.col("left_name")))))
+              .withColumn("__lt", sort_tokens(key(F.col("left_name")))).withColumn("__ll", F.length("__lt")))
     rq = (right.select(F.col(right_name).alias("right_name")).where(F.col("right_name").isNotNull()).distinct()
-               .withColumn("__rt", sort_tokens(key(F.col("right_name"))))
-               .withColumn("__rl", F.length("__rt")))
-    t = float(threshold)
-    la = F.length("__lt")
-    lo = F.ceil(la * F.lit(t / (200.0 - t))) if t < 200 else la
-    hi = F.floor(la * F.lit((200.0 - t) / t)) if t > 0 else la * 1000
-    # one extra length on each side absorbs float rounding; the score filter
-    # below is exact
-    lq = lq.withColumn("__rl", F.explode(F.sequence(F.greatest(lo - 1, F.lit(0)).cast("int"),
-                                                    F.greatest(hi + 1, F.lit(0)).cast("int"))))
-    n_right = rq.count()   # size check of the dimension side (one number)
-    rj = F.broadcast(rq) if n_right <= broadcast_rows else rq
-    pairs = lq.join(rj, "__rl").withColumn("score", indel_ratio(F.col("__lt"), F.col("__rt")))
-    pairs = pairs.where(F.col("score") >= t)
-    best = pairs.groupBy("left_name").agg(
+               .withColumn("__rt", sort_tokens(key(F.col("right_name")))).withColumn("__rl", F.length("__rt")))
+
+    def prefixes(df, name, text, length):
+        alpha = _min_overlap(F.col(length), t) if 0 < t < 200 else F.lit(0)
+        x = df.withColumn("__alpha", alpha).where((F.col("__alpha") >= 1) & (F.col(length) > 0))
+        return x.select(name, text, length, F.explode(_char_tokens(F.col(text))).alias("__tok"),
+                        (F.col(length) - F.col("__alpha") + 1).alias("__p"))
+
+    lt, rt = prefixes(lq, "left_name", "__lt", "__ll"), prefixes(rq, "right_name", "__rt", "__rl")
+    vocab = lt.select("__tok").unionAll(rt.select("__tok")).groupBy("__tok").agg(F.count(F.lit(1)).alias("__f"))
+    # the token vocabulary is characters x occurrence numbers, not names
+    rank = vocab.withColumn("__rank", F.row_number().over(Window.orderBy("__f", "__tok")))
+
+    def top(df, name, text, length):
+        r = df.join(rank.select("__tok", "__rank"), "__tok")   # vocabulary side: AQE sizes it
+        w = Window.partitionBy(name).orderBy("__rank")     # one name's tokens
+        return (r.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= F.col("__p"))
+                 .select(name, text, length, "__tok"))
+
+    cand = (top(lt, "left_name", "__lt", "__ll").join(top(rt, "right_name", "__rt", "__rl"), "__tok")
+                # the length band is exact too: a ratio >= t needs 200 * min / sum >= t
+                .where(F.lit(200.0) * F.least("__ll", "__rl") >= F.lit(t) * (F.col("__ll") + F.col("__rl")) - 1e-9)
+                .select("left_name", "right_name", "__lt", "__rt").distinct())
+    # names with no usable bound (empty names, threshold 0) use the length band
+    if 0 < t < 200:
+        lo_b = lq.where((_min_overlap(F.col("__ll"), t) < 1) | (F.col("__ll") == 0))
+    else:
+        lo_b = lq
+    lo = F.ceil(F.col("__ll") * F.lit(t / (200.0 - t))) if t < 200 else F.col("__ll")
+    hi = F.floor(F.col("__ll") * F.lit((200.0 - t) / t)) if t > 0 else F.col("__ll") * 1000
+    band = (lo_b.withColumn("__rl", F.explode(F.sequence(F.greatest(lo - 1, F.lit(0)).cast("int"),
+                                                         F.greatest(hi + 1, F.lit(0)).cast("int"))))
+                 .join(rq.select("right_name", "__rl", "__rt"), "__rl").select("left_name", "right_name", "__lt", "__rt"))
+    scored = (cand.unionByName(band).distinct()
+                  .withColumn("score", indel_ratio(F.col("__lt"), F.col("__rt")))
+                  .where(F.col("score") >= t))
+    best = scored.groupBy("left_name").agg(
         F.min_by(F.struct("right_name", "score"), F.struct((-F.col("score")).alias("s"), F.col("right_name").alias("r")))
         .alias("__b"))
     return best.select("left_name", F.col("__b.right_name").alias("right_name"), F.col("__b.score").alias("score"))

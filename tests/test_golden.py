@@ -231,3 +231,11 @@ def test_html_rows_and_options(spark):
     assert [(r.candidate, r.party, r.total_votes, r.vote_share) for r in rows] == [("Asha", "P1", "1,200", "40.5")]
     opts = df.select(F.explode(TP.option_list(F.col("h"))).alias("o")).select("o.*").collect()
     assert [(o.code, o.name) for o in opts] == [("12", "Seat 12")]
+
+
+def test_best_match_short_and_empty_names(spark):
+    left = spark.createDataFrame([("",), ("a",), ("ab",), ("ba ",)], "n string")
+    right = spark.createDataFrame([("",), ("a",), ("b",), ("a b",)], "n string")
+    got = {r.left_name: (r.right_name, round(r.score, 2))
+           for r in match.best_match(left, right, "n", "n", normalise=False).collect()}
+    assert got == {"": ("", 100.0), "a": ("a", 100.0), "ab": ("a b", 80.0), "ba ": ("a b", 80.0)}
