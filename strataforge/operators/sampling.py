@@ -222,3 +222,29 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> list:
     got = {int(r["r"]): r["__v"] for r in
            pre.select((F.col("__hi") - 1).cast("bigint").alias("r"), "__v").where(F.col("r").isin(ranks)).collect()}
     return [got[lo] + d * (got[hi] - got[lo]) for lo, hi, d in (need[q] for q in probs)]
+
+
+def group_positions(df: DataFrame, group, order, partitions: int | None = None) -> DataFrame:
+    """Exact 0-based position ``__pos`` of each row inside its group by
+    ``order`` (unique within a group) and the group size ``__size``, with no
+    window over a whole group: rows are range-partitioned on (group, order),
+    so a group holding a third of all rows spans many partitions; a running
+    count inside each (partition, group) plus the counts of the same group in
+    earlier partitions (a table with at most one row per partition and
+    group) gives the position. Checkpointed like ``global_prefix``."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    group = [group] if isinstance(group, str) else list(group)
+    order = [order] if isinstance(order, str) else list(order)
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.repartitionByRange(p, *[F.col(c) for c in group + order]).withColumn("__pid", F.spark_partition_id())
+    run = Window.partitionBy("__pid", *group).orderBy(*order)
+    local = base.withColumn("__c", F.row_number().over(run)).checkpoint(eager=True)
+    cnt = local.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
+    wg = Window.partitionBy(*group)
+    off = cnt.select("__pid", *group,
+                     F.coalesce(F.sum("__n").over(wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("__off"),
+                     F.sum("__n").over(wg).alias("__size"))
+    out = join_bounded(local, off, ["__pid", *group], "left")
+    return out.withColumn("__pos", (F.col("__off") + F.col("__c") - 1).cast("bigint")).drop("__pid", "__c", "__off")

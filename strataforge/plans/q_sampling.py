@@ -3,7 +3,6 @@ W6, W9, W10, A4, X4, P9, O2, S11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataforge.functions import numeric as N
@@ -185,11 +184,12 @@ SELECT conv_id, turn, false AS is_header FROM e WHERE rk <= {PAGES_K}
 UNION ALL SELECT conv_id, turn, true FROM p WHERE i = 0""")
 def k_pages(spark, sf_dir):
     """G6 + W9: per document the first member apart, plus up to k random
-    members from positions 2 .. total-3 (head and tail excluded)."""
+    members from positions 2 .. total-3 (head and tail excluded). Positions
+    come from ``group_positions`` (no window over a whole document)."""
     c = table(spark, sf_dir, "conversations", "conv_id", "turn").withColumn(
         "k", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
-    w = Window.partitionBy("conv_id")
-    p = c.withColumn("i", F.row_number().over(w.orderBy("turn")) - 1).withColumn("total", F.count(F.lit(1)).over(w))
+    p = (sampling.group_positions(c, "conv_id", "turn")
+                 .withColumnsRenamed({"__pos": "i", "__size": "total"}))
     elig = p.where((F.col("i") >= 2) & (F.col("i") < F.col("total") - 2))
     r = sampling.hash_rank(elig, "conv_id", "k", SAMPLE_SEED, target_rows=SUB_BUCKET_ROWS)
     chosen = r.where(F.col("__rank") <= PAGES_K).select("conv_id", "turn", F.lit(False).alias("is_header"))

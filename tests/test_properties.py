@@ -174,3 +174,13 @@ def test_join_bounded_broadcasts_only_small_sides(spark):
     # from the materialised side's real size); the result is the same
     out = join_bounded(big, small, "g", max_rows=5)
     assert out.count() == 5000 and out.where("n = 500").count() == 5000
+
+
+def test_group_positions_match_window(spark):
+    df = spark.range(3000).select((F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 7)).alias("g"),
+                                  (F.col("id") * 7919 % 3001).alias("o"))       # group 0 holds two thirds
+    got = sampling.group_positions(df, "g", "o", partitions=9).select("g", "o", "__pos", "__size")
+    w = Window.partitionBy("g")
+    want = df.select("g", "o", (F.row_number().over(w.orderBy("o")) - 1).cast("bigint").alias("__pos"),
+                     F.count(F.lit(1)).over(w).alias("__size"))
+    assert sorted(got.collect()) == sorted(want.collect())
