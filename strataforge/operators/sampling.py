@@ -199,20 +199,25 @@ def row_slice(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
               .drop("__w", "__pid", "__lo", "__hi")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs, small_rows: int = 1_000_000) -> list:
     """Exact linear-interpolation quantiles (R type 7, ``quantile_cont``)
     of a whole column without a single-task aggregate: global ranks come
     from ``global_prefix`` over (value, row id) -- the row id spreads a
     heavily repeated value over several range partitions -- and only the
-    rows at the needed ranks (two per probability) reach the driver."""
+    rows at the needed ranks (two per probability) reach the driver. A
+    column of at most ``small_rows`` values (checked by a count) takes one
+    exact ``percentile`` aggregate instead."""
     import math as _m
-    x = (df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-           .withColumn("__tie", F.monotonically_increasing_id()))
-    pre = global_prefix(x, ["__v", "__tie"])
-    n = pre.agg(F.max("__hi")).first()[0]
-    if not n:
+    v = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    n = v.count()
+    if n == 0:
         return [None for _ in probs]
-    n = int(n)
+    if n <= small_rows:
+        # size checked: one exact aggregate whose value map holds at most n values
+        r = v.agg(F.percentile("__v", [float(q) for q in probs]).alias("q")).first()["q"]
+        return [float(x) for x in r]
+    x = v.withColumn("__tie", F.monotonically_increasing_id())
+    pre = global_prefix(x, ["__v", "__tie"])
     need = {}
     for q in probs:
         h = (n - 1) * float(q)
