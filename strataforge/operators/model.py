@@ -10,9 +10,9 @@ M1 is mean-field variational inference with Polya-Gamma augmentation
 (Polson, Scott and Windle 2013; the variational form used for crossed
 random intercepts by Goplerud 2022). Each pass is ONE Spark job over the
 cells: every task scores its Arrow batches with numpy against the broadcast
-posterior (mean ``m``, covariance ``V``) and emits partial sums of X'WX;
-Spark adds them by (i, j). Only P x P numbers (P = 2 + total levels) reach
-the driver, which solves the small system and updates the variances.
+posterior (mean ``m``, covariance ``V``) and emits its partial X'WX; the
+partials (tasks x P(P+1)/2 numbers, P = 2 + total levels) are added on the
+driver, which solves the small system and updates the variances.
 """
 
 from __future__ import annotations
@@ -191,11 +191,12 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
             ii, jj = np.nonzero(np.triu(A))
             yield pd.DataFrame({"i": ii.astype(np.int32), "j": jj.astype(np.int32), "v": A[ii, jj]})
 
-        parts = prepared.mapInPandas(xtwx, "i int, j int, v double")
-        sums = parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()   # at most P*(P+1)/2 rows
+        # one partial X'WX per task (cells are sized at ``cells_per_task``, so
+        # at most tasks x P(P+1)/2 numbers), added on the driver as a tree
+        # aggregate would: no shuffle stage per pass
+        parts = prepared.mapInPandas(xtwx, "i int, j int, v double").toArrow()
         A = np.zeros((P, P))
-        for r in sums:
-            A[r["i"], r["j"]] += r["v"]
+        np.add.at(A, (parts.column("i").to_numpy(), parts.column("j").to_numpy()), parts.column("v").to_numpy())
         A = A + np.triu(A, 1).T
         prec = np.zeros(P)
         prec[:2] = fixed_precision
