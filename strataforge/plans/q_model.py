@@ -219,11 +219,11 @@ def coef_draws(spark, sf_dir):
     return d.select("draw", r6("mu_aitc").alias("mu_aitc"), r6("mu_nda").alias("mu_nda"))
 
 
-def _frame_strata(spark, sf_dir):
+def _frame_strata(spark, sf_dir, past_df=None):
     """Poststratification frame: strata with a known area type (as the
     reference drops blank area types), N = n_individuals, covariates."""
     fr = frame.stratification_frame(roll(spark, sf_dir)).where(F.col("area_type").isNotNull())
-    cov = past(spark, sf_dir).select("constituency_name", "turnout_2021_z", "AITC_2021_z", "NDA_cond_2021_z",
+    cov = (past_df if past_df is not None else past(spark, sf_dir)).select("constituency_name", "turnout_2021_z", "AITC_2021_z", "NDA_cond_2021_z",
                                      "AITC_2021", "NDA_2021", "OTHER_2021")
     return model.attach_covariates(fr, cov, "constituency_name",
                                    ["turnout_2021_z", "AITC_2021_z", "NDA_cond_2021_z"])
@@ -246,24 +246,33 @@ def stage_draw_tables(spark):
             for k, (mean, cov, seed) in STAGE_COEF.items()}
 
 
-def three_stage_cells(spark, sf_dir):
+def three_stage_cells(spark, sf_dir, past_df=None, keys: bool = True):
     """M6 x 3 + M8: the three stage probabilities in one row per (stratum,
-    draw), then the three shares (population scale, reference)."""
-    st = _frame_strata(spark, sf_dir)
+    draw), then the three shares (population scale, reference). The noise
+    key string is built once per stratum, before the expansion by draws;
+    with ``keys=False`` the expanded rows carry only what poststratification
+    reads."""
+    st = _frame_strata(spark, sf_dir, past_df)
+    st = st.withColumn("__nk", F.concat_ws("|", *_noise_key()))
+    if not keys:
+        st = st.select("eroll_no", "constituency_name", "n_individuals", "turnout_2021_z", "AITC_2021_z",
+                       "NDA_cond_2021_z", "__nk")
     d = stage_draw_tables(spark)
     draws = d["t"].join(d["a"], "draw").join(d["n"], "draw")
     sd = float(np.sqrt(sum(v * v for v in RE_SD.values())))
     cov_of = {"t": "turnout_2021_z", "a": "AITC_2021_z", "n": "NDA_cond_2021_z"}
     j = poststrat.with_draws(st, draws, FORECAST_DRAWS)
-    z1, z2 = normal_pair(NOISE_SEED, *_noise_key(), "draw")
-    z3, _ = normal_pair(NOISE_SEED + 1, *_noise_key(), "draw")
+    # same digest input as concat_ws(seed, key columns..., draw)
+    z1, z2 = normal_pair(NOISE_SEED, F.col("__nk"), "draw")
+    z3, _ = normal_pair(NOISE_SEED + 1, F.col("__nk"), "draw")
     noise = {"t": z1, "a": z2, "n": z3}
     ps = {}
     for k in ("t", "a", "n"):
         lp = F.col(f"{k}0") + F.col(f"{k}1") * F.col(cov_of[k]) + F.lit(sd) * noise[k]
         ps[k] = N.inv_logit(lp)
     shares = poststrat.stage_shares(ps["t"], ps["a"], ps["n"], "population")
-    return j.select("eroll_no", "constituency_name", "n_individuals", "draw", *FRAME_KEY_COLS[1:],
+    kept = list(FRAME_KEY_COLS[1:]) if keys else []
+    return j.select("eroll_no", "constituency_name", "n_individuals", "draw", *kept,
                     ps["t"].alias("p_t"), *[v.alias(k) for k, v in shares.items()])
 
 
@@ -328,12 +337,13 @@ def cell_draws(spark, sf_dir):
                                            r6(F.max("p_t")).alias("max_p"))
 
 
-def seat_forecast_from_cells(spark, sf_dir, c):
+def seat_forecast_from_cells(spark, sf_dir, c, past_df=None):
     ps = poststrat.poststratify(c, "constituency_name", "n_individuals", ["AITC", "NDA", "OTHER"])
     summ = poststrat.summarise_draws(poststrat.to_long(ps, ["constituency_name", "draw"], ["AITC", "NDA", "OTHER"]),
                                      ["constituency_name", "choice"])
     wide = poststrat.seat_table(summ, "constituency_name", ["AITC", "NDA", "OTHER"])
-    pastv = past(spark, sf_dir).select("constituency_name", "AITC_2021", "NDA_2021", "OTHER_2021")
+    pastv = (past_df if past_df is not None else past(spark, sf_dir)).select(
+        "constituency_name", "AITC_2021", "NDA_2021", "OTHER_2021")
     wide = wide.join(pastv, "constituency_name", "left")     # both one row per seat; AQE sizes it
     surveyed = survey(spark, sf_dir).select(F.col("constituency_name").alias("__s")).distinct()
     wide = wide.join(surveyed, F.col("constituency_name") == F.col("__s"), "left") \
@@ -371,7 +381,8 @@ def seat_forecast(spark, sf_dir):
     """M9 (+M10, J6, F36, J7, J9): poststratified shares per seat and draw,
     median and 95 % interval, medians rescaled to 100, winner, swing against
     the past result, margin and the surveyed flag; fixed coefficients."""
-    return seat_forecast_from_cells(spark, sf_dir, three_stage_cells(spark, sf_dir))
+    p = past(spark, sf_dir)          # one per-seat table for covariates and swings
+    return seat_forecast_from_cells(spark, sf_dir, three_stage_cells(spark, sf_dir, p, keys=False), p)
 
 
 # ----------------------------------------------------------- end to end
