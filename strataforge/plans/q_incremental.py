@@ -236,3 +236,29 @@ def sharded_sink(spark, sf_dir):
     io.write_partitioned(c, path, ["chunk"])
     back = (spark.read.schema("stratum_key string, dup_count int, chunk int").option("header", True).csv(path))
     return back.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("dup_count").cast("bigint").alias("n_people"))
+
+
+def _records_oracle() -> str:
+    from strataforge.plans.q_text import _records_sql
+    return _records_sql()
+
+
+@register("stream_record_blocks", _records_oracle())
+def stream_record_blocks(spark, sf_dir):
+    """T1 as in the reference: roll page texts land as files; a stream
+    (two files per micro-batch, ``availableNow``, checkpointed progress)
+    parses each page once into voter rows (F33) and appends them; the result
+    equals the one-shot batch parse."""
+    from strataforge.operators import textparse
+    from strataforge.plans.q_text import roll_pages
+
+    src = io.scratch_dir(spark, "pages-in")
+    roll_pages(spark, sf_dir).repartition(8).write.mode("overwrite").parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out, ck = io.scratch_dir(spark, "voters-out"), io.scratch_dir(spark, "voters-ckpt")
+    q = (textparse.parse_voters(stream, "text", ["c_custkey"]).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
