@@ -204,6 +204,27 @@ def pages_per_group(spark, sf_dir):
                     "n_pages")
 
 
+@register("page_order", """
+WITH p AS (SELECT page_id, url, regexp_extract(url, '://([^/]+)/', 1) AS area,
+                  regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS booth,
+                  TRY_CAST(regexp_extract(url, '/[a-z]+/(\\d+)', 1) AS INTEGER) AS page_no,
+                  contains(url, '#top') AS is_header FROM pages)
+SELECT area, booth, url, is_header,
+       CAST(row_number() OVER (PARTITION BY area, booth, is_header ORDER BY page_no NULLS FIRST, url) - 1 AS BIGINT) AS position,
+       count(*) OVER (PARTITION BY area, booth, is_header) AS n_in_part
+FROM p""")
+def page_order(spark, sf_dir):
+    """A29 in long form: every page of a booth with its position among the
+    booth's header pages or among its other pages (page-number order), from
+    exact grouped positions, so no booth's page list is ever gathered into
+    one task or row."""
+    from strataforge.operators import sampling
+    p = _page_parts(spark, sf_dir)
+    g = sampling.group_positions(p, ["area", "booth", "is_header"], ["page_no", "url"])
+    return g.select("area", "booth", "url", "is_header", F.col("__pos").alias("position"),
+                    F.col("__size").alias("n_in_part"))
+
+
 @register("page_label", """
 WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+(/[^?#]*)', 1) AS path FROM pages),
 b AS (SELECT page_id, regexp_replace(string_split(path, '/')[-1], '(?i)\\.html$', '') AS base FROM p)
