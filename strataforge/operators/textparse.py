@@ -132,9 +132,21 @@ def parse_block(block) -> Column:
     return F.struct(*[vals[k].alias(k) for k in order])
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """CPU-heavy per-row parsing of an input with fewer partitions than the
+    cluster's cores (a small file is one split) is spread round-robin first;
+    inputs that already have enough splits are left alone (no extra shuffle
+    at scale). Streaming inputs are left as they are."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def parse_voters(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """F33 + W5: one row per voter block that has a name, with its block
     number inside the page."""
+    df = spread_for_cpu(df)
     blocks = split_blocks(clean_lines(text))
     x = df.select(*keep, F.posexplode(blocks).alias("block_no", "__b"))
     return (x.select(*keep, "block_no", parse_block(F.col("__b")).alias("__v"))
