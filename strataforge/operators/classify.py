@@ -73,6 +73,7 @@ def routed_predict(stage1: PipelineModel, stage1_vocab: Sequence[str], heads: di
     class's head models (filter per class + ``unionByName``); rows of a class
     without heads (the unknown class) get ``defaults``. ``key`` is kept so
     the caller can restore input order."""
+    ensure_checkpoint_dir(df.sparkSession)
     s1 = score(stage1, df.select(key, text_col), stage1_vocab, out="class", conf="class_conf", digits=digits)
     s1 = s1.checkpoint(eager=True)   # read once per class branch; reliable, survives executor loss
     parts = []

@@ -13,7 +13,6 @@ from strataforge.functions.text import regex_capture
 from strataforge.operators import sampling
 from strataforge.plans.catalogue import register, cte
 from strataforge.plans.derived import roll, ROLL_SQL
-from strataforge.session import ensure_checkpoint_dir
 from strataforge.sources import io
 from strataforge.sources.tables import table
 from strataforge.streaming import incremental

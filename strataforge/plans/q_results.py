@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform, uniform_sql
 from strataforge.functions.numeric import decorated_number
-from strataforge.operators import results, sampling
+from strataforge.operators import results
 from strataforge.plans.catalogue import register, r6, cte
 from strataforge.plans.derived import result, RESULT_SQL
 from strataforge.sources.tables import table
