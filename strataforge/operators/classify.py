@@ -94,7 +94,9 @@ def classification_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """Per class precision, recall, f1, support; accuracy; macro and
     weighted averages. Zero divisions give 0. Built from the confusion
     counts (one aggregate, classes x classes rows)."""
-    conf = df.groupBy(truth, pred).agg(F.count(F.lit(1)).alias("n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # classes x classes rows, read by every branch below: materialised once
+    conf = df.groupBy(truth, pred).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     classes = (conf.select(F.col(truth).alias("label")).union(conf.select(F.col(pred).alias("label")))
                    .where(F.col("label").isNotNull()).distinct())
     tp = conf.where(F.col(truth) == F.col(pred)).select(F.col(truth).alias("label"), F.col("n").alias("tp"))

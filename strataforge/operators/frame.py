@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.bins import right_closed_bins
@@ -41,6 +41,16 @@ def with_group_share(df: DataFrame, keys, value: str, share_col: str = "share",
     return out if keep_total else out.drop("__total")
 
 
+def share_within(agg: DataFrame, keys, value: str, share_col: str = "share") -> DataFrame:
+    """W1 + W2 on an AGGREGATED table (strata, booths, seat x party): value /
+    sum(value) over the group as a window. A group there holds at most the
+    number of level combinations, not rows, so the window is bounded, and
+    the aggregate is not recomputed for a separate totals branch. (For
+    row-level data use ``with_group_share``.)"""
+    keys = _cols(keys)
+    return agg.withColumn(share_col, F.try_divide(F.col(value), F.sum(value).over(Window.partitionBy(*keys))))
+
+
 def group_mode(df: DataFrame, keys, value: str, out_col: str = "mode") -> DataFrame:
     """A3: most frequent non-null value per group; ties give the smallest.
     Groups with no value are absent (callers fall back by ``coalesce``).
@@ -100,7 +110,7 @@ def booth_weights(rows: DataFrame, area: str = "eroll_no", booth: str = "booth_n
     """A2 + W1 + W2: one row per booth with its first known head count and
     its share of the area's summed head counts."""
     booths = first_non_null(rows, [area, booth], total, order_col)
-    return (with_group_share(booths, area, total, "booth_weight")
+    return (share_within(booths, area, total, "booth_weight")
             .select(area, booth, "booth_weight"))
 
 
@@ -115,7 +125,7 @@ def booth_table(rows: DataFrame, area: str = "eroll_no", booth: str = "booth_no"
              .groupBy(area, booth)
              .agg(F.mode(area_type, deterministic=True).alias("__mode"),
                   F.min_by(F.col(total), F.when(F.col(total).isNotNull(), F.col(order_col))).alias("__first")))
-    return with_group_share(b, area, "__first", "booth_weight").drop("__first")
+    return share_within(b, area, "__first", "booth_weight").drop("__first")
 
 
 def stratification_frame(rows: DataFrame,
@@ -143,4 +153,4 @@ def stratification_frame(rows: DataFrame,
     frame = (df.groupBy(*strata)
                .agg(F.count("booth_weight").alias("n_individuals"),
                     F.coalesce(F.sum("booth_weight"), F.lit(0.0)).alias("weighted_n")))
-    return with_group_share(frame, area, "weighted_n", "stratum_share")
+    return share_within(frame, area, "weighted_n", "stratum_share")

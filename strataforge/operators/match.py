@@ -100,6 +100,10 @@ def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: st
               .withColumn("__lt", sort_tokens(key(F.col("left_name")))).withColumn("__ll", F.length("__lt")))
     rq = (right.select(F.col(right_name).alias("right_name")).where(F.col("right_name").isNotNull()).distinct()
                .withColumn("__rt", sort_tokens(key(F.col("right_name")))).withColumn("__rl", F.length("__rt")))
+    # both distinct name sets feed several branches: materialise them once
+    from strataforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(left.sparkSession)
+    lq, rq = lq.checkpoint(eager=True), rq.checkpoint(eager=True)
 
     def prefixes(df, name, text, length):
         alpha = _min_overlap(F.col(length), t) if 0 < t < 200 else F.lit(0)

@@ -150,11 +150,15 @@ def summarise_draws(long: DataFrame, group: Sequence[str], value: str = "share",
     """A10 + M10: median and interval (R type 7 = linear interpolation,
     exactly what ``percentile`` computes); a null draw first takes its
     group's median (only when the group has some non-null draw)."""
+    from pyspark.sql import Window
+
     group = list(group)
     v = F.col(value)
     if fill_missing:
-        med = long.groupBy(*group).agg(F.percentile(value, 0.5).alias("__med"))
-        long = long.join(med, group, "left").select(*group, F.coalesce(v, F.col("__med")).alias(value))
+        # a window over one group's draws (at most n_draws rows), not a join
+        # back, so the draw pipeline is not computed twice
+        med = F.percentile(value, 0.5).over(Window.partitionBy(*group))
+        long = long.select(*group, F.coalesce(v, med).alias(value))
     q = F.percentile(value, list(probs))
     out = long.groupBy(*group).agg(q.alias("__q"))
     names = ["ci_low", "median", "ci_high"] if len(probs) == 3 else [f"q{i}" for i in range(len(probs))]

@@ -36,10 +36,11 @@ def collapse_to_party(long: DataFrame, seat: str = "constituency", party: str =
 def with_vote_share(df: DataFrame, seat: str = "constituency", votes: str = "votes",
                     out: str = "vote_share", digits: int = 2) -> DataFrame:
     """Share of the seat's votes in percent, rounded."""
-    tot = df.groupBy(seat).agg(F.sum(votes).alias("__tot"))
-    return (df.join(tot, seat, "left")
-              .withColumn(out, F.round(F.try_divide(F.col(votes) * 100.0, F.col("__tot")), digits))
-              .drop("__tot"))
+    from pyspark.sql import Window
+    # the input is one row per (seat, party): a window over a seat's parties
+    # is bounded and avoids recomputing the collapse for a totals branch
+    tot = F.sum(votes).over(Window.partitionBy(seat))
+    return df.withColumn(out, F.round(F.try_divide(F.col(votes) * 100.0, tot), digits))
 
 
 def wide_by_key(long: DataFrame, seat: str, key: str, values: dict[str, str],
@@ -76,20 +77,20 @@ def bucket_rollup(collapsed: DataFrame, bucket_of: Column, buckets: Sequence[str
     member has 0 votes or no name. Seats with no member in a bucket get
     "", 0, 0.0. Output is long (seat, bucket, ...)."""
     x = collapsed.withColumn("bucket", bucket_of)
-    agg = x.groupBy(seat, "bucket").agg(
-        F.sum(votes).cast("bigint").alias("total_votes"),
-        F.round(F.sum(share), 2).alias("vote_share"),
-        F.min_by(F.struct(F.col(candidate).alias("c"), F.col(votes).alias("v")),
-                 F.struct((-F.col(votes)).alias("a"), F.col(party).alias("b"))).alias("__top"))
-    agg = agg.select(seat, "bucket", "total_votes", "vote_share",
-                     F.when((F.col("__top.v") == 0) | F.col("__top.c").isNull(), F.lit(""))
-                      .otherwise(F.col("__top.c")).alias("candidate"))
-    seats = collapsed.select(seat).distinct()
-    grid = seats.withColumn("bucket", F.explode(F.array(*[F.lit(b) for b in buckets])))
-    return (grid.join(agg, [seat, "bucket"], "left")
-                .select(seat, "bucket", F.coalesce("candidate", F.lit("")).alias("candidate"),
-                        F.coalesce("total_votes", F.lit(0).cast("bigint")).alias("total_votes"),
-                        F.coalesce("vote_share", F.lit(0.0)).alias("vote_share")))
+    top = F.min_by(F.struct(F.col(candidate).alias("c"), F.col(votes).alias("v")),
+                   F.struct((-F.col(votes)).alias("a"), F.col(party).alias("b")))
+    # one aggregate per seat with the known buckets as columns: a bucket with
+    # no member is simply null, so no separate seats x buckets grid is built
+    wide = x.groupBy(seat).pivot("bucket", list(buckets)).agg(
+        F.sum(votes).cast("bigint").alias("t"), F.round(F.sum(share), 2).alias("s"), top.alias("top"))
+    long = wide.select(seat, F.inline(F.array(*[
+        F.struct(F.lit(b).alias("bucket"), F.col(f"`{b}_t`").alias("t"), F.col(f"`{b}_s`").alias("s"),
+                 F.col(f"`{b}_top`").alias("top")) for b in buckets])))
+    cand = F.when(F.col("top").isNull() | (F.col("top.v") == 0) | F.col("top.c").isNull(), F.lit("")) \
+            .otherwise(F.col("top.c"))
+    return long.select(seat, "bucket", cand.alias("candidate"),
+                       F.coalesce("t", F.lit(0).cast("bigint")).alias("total_votes"),
+                       F.coalesce("s", F.lit(0.0)).alias("vote_share"))
 
 
 def winner_of(names: Sequence[str], cols: Sequence[str]) -> Column:

@@ -43,7 +43,7 @@ def draws_sql(terms, mean, cov, n_draws, seed) -> str:
 def slice_strata(spark, sf_dir):
     rows = roll(spark, sf_dir).withColumn("age_band", right_closed_bins(F.col("age")))
     strata = rows.groupBy("eroll_no", "age_band", "area_type", "R").agg(F.count(F.lit(1)).alias("n"))
-    return frame.with_group_share(strata, "eroll_no", "n", "stratum_share")
+    return frame.share_within(strata, "eroll_no", "n", "stratum_share")
 
 
 def poststrat_slice(spark, sf_dir):

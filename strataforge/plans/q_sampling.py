@@ -66,7 +66,11 @@ KEY_SQL = """concat_ws('|', CAST(eroll_no AS VARCHAR), coalesce(gender, '~'), co
 
 
 def frame_with_key(spark, sf_dir):
-    return frame.stratification_frame(roll(spark, sf_dir)).withColumn("stratum_key", stratum_key())
+    """The frame with its stratum key, materialised once: the sampling
+    queries read it for the draws and again to attach the drawn strata."""
+    from strataforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return frame.stratification_frame(roll(spark, sf_dir)).withColumn("stratum_key", stratum_key()).checkpoint(eager=True)
 
 
 def _weighted_sql(n_expr: str, extra_ctes: dict | None = None, tail: str = "") -> dict:
