@@ -139,6 +139,17 @@ def poststratify(cells: DataFrame, area, weight: str, values: Sequence[str],
                                    for v in values])
 
 
+def normalise_draws(ps: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Q2 ``scale='votes'``: each draw's population-scale shares divided by
+    their sum (for turnout-weighted shares that sum is the draw's turnout),
+    so intervals are shares of votes, comparable with official results."""
+    tot = None
+    for v in values:
+        c = F.coalesce(F.col(v), F.lit(0.0))
+        tot = c if tot is None else tot + c
+    return ps.withColumns({v: F.try_divide(F.col(v), F.nullif(tot, F.lit(0.0))) for v in values})
+
+
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
             name_col: str = "choice", value_col: str = "share") -> DataFrame:
     return df.unpivot(list(ids), list(values), name_col, value_col)

@@ -337,8 +337,10 @@ def cell_draws(spark, sf_dir):
                                            r6(F.max("p_t")).alias("max_p"))
 
 
-def seat_forecast_from_cells(spark, sf_dir, c, past_df=None):
+def seat_forecast_from_cells(spark, sf_dir, c, past_df=None, scale: str = "population"):
     ps = poststrat.poststratify(c, "constituency_name", "n_individuals", ["AITC", "NDA", "OTHER"])
+    if scale == "votes":
+        ps = poststrat.normalise_draws(ps, ["AITC", "NDA", "OTHER"])
     summ = poststrat.summarise_draws(poststrat.to_long(ps, ["constituency_name", "draw"], ["AITC", "NDA", "OTHER"]),
                                      ["constituency_name", "choice"])
     wide = poststrat.seat_table(summ, "constituency_name", ["AITC", "NDA", "OTHER"])
@@ -358,6 +360,34 @@ def seat_forecast_from_cells(spark, sf_dir, c, past_df=None):
         r6(F.col("median_AITC") - F.col("median_NDA")).alias("margin"), "surveyed")
 
 
+@register("seat_forecast_votes", cte(**_cells_sql(),
+    ps0="""SELECT constituency_name, draw, sum(n_individuals * "AITC") / sum(n_individuals) AS a,
+              sum(n_individuals * "NDA") / sum(n_individuals) AS n, sum(n_individuals * "OTHER") / sum(n_individuals) AS o
+          FROM cl GROUP BY constituency_name, draw""",
+    ps="""SELECT constituency_name, draw, a / (a + n + o) AS a, n / (a + n + o) AS n, o / (a + n + o) AS o FROM ps0""",
+    q="""SELECT constituency_name, quantile_cont(a, [0.025, 0.5, 0.975]) AS qa, quantile_cont(n, [0.025, 0.5, 0.975]) AS qn,
+                quantile_cont(o, [0.025, 0.5, 0.975]) AS qo FROM ps GROUP BY constituency_name""",
+    m="""SELECT *, qa[2] * 100 / (qa[2] * 100 + qn[2] * 100 + qo[2] * 100) * 100 AS ma,
+                qn[2] * 100 / (qa[2] * 100 + qn[2] * 100 + qo[2] * 100) * 100 AS mn,
+                qo[2] * 100 / (qa[2] * 100 + qn[2] * 100 + qo[2] * 100) * 100 AS mo FROM q""",
+    s2=SURVEY_SQL) + """
+SELECT m.constituency_name,
+  round(ma, 6) AS median_AITC, round(qa[1] * 100, 6) AS ci_low_AITC, round(qa[3] * 100, 6) AS ci_high_AITC,
+  round(mn, 6) AS median_NDA, round(qn[1] * 100, 6) AS ci_low_NDA, round(qn[3] * 100, 6) AS ci_high_NDA,
+  round(mo, 6) AS median_OTHER, round(qo[1] * 100, 6) AS ci_low_OTHER, round(qo[3] * 100, 6) AS ci_high_OTHER,
+  CASE WHEN ma >= mn AND ma >= mo THEN 'AITC' WHEN mn >= mo THEN 'NDA' ELSE 'OTHER' END AS winner,
+  round(ma - p.AITC_2021 * 100, 6) AS aitc_swing, round(mn - p.NDA_2021 * 100, 6) AS nda_swing,
+  round(mo - p.OTHER_2021 * 100, 6) AS other_swing, round(ma - mn, 6) AS margin,
+  m.constituency_name IN (SELECT constituency_name FROM s2) AS surveyed
+FROM m LEFT JOIN past p ON m.constituency_name = p.constituency_name""")
+def seat_forecast_votes(spark, sf_dir):
+    """M9 with Q2 ``scale='votes'``: each draw's shares are normalised to
+    sum to one (turnout-weighted shares of votes) before the median and
+    interval, so intervals compare with official vote shares."""
+    p = past(spark, sf_dir)
+    return seat_forecast_from_cells(spark, sf_dir, three_stage_cells(spark, sf_dir, p, keys=False), p, "votes")
+
+
 @register("seat_forecast", cte(**_cells_sql(),
     ps="""SELECT constituency_name, draw, sum(n_individuals * "AITC") / sum(n_individuals) AS a,
               sum(n_individuals * "NDA") / sum(n_individuals) AS n, sum(n_individuals * "OTHER") / sum(n_individuals) AS o
