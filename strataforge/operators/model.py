@@ -113,7 +113,10 @@ class Fit:
                 rows.append(("random", g, str(name), float(self.level_means[g][j]), None))
             rows.append(("variance", g, None, float(self.variances[g]), None))
         df = spark.createDataFrame(rows, "kind string, term string, level string, estimate double, sd double")
-        return df.withColumn("model_type", F.lit(self.model_type))
+        # explicit flags instead of silent fallbacks (Q19)
+        return df.withColumns({"model_type": F.lit(self.model_type), "converged": F.lit(bool(self.converged)),
+                               "singular": F.lit(bool(self.singular)), "iterations": F.lit(int(self.iterations)),
+                               "fallback_cov": F.lit(bool(self.fallback_cov))})
 
 
 def _design_indices(factors, levels):

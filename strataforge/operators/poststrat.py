@@ -176,12 +176,15 @@ def summarise_draws(long: DataFrame, group: Sequence[str], value: str = "share",
     return out.select(*group, *[(F.col("__q")[i] * scale).alias(n) for i, n in enumerate(names)])
 
 
-def argmax_name(names: Sequence[str], cols: Sequence[Column]) -> Column:
+def argmax_name(names: Sequence[str], cols: Sequence[Column], all_zero_null: bool = False) -> Column:
     """Name of the largest value, first on ties; NaN counts as lowest;
-    an all-null row gives null."""
+    an all-null row gives null. An all-zero row names the first column (the
+    reference rule, Q14) unless ``all_zero_null``."""
     vals = F.array(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")) for c in cols])
-    pos = F.array_position(vals, F.array_max(vals))
-    return F.when(pos > 0, F.element_at(F.array(*[F.lit(n) for n in names]), pos.cast("int")))
+    mx = F.array_max(vals)
+    pos = F.array_position(vals, mx)
+    ok = (pos > 0) & (mx != 0) if all_zero_null else (pos > 0)
+    return F.when(ok, F.element_at(F.array(*[F.lit(n) for n in names]), pos.cast("int")))
 
 
 def seat_table(summary: DataFrame, area: str, choices: Sequence[str],

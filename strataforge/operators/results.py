@@ -93,10 +93,10 @@ def bucket_rollup(collapsed: DataFrame, bucket_of: Column, buckets: Sequence[str
                        F.coalesce("s", F.lit(0.0)).alias("vote_share"))
 
 
-def winner_of(names: Sequence[str], cols: Sequence[str]) -> Column:
+def winner_of(names: Sequence[str], cols: Sequence[str], all_zero_null: bool = False) -> Column:
     """W8 across named columns (first on ties; an all-zero row names the
-    first column, as ``idxmax`` does)."""
-    return argmax_name(names, [F.col(f"`{c}`") for c in cols])
+    first column, as ``idxmax`` does, or null with ``all_zero_null``)."""
+    return argmax_name(names, [F.col(f"`{c}`") for c in cols], all_zero_null)
 
 
 def seat_counts(df: DataFrame, winner: str = "winner", total_label: str = "TOTAL") -> DataFrame:

@@ -240,3 +240,10 @@ def test_best_match_short_and_empty_names(spark):
            for r in match.best_match(left, right, "n", "n", normalise=False).collect()}
     # "ba " sorts to "ba": LCS with "a b" is 1, ratio 40 -> no match
     assert got == {"": ("", 100.0), "a": ("a", 100.0), "ab": ("a b", 80.0)}
+
+
+def test_argmax_all_zero_option(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 2.0)], "a double, b double")
+    cols = [F.col("a"), F.col("b")]
+    got = [r[0] for r in df.select(poststrat.argmax_name(["a", "b"], cols, all_zero_null=True)).collect()]
+    assert got == [None, "b"]
