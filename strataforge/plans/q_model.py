@@ -500,6 +500,8 @@ def mrp_forecast(spark, sf_dir):
     intervals, winner, swing and surveyed flag. Rows only (model fits are
     iterative)."""
     fits = stage_fits(spark, sf_dir)
-    out = seat_forecast_from_cells(spark, sf_dir, mrp_cells(spark, sf_dir, fits))
+    # library defaults: level-shared effects (Q1), vote-share
+    # intervals (Q2); the oracle queries keep the reference's choices
+    out = seat_forecast_from_cells(spark, sf_dir, mrp_cells(spark, sf_dir, fits), scale="votes")
     types = [(k, fits[k].model_type) for k, _, _ in STAGES]
     return out.withColumn("models", F.lit(",".join(f"{k}:{t}" for k, t in types)))
