@@ -505,3 +505,38 @@ def mrp_forecast(spark, sf_dir):
     out = seat_forecast_from_cells(spark, sf_dir, mrp_cells(spark, sf_dir, fits), scale="votes")
     types = [(k, fits[k].model_type) for k, _, _ in STAGES]
     return out.withColumn("models", F.lit(",".join(f"{k}:{t}" for k, t in types)))
+
+
+def electors(spark, sf_dir):
+    """Electors per seat from the roll: the sum of each booth's first known
+    head count (A2 + aggregate), one row per seat."""
+    r = roll(spark, sf_dir)
+    b = frame.first_non_null(r, ["eroll_no", "booth_no"], "total_individuals", "voter_id")
+    return b.groupBy("eroll_no").agg(F.sum("total_individuals").alias("electors")).select(
+        F.concat(F.lit("SEAT-"), F.col("eroll_no").cast("string")).alias("constituency_name"), "electors")
+
+
+def _turnout_electors_sql() -> str:
+    from strataforge.plans.derived import ROLL_SQL
+    from strataforge.plans.q_frame import BOOTH_SQL
+    d = past_sql()
+    d["roll"] = ROLL_SQL
+    d["booth"] = BOOTH_SQL
+    d["el"] = """SELECT 'SEAT-' || CAST(eroll_no AS VARCHAR) AS constituency_name, sum(ti) AS electors
+                 FROM booth GROUP BY eroll_no"""
+    return cte(**d) + """
+SELECT p.constituency_name, round(p.turnout_2021, 6) AS turnout_max,
+       round(p.total_votes / e.electors, 6) AS turnout_electors
+FROM past p LEFT JOIN el e ON p.constituency_name = e.constituency_name"""
+
+
+@register("turnout_electors", _turnout_electors_sql())
+def turnout_electors(spark, sf_dir):
+    """Q5 both ways: the reference's turnout proxy (F23, votes / largest
+    seat's votes) beside votes / electors, electors summed from the roll's
+    booth head counts (J7 left join, one row per seat on both sides)."""
+    p = past(spark, sf_dir)
+    e = electors(spark, sf_dir)
+    j = p.join(e, "constituency_name", "left")
+    return j.select("constituency_name", r6("turnout_2021").alias("turnout_max"),
+                    r6(F.try_divide(F.col("total_votes"), F.col("electors"))).alias("turnout_electors"))
