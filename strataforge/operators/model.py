@@ -12,7 +12,10 @@ random intercepts by Goplerud 2022). Each pass is ONE Spark job over the
 cells: every task scores its Arrow batches with numpy against the broadcast
 posterior (mean ``m``, covariance ``V``) and emits its partial X'WX; the
 partials (tasks x P(P+1)/2 numbers, P = 2 + total levels) are added on the
-driver, which solves the small system and updates the variances.
+driver, which solves the small system and updates the variances. Between
+passes the exact (m, V) and variance updates are repeated on the driver with
+the pass's weights fixed (a coordinate-ascent schedule with the same fixed
+point), which cuts the number of data passes from ~30-100 to ~5.
 """
 
 from __future__ import annotations
@@ -130,7 +133,7 @@ def _design_indices(factors, levels):
 def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], covariate: str,
               max_iter: int = 200, tol: float = 1e-6, fixed_precision: float = 1e-4,
               prior_a: float = 1e-3, prior_b: float = 1e-3, min_variance: float = 1e-4,
-              cells_per_task: int = 250_000) -> Fit:
+              cells_per_task: int = 250_000, inner_iter: int = 50) -> Fit:
     """M1 / M2: logit P = b0 + b1 x + sum_g a_g[level], a_g ~ N(0, s_g^2).
 
     Levels of each factor are listed once (a factor's level list is small);
@@ -201,21 +204,30 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
         A = np.zeros((P, P))
         np.add.at(A, (parts.column("i").to_numpy(), parts.column("j").to_numpy()), parts.column("v").to_numpy())
         A = A + np.triu(A, 1).T
-        prec = np.zeros(P)
-        prec[:2] = fixed_precision
-        for g in factors:
-            o, L = offsets[g], len(levels[g])
-            prec[o:o + L] = tau[g]
-        Q = A + np.diag(prec)
-        try:
-            V_new = np.linalg.inv(Q)
-        except np.linalg.LinAlgError:
-            V_new = np.linalg.pinv(Q)
-        m_new = V_new @ b
-        for g in factors:
-            o, L = offsets[g], len(levels[g])
-            ss = float(m_new[o:o + L] @ m_new[o:o + L] + np.trace(V_new[o:o + L, o:o + L]))
-            tau[g] = (L / 2.0 + prior_a) / (ss / 2.0 + prior_b)
+        # With this pass's X'WX fixed, the (m, V) and tau updates are exact
+        # block updates that need no data: iterate them on the driver until
+        # tau settles, then make the next pass (same fixed point, fewer jobs).
+        for _inner in range(inner_iter):
+            prec = np.zeros(P)
+            prec[:2] = fixed_precision
+            for g in factors:
+                o, L = offsets[g], len(levels[g])
+                prec[o:o + L] = tau[g]
+            Q = A + np.diag(prec)
+            try:
+                V_new = np.linalg.inv(Q)
+            except np.linalg.LinAlgError:
+                V_new = np.linalg.pinv(Q)
+            m_new = V_new @ b
+            change = 0.0
+            for g in factors:
+                o, L = offsets[g], len(levels[g])
+                ss = float(m_new[o:o + L] @ m_new[o:o + L] + np.trace(V_new[o:o + L, o:o + L]))
+                t_new = (L / 2.0 + prior_a) / (ss / 2.0 + prior_b)
+                change = max(change, abs(t_new - tau[g]) / max(tau[g], 1e-12))
+                tau[g] = t_new
+            if change < 1e-6:
+                break
         delta = float(np.max(np.abs(m_new - m)))
         m, V = m_new, V_new
         bm.unpersist()
