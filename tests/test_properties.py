@@ -3,6 +3,7 @@ sample sizes, chunk sizes, shares, exact ranks under group splitting, model
 recovery, plan shape and exactly-once streaming."""
 
 import math
+import re
 
 import numpy as np
 from pyspark.sql import Window
@@ -185,3 +186,14 @@ def test_group_positions_match_window(spark):
     want = df.select("g", "o", (F.row_number().over(w.orderBy("o")) - 1).cast("bigint").alias("__pos"),
                      F.count(F.lit(1)).over(w).alias("__size"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_filters_reach_the_scan_and_columns_are_pruned(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    plan = qs["list_filter"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(n_name" in plan or "PushedFilters: [IsNotNull(n_name), In(n_name" in plan
+    plan = qs["bucket_rollup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert schemas and all("l_extendedprice" not in s and "o_totalprice" not in s for s in schemas)
+    assert len(schemas) == 4          # lineitem, orders, customer, part: each read once
