@@ -125,3 +125,15 @@ def base_name(path) -> Column:
 def drop_extension(c, ext: str = "pdf") -> Column:
     """remove a trailing extension, any case."""
     return F.regexp_replace(_c(c), rf"(?i)\.{ext}$", "")
+
+
+def render_template(template: str, **values) -> Column:
+    """a caller's text template with ``{name}`` placeholders filled from
+    columns or expressions (``format_string`` underneath, so it stays a JVM
+    expression); literal ``%`` is kept. A null value renders as "null", so
+    callers coalesce first."""
+    import re as _re
+
+    names = _re.findall(r"\{(\w+)\}", template)
+    fmt = _re.sub(r"\{(\w+)\}", "%s", template.replace("%", "%%"))
+    return F.format_string(fmt, *[_c(values[n]).cast("string") for n in names])

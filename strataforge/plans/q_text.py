@@ -374,6 +374,7 @@ def llm_answer_merge(spark, sf_dir):
 
 # ---------------------------------------------------------------- prompts
 
+PROMPT_TEMPLATE = "You are a {age}-year-old {gender} voter in {seat} ({area} area), a {segment}. Priority: {priority}."
 SEGMENT_TEXT = {"AUTOMOBILE": "car owner", "BUILDING": "builder", "FURNITURE": "carpenter",
                 "HOUSEHOLD": "home maker"}
 
@@ -388,11 +389,10 @@ def prompt_render(spark, sf_dir):
     """prompt text from columns with decoded codes (P12) and fixed
     fallbacks; the template is a caller parameter."""
     r = roll(spark, sf_dir)
-    return r.select("voter_id", F.format_string(
-        "You are a %d-year-old %s voter in %s (%s area), a %s. Priority: %s.",
-        F.col("age"), F.coalesce(T.strip_all("gender"), F.lit("unknown")), F.col("constituency_name"),
-        F.coalesce("area_type", F.lit("Unknown")), clean.decode_map("R", SEGMENT_TEXT, "Unknown"), F.col("G"))
-        .alias("prompt"))
+    return r.select("voter_id", T.render_template(
+        PROMPT_TEMPLATE, age=F.col("age"), gender=F.coalesce(T.strip_all("gender"), F.lit("unknown")),
+        seat=F.col("constituency_name"), area=F.coalesce("area_type", F.lit("Unknown")),
+        segment=clean.decode_map("R", SEGMENT_TEXT, "Unknown"), priority=F.col("G")).alias("prompt"))
 
 
 def candidates_dim(spark, sf_dir):
