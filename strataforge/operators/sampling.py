@@ -253,3 +253,10 @@ def group_positions(df: DataFrame, group, order, partitions: int | None = None)
                      F.sum("__n").over(wg).alias("__size"))
     out = join_bounded(local, off, ["__pid", *group], "left")
     return out.withColumn("__pos", (F.col("__off") + F.col("__c") - 1).cast("bigint")).drop("__pid", "__c", "__off")
+
+
+def attach_draws(rows: DataFrame, draws: DataFrame, key: str, n: int, max_broadcast: int = 1_000_000) -> DataFrame:
+    """Join drawn keys back to their rows. The draws table has exactly ``n``
+    rows (the sample size), so it is broadcast when ``n`` is within the bound
+    and the rows are not shuffled; a larger sample uses a shuffle join."""
+    return rows.join(F.broadcast(draws) if n <= max_broadcast else draws, key)

@@ -92,7 +92,8 @@ def weighted_sample(spark, sf_dir):
     n_individuals, over the whole frame."""
     fr = frame_with_key(spark, sf_dir).where(F.col("n_individuals") > 0)
     d = sampling.weighted_draws(spark, fr, "stratum_key", "n_individuals", SAMPLE_N, SAMPLE_SEED)
-    return d.join(fr.select("stratum_key", "eroll_no"), "stratum_key").select("draw", "stratum_key", "eroll_no")
+    return sampling.attach_draws(fr.select("stratum_key", "eroll_no"), d, "stratum_key", SAMPLE_N).select(
+        "draw", "stratum_key", "eroll_no")
 
 
 def _guaranteed_sql():
@@ -112,7 +113,7 @@ def guaranteed_sample(spark, sf_dir):
     g = sampling.top_per_group(fr, "eroll_no", -F.col("n_individuals"), "stratum_key")
     n_areas = g.count()   # one row per area
     d = sampling.weighted_draws(spark, fr, "stratum_key", "n_individuals", GUARANTEED_N - n_areas, SAMPLE_SEED)
-    w = d.join(fr.select("stratum_key", "eroll_no"), "stratum_key")
+    w = sampling.attach_draws(fr.select("stratum_key", "eroll_no"), d, "stratum_key", GUARANTEED_N - n_areas)
     return (g.select(F.lit("guaranteed").alias("source"), F.lit(0).alias("draw"), "stratum_key", "eroll_no")
              .unionByName(w.select(F.lit("weighted").alias("source"), "draw", "stratum_key", "eroll_no")))
 
@@ -120,7 +121,7 @@ def guaranteed_sample(spark, sf_dir):
 def _sample_rows(spark, sf_dir):
     fr = frame_with_key(spark, sf_dir).where(F.col("n_individuals") > 0)
     d = sampling.weighted_draws(spark, fr, "stratum_key", "n_individuals", SAMPLE_N, SAMPLE_SEED)
-    return d.join(fr, "stratum_key").select(*STRATA)
+    return sampling.attach_draws(fr, d, "stratum_key", SAMPLE_N).select(*STRATA)
 
 
 _DEDUPE_SQL = cte(**_weighted_sql(str(SAMPLE_N)),
