@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, mixing
+from strataforge.llm import exact_dedup, mixing, pii, secrets
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -67,3 +67,15 @@ def op8_mixing(spark, sf_dir):
     """All documents mixed to source weights 5, 2, 1; quality 1 of ``labels`` doubles a document's chance."""
     quality = read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + 1.0).alias("weight"))
     return mixing.mix(read(spark, sf_dir, "documents"), quality).withColumn("target", F.round("target", 6))
+
+
+@register("op4_pii")
+def op4_pii(spark, sf_dir):
+    """Personal data of all documents."""
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
+@register("op9_secret_scan")
+def op9_secret_scan(spark, sf_dir):
+    """Secrets of all documents, from an empty ledger."""
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents"), secrets.fresh_ledger(spark)))
