@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, mixing, pii, secrets
+from strataforge.llm import exact_dedup, langid, mixing, pii, secrets
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -79,3 +79,12 @@ def op4_pii(spark, sf_dir):
 def op9_secret_scan(spark, sf_dir):
     """Secrets of all documents, from an empty ledger."""
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents"), secrets.fresh_ledger(spark)))
+
+
+@register("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    """Language of all documents, learned from the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(langid.training_rows(docs)))
+    return found.select("doc_id", langid.held_out("doc_id", 4).alias("held_out"), "lang_pred", "score",
+                        "cross_entropy", "rejected")
