@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, langid, mixing, pii, secrets
+from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -88,3 +88,9 @@ def op10_language_id(spark, sf_dir):
     found = langid.identify(docs, langid.fit(langid.training_rows(docs)))
     return found.select("doc_id", langid.held_out("doc_id", 4).alias("held_out"), "lang_pred", "score",
                         "cross_entropy", "rejected")
+
+
+@register("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))

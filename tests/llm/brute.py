@@ -48,3 +48,28 @@ def spans(text, kinds):
     found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, p, ok) in enumerate(kinds)
              for m in re.finditer(p, text or "") if ok(m)]
     return [s for *_, s in sorted(found)]
+
+
+def shingles(text, k=5):
+    w = words(lower_az(text))
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def near(rows, threshold=75):
+    """doc_id -> (set size, smallest linked id), over all pairs."""
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1:]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= threshold * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in ids}
