@@ -7,9 +7,9 @@ a band. Documents with equal shingle sets are one candidate; the others meet
 in band buckets. A bucket does not emit pairs but a star: its most connected
 member against the rest. Every candidate edge is confirmed on the full
 shingle sets. Buckets whose members are then still in different components
-go another round with their next centre, and after ``ROUNDS`` rounds the
-remaining pairs between components are all confirmed, so no link is lost to
-the star shape.
+go another round with their next centre; after ``ROUNDS`` rounds the few
+pairs that remain between components are confirmed too, large buckets first
+being split by further bands, so no link is lost to the star shape.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ THRESHOLD = 75
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
 ROUNDS = 3
+#: Members of a bucket up to which its remaining pairs are listed; larger ones are split first.
+LISTED = 32
 #: Members confirmed against one copy of their centre.
 STAR = 256
 _KEEP = np.uint64((1 << 48) - 1)
@@ -140,6 +142,31 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .applyInArrow(_confirm_star, "a long, b long"))
 
 
+def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, cn, n) of members of one bucket in different components. Only
+    buckets of at most ``LISTED`` members are listed; the members of a larger
+    one are dealt again by every other band they share, which a linked pair
+    survives except with odds of (1 - 0.75 ** ROWS) ** (BANDS - 1)."""
+    bands = classes.select(F.col("rep").alias("id"), "bands")
+    level = met.select("bucket", "id", "n", "component").withColumn("used", F.array("bucket"))
+    listed = None
+    for _ in range(BANDS):
+        sizes = (level.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .where("lo < hi").select("bucket", "size"))
+        level = level.join(sizes, "bucket").checkpoint()
+        few = level.where(F.col("size") <= LISTED)
+        x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"))
+        pairs = x.join(few, "bucket").where("a < id AND cc <> component").select("a", F.col("id").alias("b"), "cn", "n")
+        listed = pairs if listed is None else listed.unionByName(pairs)
+        many = level.where(F.col("size") > LISTED).drop("size")
+        if many.isEmpty():
+            break
+        level = (many.join(bands, "id").withColumn("band", F.explode(F.array_except("bands", "used")))
+                 .select(F.xxhash64("bucket", "band").alias("bucket"), "id", "n", "component",
+                         F.array_append("used", F.col("band")).alias("used")))
+    return listed
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -179,8 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             star = heads.join(own, ["bucket", "centre"]).join(met, "bucket").where("centre <> id AND cc <> component")
             pairs = star.select(F.col("centre").alias("a"), F.col("id").alias("b"), "cn", "n")
         else:
-            x = met.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"))
-            pairs = x.join(met, "bucket").where("a < id AND cc <> component").select("a", F.col("id").alias("b"), "cn", "n")
+            pairs = _rest(met, classes)
         pairs = (pairs.where(f"100 * least(cn, n) >= {THRESHOLD} * greatest(cn, n)").select("a", "b").distinct()
                  .join(done, ["a", "b"], "left_anti").checkpoint())
         if turn and pairs.isEmpty():

@@ -65,6 +65,20 @@ def test_chain_linked_only_through_the_largest_id(frame):
     assert run(frame(rows)) == near(rows)
 
 
+def test_large_mixed_buckets_are_split(frame, monkeypatch):
+    """Unrelated documents around one long passage: buckets mix many components."""
+    monkeypatch.setattr(minhash, "LISTED", 4)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        own = [f"d{i}x{j}" for j in range(rng.randint(15, 40))]
+        rows.append((2 * i, " ".join(passage + own)))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, " ".join(passage + own[:-3] + ["y1", "y2", "y3"])))
+    assert run(frame(rows)) == near(rows)
+
+
 def test_edges(frame):
     assert run(frame([])) == {}
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (9, "A B c d e f"), (8, "word " * 200000), (10, None)]
