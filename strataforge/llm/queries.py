@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets
+from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -94,3 +94,9 @@ def op10_language_id(spark, sf_dir):
 def op5_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    """Passages of 13 words that an earlier document has, removed from all documents."""
+    return substring_dedup.digest(substring_dedup.repeated_passages(read(spark, sf_dir, "documents")))

@@ -73,3 +73,21 @@ def near(rows, threshold=75):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def passages(rows, window=13):
+    """doc_id -> (words, removed, sha of the kept words): windows that start in a smaller document."""
+    seen = {}
+    split = [(i, words(t)) for i, t in rows]
+    for i, w in split:
+        for j in range(len(w) - window + 1):
+            k = tuple(w[j:j + window])
+            seen[k] = min(seen.get(k, i), i)
+    out = []
+    for i, w in split:
+        gone = [False] * len(w)
+        for j in range(len(w) - window + 1):
+            if seen[tuple(w[j:j + window])] < i:
+                gone[j:j + window] = [True] * window
+        out.append((i, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
+    return sorted(out)
