@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup
+from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup, suffix_dedup
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -100,3 +100,9 @@ def op5_minhash_near_dedup(spark, sf_dir):
 def op2_substring_dedup(spark, sf_dir):
     """Passages of 13 words that an earlier document has, removed from all documents."""
     return substring_dedup.digest(substring_dedup.repeated_passages(read(spark, sf_dir, "documents")))
+
+
+@register("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    """Every copy of byte strings of 400 that occur twice, removed from all documents."""
+    return suffix_dedup.digest(suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents"), keep_first=False))

@@ -91,3 +91,20 @@ def passages(rows, window=13):
                 gone[j:j + window] = [True] * window
         out.append((i, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
     return sorted(out)
+
+
+def byte_strings(rows, length=400, keep_first=False):
+    """(doc_id, bytes, removed, runs, sha of the rest): strings that also start elsewhere (or earlier)."""
+    raw, seen = sorted((i, (t or "").encode()) for i, t in rows), {}
+    for n, (_, b) in enumerate(raw):
+        for j in range(len(b) - length + 1):
+            seen.setdefault(b[j:j + length], []).append((n, j))
+    out = []
+    for n, (i, b) in enumerate(raw):
+        gone = bytearray(len(b))
+        for j in range(len(b) - length + 1):
+            at = seen[b[j:j + length]]
+            if at[0] < (n, j) if keep_first else len(at) > 1:
+                gone[j:j + length] = b"\1" * length
+        out.append((i, len(b), sum(gone), len(re.findall(b"\1+", gone)), sha(bytes(x for x, g in zip(b, gone) if not g))))
+    return sorted(out)
