@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup, suffix_dedup
+from strataforge.llm import decontam, exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup, suffix_dedup
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -106,3 +106,33 @@ def op2_substring_dedup(spark, sf_dir):
 def op3_suffix_dedup(spark, sf_dir):
     """Every copy of byte strings of 400 that occur twice, removed from all documents."""
     return suffix_dedup.digest(suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents"), keep_first=False))
+
+
+def decontam_sql(documents: str = "documents", benchmark: str = "benchmark") -> str:
+    """Every aligned window scored by exact shingle multisets; no fingerprints."""
+    def five(w: str) -> str:
+        return (f"CASE WHEN len({w}) >= 5 THEN list_transform(range(1, len({w}) - 3), lambda i: list_aggregate({w}[i:i + 4], 'string_agg', ' ')) "
+                f"WHEN len({w}) > 0 THEN [list_aggregate({w}, 'string_agg', ' ') || ' ' || len({w})] ELSE [] END")
+    return f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({lower_az_sql("coalesce(text, '')")}, '{WORD}') AS w FROM {documents} WHERE doc_id IS NOT NULL),
+    b AS (SELECT item_id, regexp_extract_all({lower_az_sql("coalesce(text, '')")}, '{WORD}') AS w FROM {benchmark} WHERE item_id IS NOT NULL),
+    dl AS (SELECT doc_id, {five("w")} AS s FROM d),
+    bl AS (SELECT item_id, len(w) AS length, {five("w")} AS s FROM b WHERE len(w) > 0),
+    ds AS (SELECT doc_id, len(s) AS total, unnest(s) AS h, generate_subscripts(s, 1) - 1 AS p FROM dl),
+    bs AS (SELECT item_id, length, len(s) AS m, unnest(s) AS h, generate_subscripts(s, 1) - 1 AS q FROM bl),
+    st AS (SELECT DISTINCT doc_id, length, greatest(length - 4, 1) AS span, greatest(0, least(p - q, total - greatest(length - 4, 1))) AS start
+           FROM ds JOIN bs USING (h)),
+    ws AS (SELECT st.doc_id, st.length, st.start, ds.h, count(*) AS mine FROM st JOIN ds ON ds.doc_id = st.doc_id
+           AND ds.p >= st.start AND ds.p < st.start + st.span GROUP BY ALL),
+    n AS (SELECT doc_id, length, start, sum(mine) AS n FROM ws GROUP BY ALL),
+    t AS (SELECT item_id, length, m, h, count(*) AS theirs FROM bs GROUP BY ALL),
+    x AS (SELECT ws.doc_id, t.item_id, ws.length, ws.start, t.m, sum(least(mine, theirs)) AS shared FROM ws JOIN t USING (h, length) GROUP BY ALL),
+    y AS (SELECT x.*, n.n + x.m - x.shared AS joint FROM x JOIN n USING (doc_id, length, start)),
+    z AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared / joint DESC, start) AS r FROM y WHERE 100 * shared >= 75 * joint)
+    SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, round(shared / joint, 6) AS similarity FROM z WHERE r = 1"""
+
+
+@register("op7_decontamination", decontam_sql())
+def op7_decontamination(spark, sf_dir):
+    """Benchmark passages in all documents."""
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
