@@ -24,9 +24,9 @@ REPLY = "block int, shard int, round int, reply binary"
 
 
 def to_blocks(docs: DataFrame, per_partition: int = 2) -> DataFrame:
-    """(block, doc_id, text), dealt by block."""
+    """The columns of ``docs`` (doc_id, text, ...) after block, dealt by block."""
     n = partitions(docs.sparkSession)
-    return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n * per_partition)).cast("int").alias("block"), "doc_id", "text")
+    return (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n * per_partition)).cast("int").alias("block"), *docs.columns)
             .repartition(n, "block"))
 
 

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import decontam, exact_dedup, langid, minhash, mixing, pii, secrets, substring_dedup, suffix_dedup
+from strataforge.llm import (decontam, exact_dedup, langid, lm_score, minhash, mixing, pii, secrets, substring_dedup,
+                            suffix_dedup)
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -136,3 +137,11 @@ def decontam_sql(documents: str = "documents", benchmark: str = "benchmark") ->
 def op7_decontamination(spark, sf_dir):
     """Benchmark passages in all documents."""
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op1_lm_score")
+def op1_lm_score(spark, sf_dir):
+    """Model scores of all documents, learned from the rows that are not held out."""
+    held = langid.held_out("doc_id", 7)
+    out = lm_score.score(read(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
