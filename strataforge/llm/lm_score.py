@@ -20,6 +20,7 @@ training documents and what is exchanged grows with the input.
 from __future__ import annotations
 
 import struct
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -185,18 +186,22 @@ def _at(values: np.ndarray, i: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- blocks
 
 def _small(x: np.ndarray) -> bytes:
-    """Non-negative integers in the narrowest width."""
+    """Non-negative integers in the narrowest width; counts and codes, which repeat, are deflated, hashes are not."""
     top = int(x.max()) if len(x) else 0
     kind = "u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4"
-    return struct.pack("<QB", len(x), np.dtype(kind).itemsize) + x.astype(kind).tobytes()
+    body = x.astype(kind).tobytes()
+    if x.dtype != np.uint32:
+        body = zlib.compress(body, 1)
+    return struct.pack("<QBB", len(body), np.dtype(kind).itemsize, x.dtype != np.uint32) + body
 
 
 def _smalls(data: bytes, n: int) -> list[np.ndarray]:
     at, out = 0, []
     for _ in range(n):
-        size, width = struct.unpack_from("<QB", data, at)
-        out.append(np.frombuffer(data, f"<u{width}", size, at + 9))
-        at += 9 + size * width
+        size, width, deflated = struct.unpack_from("<QBB", data, at)
+        body = data[at + 10:at + 10 + size]
+        out.append(np.frombuffer(zlib.decompress(body) if deflated else body, f"<u{width}"))
+        at += 10 + size
     return out
 
 
@@ -313,7 +318,7 @@ def trie_answer(trie: Trie, keys: bytes, extra: bytes) -> bytes:
     one = trie.find1(words)
     two = trie.find2(np.repeat(one, fan2), tail2)
     three = trie.find3(np.repeat(two, fan3), tail3)
-    return b"".join(map(_small, (_at(trie.counts, one), _at(trie.weight1, one), _at(trie.prob2, two), _at(trie.weight2, two),
+    return b"".join(map(_small, (_at(trie.counts, one).astype(np.int64), _at(trie.weight1, one), _at(trie.prob2, two), _at(trie.weight2, two),
                                  _at(trie.prob3, three))))
 
 
@@ -322,7 +327,7 @@ def _asked(docs: DataFrame, train: Column, id_col: str, text_col: str):
     rows = (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                     F.coalesce(train, F.lit(False)).alias("train")))
-    dealt = blocks.to_blocks(rows)
+    dealt = blocks.to_blocks(rows, 1)
 
     def ask(table: pa.Table) -> pa.Table:
         return Block(table).ask(table.column("block")[0].as_py(), shards)
