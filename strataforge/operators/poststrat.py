@@ -43,8 +43,6 @@ def coefficient_draws(spark: SparkSession, terms: Sequence[str], mean: Sequence[
     draw (``draw`` 1..n) and one column per term. beta = mean + L z with z
     keyed-hash normals of (seed, term index, draw). The covariance is small
     (terms x terms) and factored on the driver."""
-    if n_draws > MAX_BROADCAST_DRAWS:
-        raise ValueError(f"n_draws={n_draws} exceeds the broadcast bound {MAX_BROADCAST_DRAWS}")
     p = len(terms)
     L, _ = cholesky_factor(np.zeros((p, p)) if cov is None else cov, ridge)
     d = spark.range(1, n_draws + 1).select(F.col("id").cast("int").alias("draw"))
@@ -71,18 +69,16 @@ def linear_predictor(draws: DataFrame, design: dict[str, Column]) -> Column:
 
 def with_draws(strata: DataFrame, draws: DataFrame, n_draws: int | None = None) -> DataFrame:
     """J13 without a cross join: each stratum row is repeated once per draw
-    id (``explode(sequence)``) and the draw table (``n_draws`` rows, a
-    bounded parameter) is joined on the id as a broadcast hash join."""
+    id (``explode(sequence)``) and the draw table (``n_draws`` rows) is joined
+    on the id, broadcast up to ``MAX_BROADCAST_DRAWS`` rows."""
     n = int(n_draws) if n_draws is not None else int(draws.agg(F.max("draw")).first()[0])
-    if n > MAX_BROADCAST_DRAWS:
-        raise ValueError(f"n_draws={n} exceeds the broadcast bound {MAX_BROADCAST_DRAWS}")
     # The strata table is small in bytes, so AQE may have coalesced it into
     # very few partitions; the explode multiplies its rows by n. Spread it
     # first (an explicit repartition(n) is never coalesced by AQE).
     spark = strata.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     rep = strata.repartition(parts).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    return rep.join(F.broadcast(draws), "draw")
+    return rep.join(F.broadcast(draws) if n <= MAX_BROADCAST_DRAWS else draws, "draw")
 
 
 def cell_draws(strata: DataFrame, draws: DataFrame, design: dict[str, Column],
@@ -117,15 +113,16 @@ def cell_draws(strata: DataFrame, draws: DataFrame, design: dict[str, Column],
 
 
 def stage_shares(p_turnout: Column, p_first: Column, p_second: Column,
-                 scale: str = "population") -> dict[str, Column]:
-    """Shares of three choices from the sequential stages.
+                 scale: str = "population",
+                 names: Sequence[str] = ("AITC", "NDA", "OTHER")) -> dict[str, Column]:
+    """Shares of three choices (``names``) from the sequential stages.
     ``population`` multiplies by turnout (reference); ``votes`` does not."""
     a = p_first
     b = (F.lit(1.0) - p_first) * p_second
     o = (F.lit(1.0) - p_first) * (F.lit(1.0) - p_second)
     if scale == "population":
-        return {"AITC": p_turnout * a, "NDA": p_turnout * b, "OTHER": p_turnout * o}
-    return {"AITC": a, "NDA": b, "OTHER": o}
+        a, b, o = p_turnout * a, p_turnout * b, p_turnout * o
+    return dict(zip(names, (a, b, o)))
 
 
 def poststratify(cells: DataFrame, area, weight: str, values: Sequence[str],

@@ -23,6 +23,7 @@ SURVEY_SEEDS = {"p_will_vote": 101, "p_aitc": 102, "p_nda": 103, "p_lf": 104,
                 "p_inc": 105, "p_nota": 106}
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+STATUSES = ("F", "O", "P")
 AGE_BANDS = ("18-25", "26-35", "36-45", "46-60", "60+")
 
 
@@ -103,6 +104,7 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, "Urb").otherwise("Rur").alias("area_type"),
         _pick(SEGMENTS, k % 5).alias("R"),
         _pick(PRIORITIES, (k / 5).cast("bigint") % 5).alias("G"),
+        _pick(STATUSES, (k / 25).cast("bigint") % 3).alias("SG"),
         *probs,
     )
 
@@ -118,6 +120,7 @@ def _survey_sql() -> str:
         probs.append(f"CASE WHEN event_id % 10 = 0 THEN {u} * 100 ELSE {u} END AS {name}")
     seg = ", ".join(f"'{v}'" for v in SEGMENTS)
     pri = ", ".join(f"'{v}'" for v in PRIORITIES)
+    sta = ", ".join(f"'{v}'" for v in STATUSES)
     band = ", ".join(f"'{v}'" for v in AGE_BANDS)
     return f"""
 SELECT event_id AS resp_id,
@@ -128,6 +131,7 @@ SELECT event_id AS resp_id,
        CASE WHEN event_id % 3 = 0 THEN 'Urb' ELSE 'Rur' END AS area_type,
        [{seg}][event_id % 5 + 1] AS "R",
        [{pri}][(event_id // 5) % 5 + 1] AS "G",
+       [{sta}][(event_id // 25) % 3 + 1] AS "SG",
        {", ".join(probs)}
 FROM events
 """

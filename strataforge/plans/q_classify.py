@@ -96,12 +96,11 @@ def fill_missing_labels(spark, sf_dir):
 @register("routed_predict")
 def routed_predict(spark, sf_dir):
     """M13 + J17: stage 1 picks the language; each language's quality head
-    scores its rows; a language without a head (the last one) gets the
-    default outputs (U, 1.0). Confidences rounded to 3."""
+    scores its rows; the unknown class gets the default outputs (U, 1.0). Confidences rounded to 3."""
     d = _quality_docs(spark, sf_dir)
     s1 = classify.train(d, "features_text", "lang", LANG_VOCAB, "U")
     heads = {}
-    for lang in LANG_VOCAB[:3]:
+    for lang in LANG_VOCAB[:-1]:
         sub = d.where((F.col("lang") == lang) & F.col("quality").isNotNull())
         heads[lang] = {"quality": (classify.train(sub, "features_text", "quality", QUALITY_VOCAB, "U"), QUALITY_VOCAB)}
     out = classify.routed_predict(s1, LANG_VOCAB, heads, d, "doc_id", "features_text", "U", DEFAULTS)

@@ -8,10 +8,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strataforge.functions import numeric as N
-from strataforge.functions.hashing import dlit, normal_pair, normal_pair_sql, normal_sql
-from strataforge.operators import frame, model, poststrat, results, sampling
+from strataforge.functions.hashing import dlit, normal_pair, normal_pair_sql, normal_sql, uniform_sql
+from strataforge.functions import text as T
+from strataforge.operators import frame, match, model, poststrat, results, sampling
 from strataforge.operators.joins import join_bounded
-from strataforge.plans import q_results
+from strataforge.plans import catalogue, q_results
 from strataforge.plans.catalogue import register, r6, cte
 from strataforge.plans.derived import roll, survey, SURVEY_SQL
 from strataforge.plans.q_frame import draws_sql
@@ -22,7 +23,7 @@ from strataforge.session import ensure_checkpoint_dir
 # random-effect spreads used by the oracle forecasts.
 TURNOUT_SEED = 2026
 CHOICE_SEED = 2027
-FORECAST_DRAWS = 200
+FORECAST_DRAWS = 500
 STAGE_COEF = {
     "t": ((0.4, 0.3), ((0.0100, 0.0010), (0.0010, 0.0040)), 11),
     "a": ((-0.2, 0.5), ((0.0090, 0.0000), (0.0000, 0.0030)), 12),
@@ -30,7 +31,7 @@ STAGE_COEF = {
 }
 RE_SD = {"eroll_no": 0.3, "age_band": 0.2}
 NOISE_SEED = 99
-FACTORS = ("constituency_name", "gender", "age_band", "area_type", "R", "G")
+FACTORS = ("constituency_name", "gender", "age_band", "area_type", "R", "G", "SG")
 
 
 # ----------------------------------------------------------- past results
@@ -164,16 +165,42 @@ def _fit_table(spark, sf_dir, factors, kind):
     return f.coefficient_table(spark)
 
 
-@register("glm_fit")
+def glm_sql() -> str:
+    """Newton's method on the cells, 25 steps from zero."""
+    parts = dict(
+        **past_sql(), s=SURVEY_SQL,
+        r="""SELECT resp_id, constituency_name, CASE WHEN p_will_vote > 1 THEN p_will_vote / 100 ELSE p_will_vote END AS pw
+             FROM s WHERE p_will_vote IS NOT NULL AND p_aitc IS NOT NULL AND p_nda IS NOT NULL""",
+        y=f"""SELECT coalesce(p.turnout_2021_z, (SELECT quantile_cont(turnout_2021_z, 0.5) FROM past)) AS x,
+                     CAST({uniform_sql(TURNOUT_SEED, "r.resp_id")} < r.pw AS INTEGER) AS y
+              FROM r LEFT JOIN past p ON r.constituency_name = p.constituency_name""",
+        cells="SELECT x, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM y GROUP BY x",
+        it="""SELECT 0 AS k, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 UNION ALL
+              SELECT k + 1, b0 + (c * g0 - b * g1) / (a * c - b * b), b1 + (a * g1 - b * g0) / (a * c - b * b)
+              FROM (SELECT k, b0, b1, sum(n * p * (1 - p)) AS a, sum(n * p * (1 - p) * x) AS b, sum(n * p * (1 - p) * x * x) AS c,
+                           sum(s - n * p) AS g0, sum(x * (s - n * p)) AS g1
+                    FROM (SELECT it.k, it.b0, it.b1, x, n, s, 1 / (1 + exp(-(it.b0 + it.b1 * x))) AS p FROM it, cells WHERE it.k < 25)
+                    GROUP BY k, b0, b1)""",
+        fit="""SELECT b0, b1, c / (a * c - b * b) AS v0, a / (a * c - b * b) AS v1
+               FROM (SELECT b0, b1, sum(n * p * (1 - p)) AS a, sum(n * p * (1 - p) * x) AS b, sum(n * p * (1 - p) * x * x) AS c
+                     FROM (SELECT it.b0, it.b1, x, n, 1 / (1 + exp(-(it.b0 + it.b1 * x))) AS p FROM it, cells WHERE it.k = 25)
+                     GROUP BY b0, b1)""")
+    flags = "'glm' AS model_type, true AS converged, false AS singular, CAST(0 AS INTEGER) AS iterations, false AS fallback_cov"
+    return cte(**parts).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT 'fixed' AS kind, '(Intercept)' AS term, CAST(NULL AS VARCHAR) AS level, round(b0, 6) AS estimate, round(sqrt(v0), 6) AS sd, {flags} FROM fit
+UNION ALL SELECT 'fixed', 'turnout_2021_z', NULL, round(b1, 6), round(sqrt(v1), 6), {flags} FROM fit"""
+
+
+@register("glm_fit", glm_sql())
 def glm_fit(spark, sf_dir):
     """M3: plain logistic regression of stage-0 turnout on the area
-    covariate (Spark ML IRLS on cells); rows only (iterative)."""
-    return _fit_table(spark, sf_dir, (), "glm")
+    covariate (Spark ML IRLS on cells); the oracle takes Newton steps."""
+    return _fit_table(spark, sf_dir, (), "glm").withColumns({"estimate": r6("estimate"), "sd": r6("sd")})
 
 
 @register("mixed_fit")
 def mixed_fit(spark, sf_dir):
-    """M1 + M4 + M5: crossed random intercepts for six factors by the
+    """M1 + M4 + M5: crossed random intercepts for seven factors by the
     distributed variational fit, with the fallback chain."""
     return _fit_table(spark, sf_dir, FACTORS, "chain")
 
@@ -388,6 +415,49 @@ def seat_forecast_votes(spark, sf_dir):
     return seat_forecast_from_cells(spark, sf_dir, three_stage_cells(spark, sf_dir, p, keys=False), p, "votes")
 
 
+CHOICE_OF_BUCKET = {"AITC+": "AITC", "BJP": "NDA", "Other": "OTHER"}
+
+
+def _forecast_check_sql() -> str:
+    one = " UNION ALL ".join(
+        f"""SELECT '{c}' AS choice, truth, winner, {a} AS a, ci_low_{c} AS lo, ci_high_{c} AS hi FROM j"""
+        for a, c in (("a", "AITC"), ("j", "NDA"), ("o", "OTHER")))
+    return f"""WITH fc AS ({catalogue.ORACLE["seat_forecast_votes"]}),
+    off AS ({q_results.base("win")} SELECT constituency, a, j, o, CASE winner WHEN 'AITC+' THEN 'AITC' WHEN 'BJP' THEN 'NDA' ELSE 'OTHER' END AS truth FROM win),
+    j AS (SELECT fc.*, off.a, off.j, off.o, off.truth FROM fc JOIN off ON fc.constituency_name = off.constituency),
+    x AS ({one})
+    SELECT choice, CAST(sum(CASE WHEN truth = choice THEN 1 ELSE 0 END) AS BIGINT) AS seats,
+           CAST(sum(CASE WHEN truth = choice AND winner = choice THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+           CAST(sum(CASE WHEN a BETWEEN lo AND hi THEN 1 ELSE 0 END) AS BIGINT) AS inside,
+           round(avg(CASE WHEN a BETWEEN lo AND hi THEN 1 ELSE 0 END), 6) AS coverage, round(avg(hi - lo), 6) AS mean_width,
+           round(avg(greatest(a - hi, 0)) + avg(greatest(lo - a, 0)), 6) AS mean_miss FROM x GROUP BY choice"""
+
+
+@register("forecast_check", _forecast_check_sql())
+def forecast_check(spark, sf_dir):
+    """J11 + J10 + A15 + A16 end to end: the vote-share forecast against the
+    official bucket result. Official names come in another spelling (lower
+    case, blanks, an area code); they are cleaned (F5, F6) and matched to the
+    forecast's names, then seats won, hits and interval coverage per choice."""
+    fc = seat_forecast_votes(spark, sf_dir)
+    off = q_results.bucket_wide(spark, sf_dir).withColumn(
+        "name", F.concat(F.lit("  "), F.lower("constituency"), F.lit(" - 07 ")))
+    off = off.select(T.strip_trailing_code("name").alias("name"), "winner",
+                     *[F.col(f"`{b}_vote_share`").alias(f"actual_{c}") for b, c in CHOICE_OF_BUCKET.items()])
+    pairs = match.best_match(fc, off, "constituency_name", "name")
+    truth = F.when(F.col("official") == "AITC+", "AITC").when(F.col("official") == "BJP", "NDA").otherwise("OTHER")
+    j = (fc.join(pairs.select(F.col("left_name").alias("constituency_name"), F.col("right_name").alias("name")), "constituency_name")
+         .join(off.withColumnRenamed("winner", "official"), "name").withColumn("truth", truth))
+    choices = list(CHOICE_OF_BUCKET.values())
+    cover = results.interval_check(j, ["constituency_name"], choices)
+    won = F.explode(F.array(*[F.struct(F.lit(c).alias("choice"), (F.col("truth") == c).cast("int").alias("is"),
+                                       ((F.col("truth") == c) & (F.col("winner") == c)).cast("int").alias("hit")) for c in choices]))
+    seats = j.select(won.alias("w")).groupBy("w.choice").agg(F.sum("w.is").cast("bigint").alias("seats"),
+                                                             F.sum("w.hit").cast("bigint").alias("hits"))
+    return seats.join(cover, "choice").select("choice", "seats", "hits", "inside",
+                                              *[r6(c).alias(c) for c in ("coverage", "mean_width", "mean_miss")])
+
+
 @register("seat_forecast", cte(**_cells_sql(),
     ps="""SELECT constituency_name, draw, sum(n_individuals * "AITC") / sum(n_individuals) AS a,
               sum(n_individuals * "NDA") / sum(n_individuals) AS n, sum(n_individuals * "OTHER") / sum(n_individuals) AS o
@@ -418,7 +488,7 @@ def seat_forecast(spark, sf_dir):
 # ----------------------------------------------------------- end to end
 
 STAGES = (("t", "voted", "turnout_2021_z"), ("a", "voted_AITC", "AITC_2021_z"), ("n", "voted_NDA_cond", "NDA_cond_2021_z"))
-MRP_DRAWS = 200
+MRP_DRAWS = 500
 MRP_SEED = 3030
 
 

@@ -18,7 +18,7 @@ TURNOUT_SEED = 2026
 CLASS_SEED = 77
 SAMPLE_SEED = 42
 SAMPLE_N = 5000
-GUARANTEED_N = 2000
+GUARANTEED_N = 50_000
 GROUP_PCT = 0.05
 PAGES_K = 3
 SPLIT_SEED = 42
