@@ -27,6 +27,10 @@ from strataforge.operators.joins import join_bounded
 from strataforge.session import ensure_checkpoint_dir
 
 
+#: Equal stretches of a range partition's positions in ``weighted_draws``.
+DRAW_CELLS = 64
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -106,9 +110,28 @@ def weighted_draws(spark, rows: DataFrame, key: str, weight: str, n, seed,
     d = Bucketizer(splits=splits, inputCol="__t", outputCol="__b").transform(d)
     d = d.select(draw_col, F.col("__t").alias("__pos"), F.element_at(pid_of, F.col("__b")).alias("__pid"))
     rk = pre.select(F.col(key).alias("__key"), F.col("__lo").alias("__pos"), "__pid")
-    u = (rk.withColumn(draw_col, F.lit(None).cast("int")).withColumn("__kind", F.lit(0))
+
+    # A heavy row holds the draws of a wide stretch of positions, so a
+    # partition's positions are cut into equal cells and the merge runs per
+    # cell; each cell starts with the last row that begins before it.
+    low = F.create_map(*[x for s in starts for x in (F.lit(s["__pid"]), F.lit(float(s["s"])))])
+    wide = F.create_map(*[x for s in starts for x in (F.lit(s["__pid"]), F.lit(float(s["e"]) - float(s["s"])))])
+
+    def cell(df: DataFrame) -> DataFrame:
+        c = F.floor((F.col("__pos") - low[F.col("__pid")]) / wide[F.col("__pid")] * DRAW_CELLS)
+        return df.withColumn("__cell", F.least(F.greatest(c, F.lit(0)), F.lit(DRAW_CELLS - 1)).cast("int"))
+
+    rk, d = cell(rk.where(F.col("__pid").isin([s["__pid"] for s in starts]))), cell(d)
+    last = rk.groupBy("__pid", "__cell").agg(F.max_by("__key", "__pos").alias("__last"))
+    grid = spark.createDataFrame([(s["__pid"],) for s in starts], "__pid int").withColumn(
+        "__cell", F.explode(F.sequence(F.lit(0), F.lit(DRAW_CELLS - 1))))
+    before = Window.partitionBy("__pid").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (grid.join(last, ["__pid", "__cell"], "left")
+             .withColumn("__key", F.last("__last", ignorenulls=True).over(before)).where(F.col("__key").isNotNull())
+             .select("__key", F.lit(-1.0).alias("__pos"), "__pid", "__cell"))
+    u = (rk.unionByName(carry).withColumn(draw_col, F.lit(None).cast("int")).withColumn("__kind", F.lit(0))
            .unionByName(d.withColumn("__key", F.lit(None).cast(dict(pre.dtypes)[key])).withColumn("__kind", F.lit(1))))
-    run = Window.partitionBy("__pid").orderBy("__pos", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("__pid", "__cell").orderBy("__pos", "__kind").rowsBetween(Window.unboundedPreceding, 0)
     m = u.withColumn("__row", F.last("__key", ignorenulls=True).over(run)).where(F.col("__kind") == 1)
     return m.select(draw_col, F.col("__row").alias(key))
 
@@ -123,21 +146,26 @@ def top_per_group(df: DataFrame, group, order: Column, key: str) -> DataFrame:
     return best.select(*group, "__r.*")
 
 
-def hash_rank(df: DataFrame, group, key: str, seed, target_rows: int = 1_000_000) -> DataFrame:
+def hash_rank(df: DataFrame, group, key: str, seed, target_rows: int = 1_000_000,
+              upto: Column | None = None) -> DataFrame:
     """Exact 1-based rank of each row inside its group by u(seed, key) (ties
-    by key), plus the group size ``__n``. Groups are cut into sub-buckets by
-    hash range (B_g = ceil(n_g / target_rows)); the window only ever holds
-    one sub-bucket."""
+    by key), plus the group size ``__n``; null group values are a group.
+    Groups are cut into sub-buckets by hash range (B_g = ceil(n_g /
+    target_rows)); the window only ever holds one sub-bucket. With ``upto``
+    (an expression of ``__n``) only ranks up to it are needed: sub-buckets
+    that begin beyond it are dropped before the window's shuffle."""
     group = [group] if isinstance(group, str) else list(group)
     u = uniform(seed, key)
     x = df.withColumn("__u", u)
     sizes = x.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.withColumn("__B", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(target_rows))).cast("int"))
-    x = join_bounded(x, sizes, group, "left").withColumn("__b", F.floor(F.col("__u") * F.col("__B")).cast("int"))
+    x = join_bounded(x, sizes, group, "left", null_safe=True).withColumn("__b", F.floor(F.col("__u") * F.col("__B")).cast("int"))
     cnt = x.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__c"))
     wb = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(wb), F.lit(0))).drop("__c")
-    x = join_bounded(x, cnt, group + ["__b"], "left")
+    x = join_bounded(x, cnt, group + ["__b"], "left", null_safe=True)
+    if upto is not None:
+        x = x.where(F.col("__off") < upto)
     wr = Window.partitionBy(*group, "__b").orderBy("__u", key)
     return x.withColumn("__rank", F.col("__off") + F.row_number().over(wr)).drop("__B", "__b", "__off")
 
@@ -145,8 +173,8 @@ def hash_rank(df: DataFrame, group, key: str, seed, target_rows: int = 1_000_000
 def sample_per_group(df: DataFrame, group, key: str, seed, pct: float, minimum: int = 1,
                      target_rows: int = 1_000_000) -> DataFrame:
     """k = clamp(ceil(n * pct), minimum, n) random rows per group."""
-    r = hash_rank(df, group, key, seed, target_rows)
     k = F.least(F.greatest(F.ceil(F.col("__n") * F.lit(pct)), F.lit(minimum)), F.col("__n"))
+    r = hash_rank(df, group, key, seed, target_rows, upto=k)
     return r.where(F.col("__rank") <= k).drop("__u", "__n", "__rank")
 
 
@@ -199,23 +227,17 @@ def row_slice(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
               .drop("__w", "__pid", "__lo", "__hi")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, small_rows: int = 1_000_000) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs) -> list:
     """Exact linear-interpolation quantiles (R type 7, ``quantile_cont``)
     of a whole column without a single-task aggregate: global ranks come
     from ``global_prefix`` over (value, row id) -- the row id spreads a
     heavily repeated value over several range partitions -- and only the
-    rows at the needed ranks (two per probability) reach the driver. A
-    column of at most ``small_rows`` values (checked by a count) takes one
-    exact ``percentile`` aggregate instead."""
+    rows at the needed ranks (two per probability) reach the driver."""
     import math as _m
     v = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     n = v.count()
     if n == 0:
         return [None for _ in probs]
-    if n <= small_rows:
-        # size checked: one exact aggregate whose value map holds at most n values
-        r = v.agg(F.percentile("__v", [float(q) for q in probs]).alias("q")).first()["q"]
-        return [float(x) for x in r]
     x = v.withColumn("__tie", F.monotonically_increasing_id())
     pre = global_prefix(x, ["__v", "__tie"])
     need = {}
@@ -251,7 +273,7 @@ def group_positions(df: DataFrame, group, order, partitions: int | None = None)
                      F.coalesce(F.sum("__n").over(wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias("__off"),
                      F.sum("__n").over(wg).alias("__size"))
-    out = join_bounded(local, off, ["__pid", *group], "left")
+    out = join_bounded(local, off, ["__pid", *group], "left", null_safe=True)
     return out.withColumn("__pos", (F.col("__off") + F.col("__c") - 1).cast("bigint")).drop("__pid", "__c", "__off")
 
 
