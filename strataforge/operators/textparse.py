@@ -12,8 +12,11 @@ the reference used Python ``re`` (Unicode), so patterns carry ``(?U)``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataforge.functions.text import strip_all, remove_think, think_text, json_span
 
@@ -153,37 +156,72 @@ def parse_voters(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
              .select(*keep, "block_no", "__v.*").where(F.col("name") != ""))
 
 
-def html_table_rows(html, min_cells: int = 7, take=(1, 2, 5, 6)) -> Column:
+#: Entities the page texts may use, the ampersand last.
+ENTITIES = (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
+            ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&#38;", "&"), ("&amp;", "&"))
+
+
+def unescape(text) -> Column:
+    """Character references of HTML as characters."""
+    t = _c(text)
+    for name, char in ENTITIES:
+        t = F.replace(t, F.lit(name), F.lit(char))
+    return t
+
+
+def html_table_rows(html, min_cells: int = 7, take=(1, 2, 5, 6), table_class: str | None = None) -> Column:
     """Table rows as structs of the chosen cells' text (tags removed,
-    stripped); rows with fewer than ``min_cells`` cells are skipped."""
-    rows = F.regexp_extract_all(_c(html), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)
-    cells = F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1))
+    entities decoded, stripped); rows with fewer than ``min_cells`` cells are
+    skipped. Tags may be in either case and ``</td>`` / ``</tr>`` may be
+    missing: a row or cell also ends where the next one or the table's end
+    begins. With ``table_class`` only the first table of that class counts."""
+    page = _c(html)
+    if table_class is not None:
+        page = F.regexp_extract(page, rf"(?is)<table\b[^>]*\bclass\s*=\s*[\"']?[^\"'>]*\b{table_class}\b[^>]*>(.*?)(?:</table|\z)", 1)
+    rows = F.regexp_extract_all(page, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr|<tr\b|</table|</tbody|\z)"), 1)
+    cells = F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)(?=</td|<td\b|\z)"), 1))
     ok = F.filter(cells, lambda c: F.size(c) >= min_cells)
     names = ("candidate", "party", "total_votes", "vote_share")
 
     def cell(c, i):
-        return strip_all(F.regexp_replace(F.element_at(c, i + 1), r"<[^>]+>", ""))
+        return strip_all(unescape(F.regexp_replace(F.element_at(c, i + 1), r"<[^>]+>", "")))
     return F.transform(ok, lambda c: F.struct(*[cell(c, i).alias(n) for i, n in zip(take, names)]))
 
 
-def option_list(html, pattern: str = r'<option[^>]*value="([^"]*)"[^>]*>(.*?)</option>') -> Column:
-    """(code, name) pairs of a dropdown; blank codes skipped."""
-    codes = F.regexp_extract_all(_c(html), F.lit(pattern), 1)
-    names = F.regexp_extract_all(_c(html), F.lit(pattern), 2)
-    pairs = F.arrays_zip(codes.alias("code"), names.alias("name"))
+OPTION = r"""(?is)<option\b[^>]*?\bvalue\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)(?=</option|<option\b|</select|(?![\s\S]))"""
+
+
+def option_list(html, pattern: str = OPTION) -> Column:
+    """(code, name) pairs of a dropdown; blank codes skipped. Values may
+    be in double, single or no quotes, tags in either case, end tags missing.
+    The last group of ``pattern`` is the name, the ones before it the code."""
+    groups = re.compile(pattern).groups
+
+    def every(i):
+        return F.regexp_extract_all(_c(html), F.lit(pattern), i)
+
+    code = every(1)
+    for i in range(2, groups):
+        code = F.zip_with(code, every(i), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
+    pairs = F.arrays_zip(F.transform(code, unescape).alias("code"),
+                         F.transform(every(groups), lambda n: unescape(n)).alias("name"))
     return F.filter(pairs, lambda p: strip_all(p["code"]) != "")
 
 
-def parse_answer(response, schema: str) -> Column:
+def parse_answer(response, schema: T.StructType | str) -> Column:
     """F24 + F25: drop think blocks, take first ``{`` to last ``}``, parse
-    strictly (trailing text after the object fails, as with ``json.loads``).
-    Returns a struct: the schema's fields (null unless parsed), ``thought``,
-    ``error`` (``no_json`` / ``parse_failed`` / null) and ``raw``."""
+    strictly (trailing text after the object fails, as with ``json.loads``;
+    of a repeated key the last value counts). Returns a struct: the schema's
+    fields (null unless parsed), ``thought``, ``error`` (``no_json`` /
+    ``parse_failed`` / null) and ``raw``."""
     r = _c(response)
     span = json_span(r)
-    valid = F.try_parse_json(F.concat(F.lit('{"v":'), span, F.lit("}"))).isNotNull()
-    parsed = F.from_json(span, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
-    fields = [f.strip().split(" ")[0] for f in schema.split(",")]
+    whole = F.from_json(F.concat(F.lit('{"v":'), span, F.lit("}")), "v string, bad string",
+                        {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "columnNameOfCorruptRecord": "bad"})
+    valid = span.isNotNull() & whole["bad"].isNull()
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    parsed = F.from_json(span, shape, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    fields = shape.fieldNames()
     err = F.when(span.isNull(), F.lit("no_json")).when(~valid, F.lit("parse_failed"))
     return F.struct(*[F.when(valid, parsed[f]).alias(f) for f in fields],
                     strip_all(think_text(r)).alias("thought"), err.alias("error"),

@@ -193,7 +193,12 @@ def corrupt_tolerant_scan(spark, sf_dir):
     return r.select("event_id", "k", F.col("_corrupt_record").isNotNull().alias("corrupt"))
 
 
-@register("model_artifact")
+def _artifact_oracle() -> str:
+    from strataforge.plans.q_model import glm_sql
+    return glm_sql()
+
+
+@register("model_artifact", _artifact_oracle())
 def model_artifact(spark, sf_dir):
     """A fitted coefficient table saved as Parquet and loaded back."""
     from strataforge.plans.q_model import glm_fit
@@ -245,7 +250,7 @@ def _records_oracle() -> str:
 @register("stream_record_blocks", _records_oracle())
 def stream_record_blocks(spark, sf_dir):
     """T1 as in the reference: roll page texts land as files; a stream
-    (two files per micro-batch, ``availableNow``, checkpointed progress)
+    (``availableNow``, checkpointed progress)
     parses each page once into voter rows (F33) and appends them; the result
     equals the one-shot batch parse."""
     from strataforge.operators import textparse
@@ -254,7 +259,7 @@ def stream_record_blocks(spark, sf_dir):
     src = io.scratch_dir(spark, "pages-in")
     roll_pages(spark, sf_dir).repartition(8).write.mode("overwrite").parquet(src)
     schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
     out, ck = io.scratch_dir(spark, "voters-out"), io.scratch_dir(spark, "voters-ckpt")
     q = (textparse.parse_voters(stream, "text", ["c_custkey"]).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ck).outputMode("append")

@@ -39,18 +39,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
 
 
 def read_text_table(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """S3: all-text CSV; header names lose a UTF-8 BOM and outer blanks, so
-    the schema is given by position; blank cells become null (Q12)."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    raw = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
-    clean = [n.replace("﻿", "").strip() for n in names]
-    return raw.toDF(*clean).select(*[F.when(F.trim(F.col(c)) == "", None).otherwise(F.col(c)).alias(c) for c in clean])
-
-
-def header_names(spark: SparkSession, path: str) -> list[str]:
-    """First line of a CSV as cleaned names (one small read)."""
-    first = spark.read.text(path).limit(1).collect()
-    return [n.replace("﻿", "").strip() for n in first[0][0].split(",")] if first else []
+    """S3: all-text CSV. Columns are found by the names in the header line
+    (a UTF-8 BOM and outer blanks do not count), whatever their order; a name
+    the header lacks is a null column; files whose headers differ from each
+    other are refused, never misread. Blank cells become null (Q12)."""
+    def clean(n: str) -> str:
+        return n.replace("\ufeff", "").strip()
+
+    raw = (spark.read.option("header", True).option("encoding", "UTF-8").option("inferSchema", False)
+           .option("enforceSchema", False).csv(path))
+    place = {clean(n): i for i, n in reversed(list(enumerate(raw.columns)))}
+    by_place = raw.toDF(*[f"_c{i}" for i in range(len(raw.columns))])
+
+    def cell(name: str):
+        if name not in place:
+            return F.lit(None).cast("string").alias(name)
+        c = F.col(f"_c{place[name]}")
+        return F.when(F.trim(c) != "", c).alias(name)
+
+    return by_place.select(*[cell(clean(n)) for n in names])
 
 
 def with_path_keys(df: DataFrame, patterns: dict[str, str], path_col: str = "file_path") -> DataFrame:
