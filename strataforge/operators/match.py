@@ -1,9 +1,9 @@
 """Name matching.
 
 ``token_sort_ratio`` is the Indel similarity of the token-sorted strings:
-100 * 2 * LCS / (len a + len b) (not Levenshtein). LCS runs as nested
-array higher-order functions, i.e. inside the JVM, one dynamic-programming
-row per character of ``a``.
+100 * 2 * LCS / (len a + len b) (not Levenshtein). LCS runs bit-parallel in
+bigint expressions, i.e. inside the JVM, one step per character of the
+longer string.
 
 The best-match join (J10) never forms a cross product and never scores all
 pairs of a group: candidates come from exact prefix filtering on
@@ -14,8 +14,6 @@ names whose bound is empty fall back to the length band
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +30,39 @@ def sort_tokens(c) -> Column:
     return F.array_join(F.array_sort(toks), " ")
 
 
+#: Longest left string whose character positions fit the bits of one bigint.
+BIT_LENGTH = 61
+
+
 def lcs_length(a, b) -> Column:
-    """Length of the longest common subsequence of two strings. Row update:
-    x_j = prev[j-1] + 1 if a_i = b_j else prev[j]; new row = running max of
-    x (valid because a match value is never below its neighbours)."""
+    """Length of the longest common subsequence of two strings, bit-parallel:
+    ``v`` holds a 1 for every position of ``a`` where the dynamic-programming
+    row does not grow; per character of ``b`` the matching positions ``u``
+    turn it into (v + u) | (v - u). Strings of which neither fits
+    ``BIT_LENGTH`` characters go through ``lcs_rows``."""
+    a, b = _c(a), _c(b)
+    la, lb = F.length(a), F.length(b)
+    short, long = F.when(la <= lb, a).otherwise(b), F.when(la <= lb, b).otherwise(a)
+    n = F.least(la, lb)
+    every = F.call_function("shiftleft", F.lit(1).cast("bigint"), n) - 1
+    places = F.split(short, "")
+
+    def step(v, ch):
+        at = F.aggregate(F.transform(places, lambda x, i: F.when(x == ch, F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))),
+            F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(x))
+        u = v.bitwiseAND(at)
+        return (v + u).bitwiseOR(v - u).bitwiseAND(every)
+
+    last = F.aggregate(F.split(long, ""), every, step)
+    bits = n - F.bit_count(last)
+    return F.when(n == 0, F.lit(0)).when(n <= BIT_LENGTH, bits).otherwise(lcs_rows(a, b))
+
+
+def lcs_rows(a, b) -> Column:
+    """The same by whole rows, for long strings. Row update: x_j = prev[j-1] +
+    1 if a_i = b_j else prev[j]; new row = running max of x (valid because a
+    match value is never below its neighbours)."""
     ca = F.split(_c(a), "")
     cb = F.split(_c(b), "")
     lb = F.length(_c(b))
@@ -103,7 +130,12 @@ def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     # both distinct name sets feed several branches: materialise them once
     from strataforge.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(left.sparkSession)
-    lq, rq = lq.checkpoint(eager=True), rq.checkpoint(eager=True)
+    every_lq, rq = lq.checkpoint(eager=True), rq.checkpoint(eager=True)
+    # names with an equal partner have ratio 100 and need no candidates
+    same = rq.where(F.col("__rl") > 0).groupBy("__rt").agg(F.min("right_name").alias("right_name"))
+    equal = (every_lq.where(F.col("__ll") > 0).join(same, F.col("__lt") == F.col("__rt"))
+             .select("left_name", "right_name", F.lit(100.0).alias("score")))
+    lq = every_lq.join(equal.select("left_name"), "left_name", "left_anti").checkpoint(eager=True)
 
     def prefixes(df, name, text, length):
         alpha = _min_overlap(F.col(length), t) if 0 < t < 200 else F.lit(0)
@@ -142,7 +174,8 @@ def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     best = scored.groupBy("left_name").agg(
         F.min_by(F.struct("right_name", "score"), F.struct((-F.col("score")).alias("s"), F.col("right_name").alias("r")))
         .alias("__b"))
-    return best.select("left_name", F.col("__b.right_name").alias("right_name"), F.col("__b.score").alias("score"))
+    best = best.select("left_name", F.col("__b.right_name").alias("right_name"), F.col("__b.score").alias("score"))
+    return best.unionByName(equal.where(F.col("score") >= t))
 
 
 def lookup_ci(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, order_col: str,
@@ -159,8 +192,3 @@ def lookup_ci(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, order_
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
 
-
-def band_bounds(length: int, threshold: float) -> tuple[int, int]:
-    """Candidate length band for a name of ``length`` (for tests)."""
-    t = float(threshold)
-    return math.ceil(length * t / (200 - t)), math.floor(length * (200 - t) / t)
