@@ -98,6 +98,7 @@ class Fit:
     converged: bool = True
     fallback_cov: bool = False
     singular: bool = False
+    fallback_reason: str = ""
 
     def level_table(self, spark: SparkSession, factor: str) -> DataFrame:
         """Fitted effect per level of one factor (mean, posterior sd); a
@@ -276,16 +277,24 @@ def fit_glm(spark: SparkSession, cell_df: DataFrame, covariate: str, max_iter: i
 def fit_with_fallback(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], area: str,
                       covariate: str, min_variance: float = 1e-6, **kw) -> Fit:
     """M4: mixed model -> area-only mixed model -> plain logistic. A fit
-    that does not converge falls through; a fit whose variances are all
-    ~0 (singular) goes straight to the plain model."""
+    that fails numerically or does not converge falls through; a fit whose
+    variances are all ~0 (singular) goes straight to the plain model. The
+    reasons stay in ``fallback_reason``; any other error is raised."""
+    reasons: list[str] = []
     for fs in (list(factors), [area]):
         try:
             f = fit_mixed(spark, cell_df, fs, covariate, **kw)
-        except Exception:  # noqa: BLE001 - numerical failure -> next model
+        except (np.linalg.LinAlgError, ArithmeticError) as e:  # numerical failure -> next model
+            reasons.append(f"{'+'.join(fs)}: {e}")
             continue
         if f.singular or all(v < min_variance for v in f.variances.values()):
+            reasons.append(f"{'+'.join(fs)}: singular")
             break          # singular -> plain model, as a singular mixed fit is dropped
         if not f.converged:
+            reasons.append(f"{'+'.join(fs)}: not converged")
             continue
+        f.fallback_reason = "; ".join(reasons)
         return f
-    return fit_glm(spark, cell_df, covariate)
+    f = fit_glm(spark, cell_df, covariate)
+    f.fallback_reason = "; ".join(reasons)
+    return f

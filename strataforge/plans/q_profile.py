@@ -102,18 +102,18 @@ def crosstab_margins(spark, sf_dir):
 
 
 SETS_SQL = """
-a AS (SELECT DISTINCT upper(trim('nation_' || CAST(c_nationkey AS VARCHAR))) AS name FROM customer WHERE c_custkey % 3 = 0),
+a AS (SELECT DISTINCT upper(trim('nation_' || CAST(c_nationkey AS VARCHAR))) AS name FROM customer),
 b AS (SELECT DISTINCT upper(trim(' nation_' || CAST(s_nationkey AS VARCHAR) || ' ')) AS name FROM supplier),
-c AS (SELECT DISTINCT upper(trim(n_name)) AS name FROM nation WHERE n_regionkey < 3),
+c AS (SELECT DISTINCT upper(trim(n_name)) AS name FROM nation),
 u AS (SELECT name, 'a' AS src FROM a UNION ALL SELECT name, 'b' FROM b UNION ALL SELECT name, 'c' FROM c)
 """
 
 
 def _sets(spark, sf_dir):
     from strataforge.functions.text import strip_all
-    c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey").where(F.col("c_custkey") % 3 == 0)
+    c = table(spark, sf_dir, "customer", "c_nationkey")
     s = table(spark, sf_dir, "supplier", "s_nationkey")
-    n = table(spark, sf_dir, "nation", "n_name", "n_regionkey").where(F.col("n_regionkey") < 3)
+    n = table(spark, sf_dir, "nation", "n_name")
     up = lambda e: F.upper(strip_all(e)).alias("name")
     return {"a": c.select(up(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")))),
             "b": s.select(up(F.concat(F.lit(" nation_"), F.col("s_nationkey").cast("string"), F.lit(" ")))),

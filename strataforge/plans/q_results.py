@@ -95,10 +95,12 @@ def top_candidate_per_party(spark, sf_dir):
     return results.collapse_to_party(official_long(spark, sf_dir))
 
 
-@register("wide_results", base("col") + """
-PIVOT (SELECT constituency, party, candidate, votes, vote_share FROM col) ON party
-USING first(candidate) AS candidate, first(votes) AS total_votes, first(vote_share) AS vote_share
-GROUP BY constituency""")
+BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
+_WIDE = ", ".join(f"""max(CASE WHEN party = '{b}' THEN {v} END) AS "{b}_{n}\"""" for b in BRANDS
+                  for n, v in (("candidate", "candidate"), ("total_votes", "votes"), ("vote_share", "vote_share")))
+
+
+@register("wide_results", base("col") + f"SELECT constituency, {_WIDE} FROM col GROUP BY constituency")
 def wide_results(spark, sf_dir):
     """Long -> wide with the party list found in the data (sorted),
     three values per party."""

@@ -41,7 +41,8 @@ def get_session(master: str | None = None, app: str = "strataforge", **conf: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is made.
+    Only when a local[...] session names none (tests) a scratch folder is made;
+    on a cluster that would be a folder each executor sees alone, so it raises.
     Reliable checkpoints survive executor loss; local checkpoints do not and
     are never used here.
     """
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strataforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
