@@ -32,7 +32,7 @@ THRESHOLD = 75
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
 ROUNDS = 3
-#: Members of a bucket up to which its remaining pairs are listed; larger ones are split first.
+#: Remaining pairs per member up to which a bucket's are listed; others are split first.
 LISTED = 32
 #: Members confirmed against one copy of their centre.
 STAR = 256
@@ -143,22 +143,24 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, cn, n) of members of one bucket in different components. Only
-    buckets of at most ``LISTED`` members are listed; the members of a larger
-    one are dealt again by every other band they share, which a linked pair
-    survives except with odds of (1 - 0.75 ** ROWS) ** (BANDS - 1)."""
+    """(a, b, cn, n) of members of one bucket in different components. A bucket
+    is listed when that is at most ``LISTED`` pairs per member; the members of
+    another are dealt again by every further band they share, which a linked
+    pair survives except with odds of (1 - 0.75 ** ROWS) ** (BANDS - 1)."""
     bands = classes.select(F.col("rep").alias("id"), "bands")
     level = met.select("bucket", "id", "n", "component").withColumn("used", F.array("bucket"))
     listed = None
     for _ in range(BANDS):
-        sizes = (level.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where("lo < hi").select("bucket", "size"))
+        of_one = level.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+        sizes = (of_one.groupBy("bucket").agg(F.sum("k").alias("size"), F.sum(F.col("k").cast("double") * F.col("k")).alias("within"))
+                 .withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2).where("across > 0")
+                 .select("bucket", (F.col("across") <= F.col("size") * LISTED).alias("few")))
         level = level.join(sizes, "bucket").checkpoint()
-        few = level.where(F.col("size") <= LISTED)
+        few = level.where("few")
         x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"))
         pairs = x.join(few, "bucket").where("a < id AND cc <> component").select("a", F.col("id").alias("b"), "cn", "n")
         listed = pairs if listed is None else listed.unionByName(pairs)
-        many = level.where(F.col("size") > LISTED).drop("size")
+        many = level.where("NOT few").drop("few")
         if many.isEmpty():
             break
         level = (many.join(bands, "id").withColumn("band", F.explode(F.array_except("bands", "used")))

@@ -67,7 +67,7 @@ def test_chain_linked_only_through_the_largest_id(frame):
 
 def test_large_mixed_buckets_are_split(frame, monkeypatch):
     """Unrelated documents around one long passage: buckets mix many components."""
-    monkeypatch.setattr(minhash, "LISTED", 4)
+    monkeypatch.setattr(minhash, "LISTED", 1)
     rng = random.Random(4)
     passage = [f"p{i}" for i in range(60)]
     rows = []
