@@ -188,6 +188,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = wide.join(shared, "bucket").checkpoint()
     weight = met.groupBy("id").agg(F.sum("count").alias("weight"))
     met = met.join(weight, "id").select("bucket", "id", "n", "weight").checkpoint()
+    # the texts of documents that share a bucket, moved once and read by every round
+    met_text = text.join(met.select(F.col("id").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi").checkpoint()
     links = spark.createDataFrame([], "a long, b long")
     done = links
     for turn in range(ROUNDS + 1):
@@ -213,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .join(done, ["a", "b"], "left_anti").checkpoint())
         if turn and pairs.isEmpty():
             continue
-        links = links.unionByName(confirm(pairs, text)).checkpoint()
+        links = links.unionByName(confirm(pairs, met_text)).checkpoint()
         done = done.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     comp = components(links)
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
