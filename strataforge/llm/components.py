@@ -19,20 +19,23 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     ensure_checkpoint_dir(links.sparkSession)
     edges = (links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .distinct().checkpoint())
+    def state(e: DataFrame):
+        return e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+
+    before = state(edges)
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # large star: larger neighbours hang under the smallest of u's neighbourhood
-        large = (both.join(low, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours hang under the smallest
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(small_low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small_low.select("u", F.col("m").alias("v"))).distinct().checkpoint())
-        after = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        before = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        edges = small
+        edges, after = small, state(small)
         if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not settle")
     top = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component")

@@ -6,10 +6,10 @@ the same for all documents, until it meets a filled one). ``ROWS`` bins make
 a band. Documents with equal shingle sets are one candidate; the others meet
 in band buckets. A bucket does not emit pairs but a star: its most connected
 member against the rest. Every candidate edge is confirmed on the full
-shingle sets. Buckets whose members are then still in different components
-go another round with their next centre; after ``ROUNDS`` rounds the few
-pairs that remain between components are confirmed too, large buckets first
-being split by further bands, so no link is lost to the star shape.
+shingle sets. Where members of a bucket are then still in different
+components, the pairs between components are confirmed too; buckets with
+many such pairs are first dealt again by further bands until a member has
+few, so no link is lost to the star shape and no group is squared.
 """
 
 from __future__ import annotations
@@ -31,9 +31,8 @@ SHINGLE = 5
 THRESHOLD = 75
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-ROUNDS = 3
-#: Remaining pairs per member up to which a bucket's are listed; others are split first.
-LISTED = 32
+#: Remaining pairs per member up to which a bucket's are listed; others are dealt again by so many further bands.
+LISTED, FURTHER = 8, 4
 #: Members confirmed against one copy of their centre.
 STAR = 256
 _KEEP = np.uint64((1 << 48) - 1)
@@ -144,31 +143,39 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, cn, n) of members of one bucket in different components. A bucket
-    is listed when that is at most ``LISTED`` pairs per member; the members of
-    another are dealt again by every further band they share, which a linked
-    pair survives except with odds of (1 - 0.75 ** ROWS) ** (BANDS - 1)."""
+    is listed when that is at most ``LISTED`` pairs per member. The members of
+    another are dealt again by each of the next ``FURTHER`` bands, which keeps
+    a linked pair together in (0.75 ** ROWS) * FURTHER > 1 places on average
+    for every place it was in, and scatters the others."""
     bands = classes.select(F.col("rep").alias("id"), "bands")
-    level = met.select("bucket", "id", "n", "component").withColumn("used", F.array("bucket"))
+    level = met.select("bucket", "id", "n", "component", "at")
     listed = None
-    for _ in range(BANDS):
+    for step in range(BANDS // FURTHER):
         of_one = level.groupBy("bucket", "component").agg(F.count("*").alias("k"))
         sizes = (of_one.groupBy("bucket").agg(F.sum("k").alias("size"), F.sum(F.col("k").cast("double") * F.col("k")).alias("within"))
                  .withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2).where("across > 0")
                  .select("bucket", (F.col("across") <= F.col("size") * LISTED).alias("few")))
         level = level.join(sizes, "bucket").checkpoint()
-        few = level.where("few")
+        many = level.where("NOT few").drop("few")
+        ended = step == BANDS // FURTHER - 1 or many.isEmpty()
+        few = level if ended else level.where("few")
         x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"))
         pairs = x.join(few, "bucket").where("a < id AND cc <> component").select("a", F.col("id").alias("b"), "cn", "n")
         listed = pairs if listed is None else listed.unionByName(pairs)
-        many = level.where("NOT few").drop("few")
-        if many.isEmpty():
+        if ended:
             break
-        level = (many.join(bands, "id").withColumn("band", F.explode(F.array_except("bands", "used")))
-                 .select(F.xxhash64("bucket", "band").alias("bucket"), "id", "n", "component",
-                         F.array_append("used", F.col("band")).alias("used")))
+        nexts = F.explode(F.array(*[F.pmod(F.col("at") + o, F.lit(BANDS)) for o in range(1, FURTHER + 1)])).alias("to")
+        level = (many.join(bands, "id").select("bucket", "id", "n", "component", "bands", nexts)
+                 .select(F.xxhash64("bucket", "to", F.get("bands", F.col("to"))).alias("bucket"), "id", "n", "component",
+                         F.col("to").alias("at")))
     return listed
 
 
+def _fits() -> str:
+    """The set sizes alone allow the threshold."""
+    return f"100 * least(cn, n) >= {THRESHOLD} * greatest(cn, n)"
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -182,45 +189,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = id_text(docs, id_col, text_col)
     sk = sketches(text).checkpoint()
     classes = sk.where("n > 0").groupBy("set_a", "set_b", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("copies")).checkpoint()
-    wide = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("bucket"))
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).checkpoint()
+    wide = classes.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("at", "bucket"))
     shared = wide.groupBy("bucket").count().where("count > 1")
     met = wide.join(shared, "bucket").checkpoint()
     weight = met.groupBy("id").agg(F.sum("count").alias("weight"))
-    met = met.join(weight, "id").select("bucket", "id", "n", "weight").checkpoint()
-    # the texts of documents that share a bucket, moved once and read by every round
-    met_text = text.join(met.select(F.col("id").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi").checkpoint()
-    links = spark.createDataFrame([], "a long, b long")
-    done = links
-    for turn in range(ROUNDS + 1):
-        if turn:
-            comp = components(links).checkpoint()
-            met = (met.drop("component").join(comp, "id", "left")
-                   .withColumn("component", F.coalesce("component", "id")))
-            mixed = (met.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                     .where("lo < hi").select("bucket"))
-            met = met.join(mixed, "bucket", "left_semi").checkpoint()
-        else:
-            met = met.withColumn("component", F.col("id"))
-        if turn < ROUNDS:
-            first = F.col("weight") if turn == 0 else F.xxhash64(F.col("id"), F.lit(turn))
-            heads = (met.groupBy("bucket").agg(F.max(F.struct(first.alias("first"), (-F.col("id")).alias("least"))).alias("c"))
-                     .select("bucket", (-F.col("c.least")).alias("centre")))
-            own = met.select("bucket", F.col("id").alias("centre"), F.col("n").alias("cn"), F.col("component").alias("cc"))
-            star = heads.join(own, ["bucket", "centre"]).join(met, "bucket").where("centre <> id AND cc <> component")
-            pairs = star.select(F.col("centre").alias("a"), F.col("id").alias("b"), "cn", "n")
-        else:
-            pairs = _rest(met, classes)
-        pairs = (pairs.where(f"100 * least(cn, n) >= {THRESHOLD} * greatest(cn, n)").select("a", "b").distinct()
-                 .join(done, ["a", "b"], "left_anti").checkpoint())
-        if turn and pairs.isEmpty():
-            continue
-        links = links.unionByName(confirm(pairs, met_text)).checkpoint()
-        done = done.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    comp = components(links)
+    met = met.drop("count").join(weight, "id").checkpoint()
+    # the texts of documents that share a bucket, moved once and read by both confirmations
+    met_text = text.join(weight.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi").checkpoint()
+    heads = (met.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), F.col("n").alias("cn"))).alias("c"))
+             .select("bucket", (-F.col("c.least")).alias("a"), "c.cn"))
+    star = (met.join(heads, "bucket").where(f"a <> id AND {_fits()}").select("a", F.col("id").alias("b")).distinct().checkpoint())
+    links = confirm(star, met_text).checkpoint()
+    comp = components(links).checkpoint()
+    met = met.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = (_rest(met, classes).where(_fits())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti").checkpoint())
+    if not rest.isEmpty():
+        more = confirm(rest, met_text).checkpoint()
+        if not more.isEmpty():
+            comp = components(links.unionByName(more))
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component_id"))
-    linked = sk.where("n > 0").join(reps, ["set_a", "set_b", "n"]).select("doc_id", "n", "component_id")
+    linked = sk.where("n > 0").select("doc_id", "set_a", "set_b", "n").join(reps, ["set_a", "set_b", "n"]).select("doc_id", "n", "component_id")
     out = linked.unionByName(sk.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                       (F.col("doc_id") == F.col("component_id")).alias("kept"))
