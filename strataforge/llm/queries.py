@@ -91,13 +91,45 @@ def op10_language_id(spark, sf_dir):
                         "cross_entropy", "rejected")
 
 
-@register("op5_minhash_near_dedup")
+def near_sql(documents: str = "documents") -> str:
+    """All pairs that share a shingle, and reachability over the links."""
+    return f"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({lower_az_sql("coalesce(text, '')")}, '{WORD}') AS w
+                         FROM {documents} WHERE doc_id IS NOT NULL),
+    sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+                  lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s FROM d),
+    n AS (SELECT d.doc_id, count(s) AS n FROM d LEFT JOIN sh ON d.doc_id = sh.doc_id GROUP BY d.doc_id),
+    pr AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    ln AS (SELECT a, b FROM pr JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    ed AS (SELECT a, b FROM ln UNION ALL SELECT b, a FROM ln),
+    re AS (SELECT doc_id AS i, doc_id AS r FROM d UNION SELECT ed.b, re.r FROM re JOIN ed ON ed.a = re.i)
+    SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+    FROM n JOIN (SELECT i, min(r) AS component_id FROM re GROUP BY i) c ON c.i = n.doc_id"""
+
+
+@register("op5_minhash_near_dedup", near_sql())
 def op5_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-@register("op2_substring_dedup")
+def passages_sql(documents: str = "documents") -> str:
+    """Windows of 13 words grouped by their text."""
+    return f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM {documents} WHERE doc_id IS NOT NULL),
+    x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+    g AS (SELECT doc_id, i, list_aggregate(w[i:i + 12], 'string_agg', ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+    b AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM g) WHERE first < doc_id),
+    y AS (SELECT x.doc_id, x.j, x.word, coalesce(max(b.i) OVER (PARTITION BY x.doc_id ORDER BY x.j) >= x.j - 12, false) AS gone
+          FROM x LEFT JOIN b ON b.doc_id = x.doc_id AND b.i = x.j),
+    z AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+                 string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM y GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN z ON d.doc_id = z.doc_id"""
+
+
+@register("op2_substring_dedup", passages_sql())
 def op2_substring_dedup(spark, sf_dir):
     """Passages of 13 words that an earlier document has, removed from all documents."""
     return substring_dedup.digest(substring_dedup.repeated_passages(read(spark, sf_dir, "documents")))

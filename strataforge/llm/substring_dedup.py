@@ -183,4 +183,4 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def digest(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed",
-                          F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"), "repeats")
+                          F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
