@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once; one longer document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Documents handled at once (their index fits 15 bits).
 SLICE_DOCS = 1 << 15
 
