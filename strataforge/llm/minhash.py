@@ -111,24 +111,24 @@ def _sets(column) -> list[np.ndarray]:
     return out
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
-    """100 * intersection >= threshold * union, of sorted sets."""
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < threshold * max(len(a), len(b)):
-        return False
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the symmetric difference of two sorted sets."""
+    if not len(a) or not len(b):
+        return len(a) + len(b)
     at = np.searchsorted(a, b)
-    both = int(np.sum(a[np.minimum(at, len(a) - 1)] == b))
-    return 100 * both >= threshold * (len(a) + len(b) - both)
+    return len(a) + len(b) - 2 * int(np.sum(a[np.minimum(at, len(a) - 1)] == b))
 
 
 def _confirm_star(key, centre: pa.Table, members: pa.Table) -> pa.Table:
     one = _sets(centre.column("text"))
-    ok = [bool(one) and similar(one[0], s) for s in _sets(members.column("text"))]
-    ids = members.column("b").filter(pa.array(ok, pa.bool_()))
-    return pa.table([pa.array([key[0].as_py()] * len(ids), pa.int64()), ids], ["a", "b"])
+    sets = _sets(members.column("text"))
+    size = len(sets) if one else 0
+    return pa.table([pa.array([key[0].as_py()] * size, pa.int64()), members.column("b").slice(0, size),
+                     pa.array([apart(one[0], x) for x in sets[:size]], pa.int64())], ["a", "b", "apart"])
 
 
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose shingle sets reach the threshold. Pairs
+    """(a, b, apart): the symmetric difference of the full shingle sets. Pairs
     are dealt by (centre, part) with at most about ``STAR`` members each, so a
     popular centre is split; its text travels once per part."""
     parts = pairs.groupBy("a").agg(F.count("*").alias("members"))
@@ -138,17 +138,20 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     members = (dealt.hint("shuffle_hash").join(docs.withColumnRenamed("doc_id", "b"), "b")
                .select("a", "part", "b", F.col("text").alias("text")))
     return (centres.groupBy("a", "part").cogroup(members.groupBy("a", "part"))
-            .applyInArrow(_confirm_star, "a long, b long"))
+            .applyInArrow(_confirm_star, "a long, b long, apart long"))
 
 
 def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, cn, n) of members of one bucket in different components. A bucket
+    """(a, b) of members of one bucket in different components. ``off`` is how far
+    a member is from the bucket's centre; symmetric differences obey the
+    triangle inequality, so two members whose distances to the centre differ by
+    more than a linked pair may be apart are not linked and not listed. A bucket
     is listed when that is at most ``LISTED`` pairs per member. The members of
     another are dealt again by each of the next ``FURTHER`` bands, which keeps
     a linked pair together in (0.75 ** ROWS) * FURTHER > 1 places on average
     for every place it was in, and scatters the others."""
     bands = classes.select(F.col("rep").alias("id"), "bands")
-    level = met.select("bucket", "id", "n", "component", "at")
+    level = met.select("bucket", "id", "n", "component", "at", "off")
     listed = None
     for step in range(BANDS // FURTHER):
         of_one = level.groupBy("bucket", "component").agg(F.count("*").alias("k"))
@@ -159,18 +162,27 @@ def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
         many = level.where("NOT few").drop("few")
         ended = step == BANDS // FURTHER - 1 or many.isEmpty()
         few = level if ended else level.where("few")
-        x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"))
-        pairs = x.join(few, "bucket").where("a < id AND cc <> component").select("a", F.col("id").alias("b"), "cn", "n")
+        x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"), F.col("off").alias("coff"))
+        near = f"abs(off - coff) * {100 + THRESHOLD} <= (n + cn) * {100 - THRESHOLD}"
+        pairs = (x.join(few, "bucket").where(f"a < id AND cc <> component AND {_fits()} AND coalesce({near}, true)")
+                 .select("a", F.col("id").alias("b")))
         listed = pairs if listed is None else listed.unionByName(pairs)
         if ended:
             break
         nexts = F.explode(F.array(*[F.pmod(F.col("at") + o, F.lit(BANDS)) for o in range(1, FURTHER + 1)])).alias("to")
-        level = (many.join(bands, "id").select("bucket", "id", "n", "component", "bands", nexts)
+        level = (many.join(bands, "id").select("bucket", "id", "n", "component", "off", "bands", nexts)
                  .select(F.xxhash64("bucket", "to", F.get("bands", F.col("to"))).alias("bucket"), "id", "n", "component",
-                         F.col("to").alias("at")))
+                         F.col("to").alias("at"), "off"))
     return listed
 
 
+def linked_pairs(tested: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b) with 100 * intersection >= THRESHOLD * union, written with the symmetric difference and the set sizes."""
+    pa_, pb = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b"))
+    both = tested.join(pa_, "a").join(pb, "b")
+    return both.where(f"apart * {100 + THRESHOLD} <= (n_a + n_b) * {100 - THRESHOLD}").select("a", "b")
+
+
 def _fits() -> str:
     """The set sizes alone allow the threshold."""
     return f"100 * least(cn, n) >= {THRESHOLD} * greatest(cn, n)"
@@ -200,14 +212,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = (met.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), F.col("n").alias("cn"))).alias("c"))
              .select("bucket", (-F.col("c.least")).alias("a"), "c.cn"))
     star = (met.join(heads, "bucket").where(f"a <> id AND {_fits()}").select("a", F.col("id").alias("b")).distinct().checkpoint())
-    links = confirm(star, met_text).checkpoint()
+    sizes = classes.select(F.col("rep").alias("id"), "n")
+    tested = confirm(star, met_text).checkpoint()
+    links = linked_pairs(tested, sizes).checkpoint()
     comp = components(links).checkpoint()
     met = met.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = (_rest(met, classes).where(_fits())
+    met = (met.join(heads.select("bucket", "a"), "bucket")
+           .join(tested.select("a", F.col("b").alias("id"), F.col("apart").alias("off")), ["a", "id"], "left")
+           .withColumn("off", F.when(F.col("a") == F.col("id"), 0).otherwise(F.col("off"))))
+    rest = (_rest(met, classes)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti").checkpoint())
     if not rest.isEmpty():
-        more = confirm(rest, met_text).checkpoint()
+        more = linked_pairs(confirm(rest, met_text), sizes).checkpoint()
         if not more.isEmpty():
             comp = components(links.unionByName(more))
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
