@@ -7,14 +7,15 @@ a band. Documents with equal shingle sets are one candidate; the others meet
 in band buckets. A bucket does not emit pairs but a star: its most connected
 member against the rest. Every candidate edge is confirmed on the full
 shingle sets. Where members of a bucket are then still in different
-components, the pairs between components are confirmed too; buckets with
-many such pairs are first dealt again by further bands until a member has
-few, so no link is lost to the star shape and no group is squared.
+components, the pairs between components are confirmed too, so no link is
+lost to the star shape: one by one in buckets with few such pairs, and block
+against block in crowded ones, where only a spanning forest leaves a block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,14 @@ SHINGLE = 5
 THRESHOLD = 75
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-#: Remaining pairs per member up to which a bucket's are listed; others are dealt again by so many further bands.
-LISTED, FURTHER = 8, 4
+#: Remaining pairs per member up to which a bucket's are listed; the members of others are compared in blocks.
+LISTED = 8
+#: Members and shingles of a part of a crowded bucket (a block is two parts).
+PART, PART_SHINGLES = 1024, 1 << 20
+#: Places over which the members of one crowd are spread in a join.
+SALT = 64
+#: Sets up to which a shingle is counted pair by pair, and columns of a 0-1 matrix.
+RARE, WIDE = 24, 8192
 #: Members confirmed against one copy of their centre.
 STAR = 256
 _KEEP = np.uint64((1 << 48) - 1)
@@ -141,39 +148,110 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .applyInArrow(_confirm_star, "a long, b long, apart long"))
 
 
-def _rest(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b) of members of one bucket in different components. ``off`` is how far
-    a member is from the bucket's centre; symmetric differences obey the
-    triangle inequality, so two members whose distances to the centre differ by
-    more than a linked pair may be apart are not linked and not listed. A bucket
-    is listed when that is at most ``LISTED`` pairs per member. The members of
-    another are dealt again by each of the next ``FURTHER`` bands, which keeps
-    a linked pair together in (0.75 ** ROWS) * FURTHER > 1 places on average
-    for every place it was in, and scatters the others."""
-    bands = classes.select(F.col("rep").alias("id"), "bands")
-    level = met.select("bucket", "id", "n", "component", "at", "off")
-    listed = None
-    for step in range(BANDS // FURTHER):
-        of_one = level.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-        sizes = (of_one.groupBy("bucket").agg(F.sum("k").alias("size"), F.sum(F.col("k").cast("double") * F.col("k")).alias("within"))
-                 .withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2).where("across > 0")
-                 .select("bucket", (F.col("across") <= F.col("size") * LISTED).alias("few")))
-        level = level.join(sizes, "bucket").checkpoint()
-        many = level.where("NOT few").drop("few")
-        ended = step == BANDS // FURTHER - 1 or many.isEmpty()
-        few = level if ended else level.where("few")
-        x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"), F.col("off").alias("coff"))
-        near = f"abs(off - coff) * {100 + THRESHOLD} <= (n + cn) * {100 - THRESHOLD}"
-        pairs = (x.join(few, "bucket").where(f"a < id AND cc <> component AND {_fits()} AND coalesce({near}, true)")
-                 .select("a", F.col("id").alias("b")))
-        listed = pairs if listed is None else listed.unionByName(pairs)
-        if ended:
+def _rest(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of members of one bucket in different components, and the members
+    (bucket, id, n, component) of the crowded buckets. ``off`` is how far a
+    member is from the bucket's centre; symmetric differences obey the triangle
+    inequality, so two members whose distances to the centre differ by more
+    than a linked pair may be apart are not linked and not listed. A bucket is
+    crowded when it has more than ``LISTED`` pairs per member."""
+    of_one = met.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    sizes = (of_one.groupBy("bucket").agg(F.sum("k").alias("size"), F.sum(F.col("k").cast("double") * F.col("k")).alias("within"))
+             .withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2).where("across > 0")
+             .select("bucket", (F.col("across") <= F.col("size") * LISTED).alias("few")))
+    met = met.select("bucket", "id", "n", "component", "off").join(sizes, "bucket").checkpoint()
+    few = met.where("few")
+    x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"), F.col("off").alias("coff"))
+    near = f"abs(off - coff) * {100 + THRESHOLD} <= (n + cn) * {100 - THRESHOLD}"
+    pairs = (x.join(few, "bucket").where(f"a < id AND cc <> component AND {_fits()} AND coalesce({near}, true)")
+             .select("a", F.col("id").alias("b")))
+    return pairs, met.where("NOT few").select("bucket", "id", "n", "component")
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of sorted sets. Elements of up to ``RARE``
+    sets are counted pair by pair, the others by products of 0-1 matrices."""
+    m = len(sets)
+    h, doc = np.concatenate(sets), np.repeat(np.arange(m), [len(x) for x in sets])
+    order = np.argsort(h, kind="stable")
+    h, doc = h[order], doc[order]
+    times = np.diff(np.append(run_starts(h), len(h)))
+    col, each = np.repeat(np.arange(len(times)), times), np.repeat(times, times)
+    out = np.zeros(m * m, np.int32)
+    rare = (each > 1) & (each <= RARE)
+    d, c = doc[rare], col[rare]
+    for o in range(1, RARE):
+        at = np.flatnonzero(c[o:] == c[:-o])
+        if not len(at):
             break
-        nexts = F.explode(F.array(*[F.pmod(F.col("at") + o, F.lit(BANDS)) for o in range(1, FURTHER + 1)])).alias("to")
-        level = (many.join(bands, "id").select("bucket", "id", "n", "component", "off", "bands", nexts)
-                 .select(F.xxhash64("bucket", "to", F.get("bands", F.col("to"))).alias("bucket"), "id", "n", "component",
-                         F.col("to").alias("at"), "off"))
-    return listed
+        np.add.at(out, d[at] * m + d[at + o], 1)
+    out = out.reshape(m, m)
+    out = out + out.T
+    d, c = doc[each > RARE], np.repeat(np.arange(np.sum(times > RARE)), times[times > RARE])
+    for lo in range(0, int(c[-1]) + 1 if len(c) else 0, WIDE):
+        use = slice(*np.searchsorted(c, [lo, lo + WIDE]))
+        x = np.zeros((m, WIDE), np.float32)
+        x[d[use], c[use] - lo] = 1
+        out += (x @ x.T).astype(np.int32)
+    np.fill_diagonal(out, [len(x) for x in sets])
+    return out
+
+
+def _link_block(key, rows):
+    sets = _sets(rows.column("text"))
+    n = np.array([len(x) for x in sets])
+    both = n[:, None] + n[None, :]
+    linked = (both - 2 * shared(sets)) * (100 + THRESHOLD) <= both * (100 - THRESHOLD)
+    names, c = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+    i, j = np.nonzero(linked & (c[:, None] < c[None, :]))
+    up, out = list(range(len(names))), []
+    for code in np.unique(c[i] * len(names) + c[j]).tolist():
+        ends = []
+        for x in divmod(code, len(names)):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            ends.append(x)
+        if ends[0] != ends[1]:
+            up[ends[1]] = ends[0]
+            out.append(ends)
+    at = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table([pa.array(names[at[:, 0]], pa.int64()), pa.array(names[at[:, 1]], pa.int64())], ["a", "b"])
+
+
+def _spread(members: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Join one row per key onto members, each key dealt over ``SALT`` places."""
+    every = per_key.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    return members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT))).join(every, [*keys, "salt"]).drop("salt")
+
+
+def crowd_links(crowded: DataFrame, text: DataFrame) -> DataFrame:
+    """(a, b): components that are linked through members of one crowded bucket.
+
+    All members of a bucket are compared on their full shingle sets, in blocks
+    of two parts of about ``PART`` members, one task each; a block returns a
+    spanning forest of its links. Buckets that share members are compared as
+    one crowd where that is fewer pairs than bucket by bucket.
+    """
+    heads = crowded.groupBy("bucket").agg(F.min("id").alias("head"), F.count("*").cast("double").alias("size")).checkpoint()
+    crowd = (components(crowded.join(heads, "bucket").select(F.col("id").alias("a"), F.col("head").alias("b")))
+             .select("id", F.col("component").alias("crowd")).checkpoint())
+    apiece = (heads.join(crowd, F.col("head") == F.col("id")).groupBy("crowd")
+              .agg(F.sum(F.col("size") * F.col("size")).alias("pairs")))
+    whole = (crowd.groupBy("crowd").agg(F.count("*").cast("double").alias("m")).join(apiece, "crowd")
+             .select("crowd", (F.col("m") * F.col("m") <= F.col("pairs")).alias("whole")))
+    members = (_spread(crowded.join(crowd, "id"), whole, ["crowd"])
+               .select("whole", F.when(F.col("whole"), F.col("crowd")).otherwise(F.col("bucket")).alias("unit"), "id", "n", "component")
+               .distinct().checkpoint())
+    parts = members.groupBy("whole", "unit").agg(
+        F.ceil(F.greatest(F.count("*") / F.lit(PART), F.sum("n") / F.lit(PART_SHINGLES))).alias("parts"))
+    dealt = (_spread(members, parts, ["whole", "unit"])
+             .select("whole", "unit", "id", "component", "parts", F.pmod(F.xxhash64("id", F.lit(PART)), F.col("parts")).alias("part")))
+    rows = (dealt.join(text.withColumnRenamed("doc_id", "id"), "id")
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("parts") - 2, F.lit(0).cast("long")))))
+            .withColumn("other", F.col("other") + (F.col("other") >= F.col("part")).cast("long"))
+            .select("whole", "unit", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "component", "text"))
+    return rows.groupBy("whole", "unit", "x", "y").applyInArrow(_link_block, "a long, b long")
 
 
 def linked_pairs(tested: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -220,11 +298,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = (met.join(heads.select("bucket", "a"), "bucket")
            .join(tested.select("a", F.col("b").alias("id"), F.col("apart").alias("off")), ["a", "id"], "left")
            .withColumn("off", F.when(F.col("a") == F.col("id"), 0).otherwise(F.col("off"))))
-    rest = (_rest(met, classes)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs, crowded = _rest(met)
+    rest = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti").checkpoint())
-    if not rest.isEmpty():
-        more = linked_pairs(confirm(rest, met_text), sizes).checkpoint()
+    more = [] if rest.isEmpty() else [linked_pairs(confirm(rest, met_text), sizes)]
+    more += [] if crowded.isEmpty() else [crowd_links(crowded, met_text)]
+    if more:
+        more = reduce(DataFrame.unionByName, more).checkpoint()
         if not more.isEmpty():
             comp = components(links.unionByName(more))
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(

@@ -109,3 +109,28 @@ def test_components_of_paths_and_hubs(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[i] == 200 for i in range(200, 300))
     assert got[900] == 900 and all(got[i] == 900 for i in range(1000, 1050))
+
+
+def test_crowd_of_rewrites_near_the_threshold(frame):
+    """1,000 rewrites of one text in pairs: the two of a pair change the same words and lie just above the
+    threshold, all others below it, and nothing but the text of all is shared, so no small bucket helps a pair."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(500):
+        places = [5 + 5 * x + rng.randrange(5) for x in rng.sample(range(0, 54, 2), 8)]
+        for copy in "xy":
+            w = [f"t{k}" for k in range(286)]
+            for at in places:
+                w[at] = f"{copy}{i}p{at}"
+            rows.append((len(rows), " ".join(w)))
+    want = near(rows)
+    assert len({c for _, c in want.values()}) <= 500
+    assert run(frame(rows)) == want
+
+
+def test_shared_counts_every_pair(monkeypatch):
+    monkeypatch.setattr(minhash, "RARE", 3)
+    monkeypatch.setattr(minhash, "WIDE", 7)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 20, 40, 40, 60, 3)]
+    assert minhash.shared(sets).tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
