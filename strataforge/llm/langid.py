@@ -9,6 +9,8 @@ once per language by binary search, then summed per document. The language
 with the lowest length-normalised cross-entropy wins. A part of the sample
 that the models did not see calibrates the score (a temperature) and the
 rejection limit (how far above a language's usual cross-entropy a text may be).
+A language with fewer than ``LEAST_HELD`` such documents is fitted on all of
+its sample and calibrated by leaving out one text at a time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from strataforge.llm.common import id_text
 SAMPLE_DOCS = 3000
 #: Share of the sample kept for calibration.
 CALIBRATION = 0.25
+#: Calibration documents with a letter that a language needs; with fewer, it is calibrated by leave-one-out.
+LEAST_HELD = 8
 #: 0: anything but a letter; 1-60: the most frequent letters of the sample; 61-63: other letters by block.
 CLASSES = 64
 OWN = 60
@@ -88,6 +92,12 @@ def scored(cls: np.ndarray) -> np.ndarray:
     return (cls > 0) | prev
 
 
+def gram_counts(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted 4-gram codes of the scored positions, and their counts."""
+    cls = classes[code_points(texts)[0]]
+    return np.unique(grams(cls)[scored(cls)], return_counts=True)
+
+
 @dataclass
 class Model:
     """Interpolated Kneser-Ney over class codes. Per order: sorted codes with
@@ -194,15 +204,41 @@ class Classifier:
         return out
 
 
-def calibrate(c: Classifier, truth: list[str], texts: list[str]) -> Classifier:
-    """Temperature by likelihood of the true languages; usual cross-entropy and slack per language."""
+def left_out(text: str, times: int, classes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> float:
+    """Cross-entropy of a text under the model of its language's counts without
+    the text's ``times`` copies; of the second half of a language's only text
+    under the model of the first."""
+    k, c = gram_counts([text], classes)
+    rest = counts.copy()
+    rest[np.searchsorted(codes, k)] -= times * c
+    if rest.any():
+        codes, rest = codes[rest > 0], rest[rest > 0]
+    else:
+        cut = len(text) // 2
+        codes, rest = gram_counts([text[:cut]], classes)
+        text = text[cut:]
+    total, n, _ = entropies([text], classes, [Model.fit(codes, rest)])
+    return float(total[0, 0] / n[0]) if n[0] else float(np.log(CLASSES))
+
+
+def score_truth(c: Classifier, truth: list[str], texts: list[str], times: list[int],
+                few: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language number, scored positions, cross-entropies) of the texts with a
+    letter; a text of a language in ``few`` (codes, counts) is left out of its own model."""
     total, n, some = entropies(texts, c.classes, c.models)
-    use = some & np.isin(truth, c.langs)
-    if not use.any():
+    ce = total / np.maximum(n, 1)[:, None]
+    y = np.array([c.langs.index(t) for t in truth], np.int64)
+    for i in np.flatnonzero(some):
+        if truth[i] in few:
+            ce[i, y[i]] = left_out(texts[i], times[i], c.classes, *few[truth[i]])
+    return y[some], n[some], ce[some]
+
+
+def calibrate(c: Classifier, y: np.ndarray, n: np.ndarray, ce: np.ndarray) -> Classifier:
+    """Temperature by likelihood of the true languages; usual cross-entropy and slack per language."""
+    if not len(y):
         return c
-    y = np.array([c.langs.index(t) if ok else 0 for t, ok in zip(truth, use)])[use]
-    ce = (total / np.maximum(n, 1)[:, None])[use]
-    root = np.sqrt(n[use])[:, None]
+    root = np.sqrt(n)[:, None]
 
     def loss(t: float) -> float:
         z = -t * root * ce
@@ -226,16 +262,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ``CLASSES ** 4`` per language, and the calibration share of the sample."""
     named = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     sizes = {r[0]: r[1] for r in named.groupBy(lang_col).count().collect()}
-    langs = sorted(sizes)
-    empty = Classifier(langs, np.zeros(0x110000, np.uint8), [], 1.0, np.zeros(len(langs)), np.full(len(langs), SLACK), 2.5)
-    if not langs:
-        return empty
+    if not sizes:
+        return Classifier([], np.zeros(0x110000, np.uint8), [], 1.0, np.zeros(0), np.zeros(0), 2.5)
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / n)))])
     draw = uniform("langid", F.col(id_col))
     sample = (named.where(draw < share[F.col(lang_col)])
               .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                       (uniform("langid-calibration", F.col(id_col)) < CALIBRATION).alias("held")))
-    fitting = sample.where("NOT held").select("lang", "text")
+    letter = F.col("text").rlike(r"\p{L}")
+    drawn = sample.groupBy("lang").agg(F.count_if(F.col("held") & letter).alias("held"), F.count_if(~F.col("held") & letter).alias("own")).collect()
+    langs = sorted(r["lang"] for r in drawn)
+    # a language without a calibration text has the usual cross-entropy of a model that knows nothing
+    empty = Classifier(langs, np.zeros(0x110000, np.uint8), [], 1.0, np.full(len(langs), np.log(CLASSES)), np.full(len(langs), SLACK), 2.5)
+    scarce = [r["lang"] for r in drawn if r["held"] < LEAST_HELD or not r["own"]]
+    is_scarce = F.col("lang").isin(scarce)
+    fitting = sample.where(~F.col("held") | is_scarce).select("lang", "text")
 
     def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -253,19 +294,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for b in batches:
             lang = np.array([t.as_py() for t in b.column(0)], object)
             for one in sorted(set(lang)):
-                cps, _ = code_points([b.column(1)[int(i)].as_py() for i in np.flatnonzero(lang == one)])
-                cls = classes.value[cps]
-                k, c = np.unique(grams(cls)[scored(cls)], return_counts=True)
+                k, c = gram_counts([b.column(1)[int(i)].as_py() for i in np.flatnonzero(lang == one)], classes.value)
                 yield pa.RecordBatch.from_arrays([pa.array([one] * len(k), pa.string()), pa.array(k, pa.int64()),
                                                   pa.array(c, pa.int64())], ["lang", "code", "n"])
 
     counts = (fitting.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code")
               .agg(F.sum("n").alias("n")).toPandas())
+    few = {}
     for lang in langs:
         mine = counts[counts["lang"] == lang].sort_values("code")
-        empty.models.append(Model.fit(mine["code"].to_numpy(np.int64), mine["n"].to_numpy(np.float64)))
-    held = sample.where("held").select("lang", "text").collect()
-    return calibrate(empty, [r["lang"] for r in held], [r["text"] for r in held])
+        codes, n = mine["code"].to_numpy(np.int64), mine["n"].to_numpy(np.float64)
+        empty.models.append(Model.fit(codes, n))
+        if lang in scarce:
+            few[lang] = codes, n
+    held = (sample.where(F.col("held") & ~is_scarce).select("lang", "text", F.lit(1).cast("long").alias("times"))
+            .unionByName(sample.where(is_scarce).groupBy("lang", "text").agg(F.count("*").alias("times")))).collect()
+    return calibrate(empty, *score_truth(empty, *([r[x] for r in held] for x in ("lang", "text", "times")), few))
 
 
 def _row_schema(docs: DataFrame) -> T.StructType:

@@ -61,3 +61,30 @@ def test_neighbours_do_not_matter(model):
 def test_nothing_labelled(frame):
     c = langid.fit(frame([(1, "abc", None), (2, None, "en")]))
     assert [r.lang_pred for r in langid.identify(frame([(1, "abc")]), c).collect()] == ["und"]
+
+
+def _by_lang(docs, held, count):
+    """(id, text, lang) of some training documents of each language, with ids drawn into or out of the calibration share."""
+    ids = docs.sparkSession.range(4000).select("id", (langid.uniform("langid-calibration", F.col("id")) < langid.CALIBRATION).alias("h"))
+    ids = iter(r.id for r in ids.where(F.col("h") == held).orderBy("id").collect())
+    rows = langid.training_rows(docs).where("lang IS NOT NULL AND length(text) > 400").orderBy("doc_id").collect()
+    return [(next(ids), r.text, r.lang) for lang in sorted({r.lang for r in rows}) for r in [r for r in rows if r.lang == lang][:count]]
+
+
+@pytest.mark.parametrize(("held", "count"), [(False, 12), (True, 12), (False, 1)])
+def test_languages_without_calibration_or_fitting_rows(docs, frame, held, count):
+    """No training row, or every one, falls into the calibration share."""
+    c = langid.fit(frame(_by_lang(docs, held, count)))
+    assert all(len(m.codes[-1]) for m in c.models) and (c.usual > 0.5).all()
+    clean = docs.where("crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2 AND lang IS NOT NULL AND length(text) > 400").select("text", "lang").collect()
+    got = c.predict([r.text for r in clean])
+    assert np.mean(got["rejected"]) < 0.02
+    if count > 1:
+        assert np.mean(got["lang"] == np.array([r.lang for r in clean], object)) > 0.9
+        assert c.predict(["zqxj " * 400])["rejected"][0]
+
+
+def test_copies_of_a_text_are_left_out_together(docs, frame):
+    rows = [r for r in _by_lang(docs, False, 2) if r[2] == "en"]
+    once, thrice = langid.fit(frame(rows)), langid.fit(frame(rows + [(r[0], *r[1:]) for r in rows] * 2))
+    assert thrice.usual[0] > 0.8 * once.usual[0]
