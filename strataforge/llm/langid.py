@@ -259,7 +259,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Models of every language in ``docs`` (training rows only), null
     languages and texts left out. Reads at most about ``sample_docs``
     documents per language; what reaches the driver are n-gram counts, at most
-    ``CLASSES ** 4`` per language, and the calibration share of the sample."""
+    ``CLASSES ** 4`` per language, and one cross-entropy per language of each
+    calibration document, never a text."""
     named = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     sizes = {r[0]: r[1] for r in named.groupBy(lang_col).count().collect()}
     if not sizes:
@@ -308,8 +309,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         if lang in scarce:
             few[lang] = codes, n
     held = (sample.where(F.col("held") & ~is_scarce).select("lang", "text", F.lit(1).cast("long").alias("times"))
-            .unionByName(sample.where(is_scarce).groupBy("lang", "text").agg(F.count("*").alias("times")))).collect()
-    return calibrate(empty, *score_truth(empty, *([r[x] for r in held] for x in ("lang", "text", "times")), few))
+            .unionByName(sample.where(is_scarce).groupBy("lang", "text").agg(F.count("*").alias("times"))))
+    fitted = docs.sparkSession.sparkContext.broadcast((empty, few))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, alone = fitted.value
+        for b in batches:
+            y, n, ce = score_truth(c, *(x.to_pylist() for x in b.columns), alone)
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int64()), pa.array(n, pa.float64()),
+                                              pa.array(ce.tolist(), pa.list_(pa.float64()))], ["y", "n", "ce"])
+
+    rows = held.mapInArrow(score, "y long, n double, ce array<double>").collect()
+    return calibrate(empty, np.array([r["y"] for r in rows], np.int64), np.array([r["n"] for r in rows]),
+                     np.array([r["ce"] for r in rows]).reshape(len(rows), len(langs)))
 
 
 def _row_schema(docs: DataFrame) -> T.StructType:

@@ -88,3 +88,10 @@ def test_copies_of_a_text_are_left_out_together(docs, frame):
     rows = [r for r in _by_lang(docs, False, 2) if r[2] == "en"]
     once, thrice = langid.fit(frame(rows)), langid.fit(frame(rows + [(r[0], *r[1:]) for r in rows] * 2))
     assert thrice.usual[0] > 0.8 * once.usual[0]
+
+
+def test_no_text_reaches_the_driver(docs, monkeypatch):
+    kept, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: kept.append(self.columns) or collect(self))
+    langid.fit(langid.training_rows(docs))
+    assert kept and not any("text" in c for c in kept)
