@@ -6,7 +6,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 ORACLE = E.oracle_sql()
 QUERIES = E.queries()

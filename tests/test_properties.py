@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 from strataforge.functions.hashing import normal, uniform
 from strataforge.functions.numeric import inv_logit
 from strataforge.operators import model, poststrat, sampling
