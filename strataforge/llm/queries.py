@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.llm import (decontam, exact_dedup, langid, lm_score, minhash, mixing, pii, secrets, substring_dedup,
-                            suffix_dedup)
+from strataforge.llm import (alignment, decontam, exact_dedup, langid, lm_score, minhash, mixing, pieces, pii, secrets,
+                            substring_dedup, suffix_dedup, whitening)
 from strataforge.llm.common import WORD, lower_az_sql, read
 
 QUERIES: dict[str, Callable] = {}
@@ -177,3 +177,30 @@ def op1_lm_score(spark, sf_dir):
     held = langid.held_out("doc_id", 7)
     out = lm_score.score(read(spark, sf_dir, "documents"), ~held)
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    """First components of all embeddings, whitened."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@register("op12_sentencepiece")
+def op12_sentencepiece(spark, sf_dir):
+    """Piece ids of all documents, and the texts decoded from them."""
+    data = pieces.read_model(vocabulary("piece_bpe_32k.model"))
+    return pieces.digest(pieces.round_trip(read(spark, sf_dir, "documents"), data))
+
+
+@register("op13_token_alignment")
+def op13_token_alignment(spark, sf_dir):
+    """Byte-level and piece tokens of all documents, aligned."""
+    a, b = (pieces.read_model(vocabulary(f)) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digest(alignment.align(read(spark, sf_dir, "documents"), a, b))
