@@ -21,9 +21,11 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import accumulate
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,14 @@ from strataforge.llm.common import id_text, partitions
 SPREAD, ID_BITS = 40503, 16
 
 
+#: The pattern by which the byte-level vocabularies split words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+#: Parts of a remembered chunk.
+SIZES, LINKS, TEXTS = map(itemgetter, range(3))
+
+
 def _byte_alphabet() -> dict[str, int]:
     """Characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -62,31 +72,43 @@ class Aligner:
         #: Bytes of each id; both sides give every text back but for B's mark of a space.
         self.a_size = {i: len(t) for t, i in vocab.items()}
         self.b_size = {p: len(p.replace(pieces.SPACE, " ").encode()) for p in self.b.ids}
+        # the same merges as ranks: quicker, and the same wherever both know the letters, so used on Latin text only
+        pairs = [p if isinstance(p, list) else p.split(" ") for p in spec["model"]["merges"]]
+        order = [vocab[x + y] for x, y in pairs]
+        ranks = {bytes(map(alphabet.__getitem__, t)): i for t, i in vocab.items() if all(c in alphabet for c in t)
+                 and i not in {x["id"] for x in spec["added_tokens"]}}
+        self.plain = re.compile(r"[\0-\u024f]*").fullmatch
+        if order != sorted(order):
+            self.plain = lambda chunk: None
+        self.ranked = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         # blanks no piece of B holds after something else end a chunk; A's words never hold one there
         inner = {c for p in self.b.ids for x, c in zip(p, p[1:]) if not x.isspace() and x != pieces.SPACE}
         cut = "".join(c for c in " \t\n\x0b\x0c" if c not in inner)
         other = f"[^\\S{cut}]"
-        self.chunks = re.compile(rf"\s*\S+(?:{other}\s*\S*)*|\s+").findall
+        word = rf"\s*[{pieces.LETTERS}]++(?=[{pieces.MARKS}{cut}]|\Z)|" if self.b.ends_words else ""
+        self.chunks = re.compile(rf"{word}\s*\S+(?:{other}\s*\S*)*|\s+").findall
         self.known = pieces.Remembered(self.aligned)
 
-    def aligned(self, chunk: str):
-        """(tokens of A, tokens of B, groups, links as packed pairs, groups as text) of a chunk."""
-        a = self.a.encode(chunk, add_special_tokens=False).ids
-        found = self.b.segments(chunk.replace(" ", pieces.SPACE))
-        try:
-            b, b_size = [*map(self.b.ids.__getitem__, found)], [*map(self.b_size.__getitem__, found)]
-        except KeyError:  # characters as bytes
-            b = np.frombuffer(b"".join(map(self.b.codes.__getitem__, found)), np.int32).tolist()
+    def a_ids(self, chunk: str) -> list[int]:
+        return self.ranked.encode_ordinary(chunk) if self.plain(chunk) else self.a.encode(chunk, add_special_tokens=False).ids
+
+    def aligned(self, chunk: str) -> tuple[int, bytes, str]:
+        """Of a chunk: tokens of A, of B and groups as digits of base 2^32, links as packed pairs, groups as text."""
+        a, found = self.a_ids(chunk), self.b.segments(chunk.replace(" ", pieces.SPACE))
+        b, b_size = [*map(self.b.ids.get, found)], [*map(self.b_size.get, found)]
+        if None in b:  # characters as bytes
+            b = [i for p in found for i in ([self.b.ids[p]] if p in self.b.ids else [self.b.byte_ids[x] for x in p.encode()])]
             b_size = [n for p in found for n in ([self.b_size[p]] if p in self.b_size else [1] * len(p.encode()))]
         n, links, text = groups(a, b, [*map(self.a_size.__getitem__, a)], b_size)
-        return len(a), len(b), n, array("I", links).tobytes(), text
+        return len(a) | len(b) << 32 | n << 64, array("I", links).tobytes(), text
 
-    def document(self, text: str):
-        """As ``aligned``, of a space and the whole text."""
+    def document(self, text: str) -> tuple[int, int, int, bytes, str] | None:
+        """(tokens of A, tokens of B, groups, links, groups as text) of a space and the whole text; None without tokens."""
         if not text or pieces.SPACE in text:  # B gives a space for its mark
             return None
-        a, b, n, links, texts = zip(*map(self.known.__getitem__, self.chunks(" " + text)))
-        return sum(a), sum(b), sum(n), b"".join(links), ";".join(texts)
+        found = [*map(self.known.__getitem__, self.chunks(" " + text))]
+        size, low = sum(map(SIZES, found)), (1 << 32) - 1
+        return size & low, size >> 32 & low, size >> 64, b"".join(map(LINKS, found)), ";".join(map(TEXTS, found))
 
 
 def groups(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[int, list[int], str]:

@@ -11,7 +11,7 @@ prefix has one encoding, so no position is reached in two ways and the work is
 linear in the text.
 
 Text falls into chunks at places no piece spans (a space after anything else, a
-line feed), which are encoded by themselves and remembered. The remembered
+line feed, punctuation after a word), which are encoded by themselves and remembered. The remembered
 chunks, and neighbours found compatible, are bounded per Python worker.
 """
 
@@ -36,6 +36,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Chunks (twice) and pairs remembered by one worker, and the longest chunk worth it.
 REMEMBERED, REMEMBERED_PAIRS, LONGEST = 250_000, 500_000, 48
 BAD = "�"
+#: Latin letters and ASCII punctuation, as ranges of a character class.
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "!-/:-@\\[-`{-~"
 
 
 class Remembered(dict):
@@ -97,8 +99,11 @@ class PieceModel:
         if any(SPACE in p.lstrip(SPACE) for p in several):
             raise ValueError("a piece holds a space after other characters")
         free = "" if any("\n" in p for p in several) else "\n"
-        #: A chunk ends before each space that follows something else, and around line feeds.
-        self.chunks = re.compile(f"{SPACE}*[^{SPACE}{free}]+|{SPACE}+" + (f"|{free}+" if free else "")).findall
+        #: Whether no piece holds punctuation after a letter, so that a word ends a chunk before it.
+        self.ends_words = not any(re.search(f"[{LETTERS}][{MARKS}]", p) for p in several)
+        #: A chunk ends before each space that follows something else, around line feeds, and before punctuation after a word.
+        word = f"{SPACE}*[{LETTERS}]++(?=[{MARKS}{SPACE}{free}]|\\Z)|" if self.ends_words else ""
+        self.chunks = re.compile(f"{word}{SPACE}*[^{SPACE}{free}]+|{SPACE}+" + (f"|{free}+" if free else "")).findall
         # pieces that merge to something else by themselves never occur; characters stand for themselves
         self.words = {p for p in several if self.remerged(p) == [p]} | {c for p in self.ids for c in p}
         self.shorter = {}
@@ -132,20 +137,21 @@ class PieceModel:
         found = self.pairs[a, b] = self.remerged(a + b) == [a, b]
         return found
 
-    def longest(self, text: str, at: int) -> str:
-        """The longest piece that starts at a place, or its character if none does."""
-        for last, word in self.automaton.iter_long(text[at:at + self.most]):
-            return word if last < len(word) else text[at]
-        return text[at]
-
     def segments(self, text: str) -> list[str]:
         """The pieces of ``text``; a character the model lacks is one of them."""
-        n, longest, shorter, pairs = len(text), self.longest, self.shorter, self.pairs
+        n, most, matches, shorter, pairs = len(text), self.most, self.automaton.iter_long, self.shorter, self.pairs
         failed = bytearray((n >> 3) + 1)
         out: list[str] = []
-        before = None
-        at, word = 0, longest(text, 0)
+        before = word = None
+        at = 0
         while True:
+            if word is None:  # the longest piece that starts here, or the character if none does
+                for last, word in matches(text[at:at + most]):
+                    if last >= len(word):
+                        word = text[at]
+                    break
+                else:
+                    word = text[at]
             end = at + len(word)
             if not failed[end >> 3] >> (end & 7) & 1:
                 fits = before is None or pairs.get((before, word))
@@ -155,7 +161,7 @@ class PieceModel:
                     out.append(word)
                     if end == n:
                         return out
-                    before, at, word = word, end, longest(text, end)
+                    before, at, word = word, end, None
                     continue
             less = shorter.get(word)
             if less is None:  # nothing fits here: back to the piece before
