@@ -5,11 +5,8 @@
 bigint expressions, i.e. inside the JVM, one step per character of the
 longer string.
 
-The best-match join (J10) never forms a cross product and never scores all
-pairs of a group: candidates come from exact prefix filtering on
-(character, occurrence) tokens ordered by rarity (see ``best_match``); only
-names whose bound is empty fall back to the length band
-200 * min(la, lb) / (la + lb) >= t.
+The best-match join (J10) forms no cross product above threshold 0: candidates
+share combinations of rare bigrams, at falling thresholds (see ``best_match``).
 """
 
 from __future__ import annotations
@@ -88,94 +85,168 @@ def token_sort_ratio(a, b) -> Column:
     return indel_ratio(sort_tokens(a), sort_tokens(b))
 
 
-def _char_tokens(s: Column) -> Column:
-    """A string as the set of (character, occurrence number) tokens, so
-    multiset overlap becomes set overlap."""
-    chars = F.split(s, "")
-    return F.transform(chars, lambda c, i: F.concat(
-        c, F.lit("\u0001"), F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+#: Above this threshold bigrams still tell names apart; from it down, single characters are compared.
+BIGRAMS_FROM = 70.0
+#: A ratio below that of any two strings that share a character.
+LEAST = 1e-6
+#: Longest name whose candidates share three grams; longer names share two.
+SHORT_NAME = 24
 
 
-def _min_overlap(length: Column, t: float) -> Column:
-    """Smallest LCS any partner in the length band needs: a ratio >= t with
-    lb >= la * t / (200 - t) means LCS >= t * la / (200 - t); LCS is an
-    integer, so its ceiling (a tiny epsilon keeps float error from raising
-    an exact integer)."""
-    return F.ceil(length * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
+def _grams(s: Column, q: int) -> Column:
+    """The q-grams of a string as hashes of (gram, occurrence number), so that
+    multiset overlap becomes set overlap; bigrams see both ends of the string."""
+    if q == 1:
+        parts = F.filter(F.split(s, ""), lambda c: c != "")
+    else:
+        ends = F.concat(F.lit("\u0002"), s, F.lit("\u0003"))
+        parts = F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2)))
+    return F.transform(parts, lambda g, i: F.xxhash64(
+        g, F.size(F.filter(F.slice(parts, 1, i + 1), lambda x: x == g))))
+
+
+def _shared(la: Column, lb: Column, t: float, q: int) -> Column:
+    """Grams that names of lengths la, lb with ratio >= t must share: LCS >= c
+    = ceil(t (la + lb) / 200), one deletion breaks q grams of a name and one
+    insertion breaks q - 1 (0 where the lengths allow no such pair). A tiny
+    epsilon keeps float error from raising an exact integer."""
+    c = F.ceil((la + lb) * F.lit(t / 200.0) - F.lit(1e-9)).cast("int")
+    return F.when(c <= F.least(la, lb), c * (2 * q - 1) - (la + lb - 1) * (q - 1)).otherwise(0)
+
+
+def _least_shared(la: Column, t: float, q: int) -> Column:
+    """The least ``_shared`` over all partner lengths that can reach t."""
+    lo = F.ceil(la * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
+    if q == 1:      # c grows with the partner
+        return _shared(la, F.greatest(lo, F.lit(1)), t, q)
+    hi = F.floor(la * F.lit((200.0 - t) / t) + F.lit(1e-9)).cast("int")
+    bounds = F.transform(F.sequence(lo, F.greatest(lo, hi)), lambda lb: _shared(la, lb, t, q))
+    return F.coalesce(F.array_min(F.filter(bounds, lambda x: x > 0)), F.lit(0))
+
+
+def _combinations(x: Column, k: int) -> Column:
+    """Hashes of all k-subsets of an array (k = 1, 2 or 3), in array order."""
+    n = F.size(x)
+
+    def after(i):
+        return F.when(i < n, F.sequence(i + 1, n)).otherwise(F.array().cast("array<int>"))
+
+    at = lambda i: F.element_at(x, i)
+    if k == 1:
+        return x
+    if k == 2:
+        return F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: F.xxhash64(at(i), at(j)))))
+    return F.flatten(F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: F.transform(
+        after(j), lambda m: F.xxhash64(at(i), at(j), at(m)))))))
+
+
+def _gram_order(names: DataFrame, q: int) -> DataFrame:
+    """(side, s, n, grams): distinct strings with their q-grams, rarest first."""
+    grams = names.select("side", "s", "n", F.explode(_grams(F.col("s"), q)).alias("g"))
+    often = grams.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+    ordered = grams.join(often, "g").groupBy("side", "s", "n").agg(
+        F.array_sort(F.collect_list(F.struct("f", "g"))).alias("x"))   # the grams of one name
+    return ordered.select("side", "s", "n", F.col("x.g").alias("grams"))
+
+
+def _keys(names: DataFrame, t: float, q: int) -> DataFrame:
+    """(side, s, n, class, key): what names with ratio >= t have in common.
+
+    With all grams in one order, names that share o of them share k among the
+    first |grams| - o + k of each (prefix filtering, extended to k common
+    grams), so they agree on the hash of those k. Pairs in which a name can do
+    with fewer than 3 shared grams meet on one, pairs with a name longer than
+    ``SHORT_NAME`` on two, all others on three."""
+    n, grams = F.col("n"), F.col("grams")
+    least = _least_shared(n, t, q)
+    longest = F.floor(n * F.lit((200.0 - t) / t) + F.lit(1e-9))       # longest partner
+    shortest = F.ceil(n * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
+
+    def keys(k: int) -> Column:
+        return _combinations(F.slice(grams, 1, F.greatest(F.size(grams) - F.col("o") + k, F.lit(0))), k)
+
+    rows = names.withColumn("o", least).where(F.col("o") > 0)
+    few = rows.where(_least_shared(shortest, t, q) < 3)
+    several = rows.where(F.col("o") >= 3)
+    parts = [few.select("side", "s", "n", F.lit(1).alias("class"), F.explode(keys(1)).alias("key")),
+             several.where(longest > SHORT_NAME).select("side", "s", "n", F.lit(2).alias("class"), F.explode(keys(2)).alias("key")),
+             several.where(n <= SHORT_NAME).select("side", "s", "n", F.lit(3).alias("class"), F.explode(keys(3)).alias("key"))]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def candidate_pairs(ordered: DataFrame, t: float, q: int = 2) -> DataFrame:
+    """(ls, rs): every pair of a left and a right string that can have Indel
+    ratio >= t, of ``_gram_order`` rows, by an equi-join on ``_keys``."""
+    keys = _keys(ordered, t, q)
+    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), "class", "key")
+    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), "class", "key")
+    few = F.least(_least_shared(F.col("ln"), t, q), _least_shared(F.col("rn"), t, q)) < 3
+    kind = F.when(few, 1).when(F.greatest("ln", "rn") > SHORT_NAME, 2).otherwise(3)
+    return (left.join(right, ["class", "key"])
+            .where((_shared(F.col("ln"), F.col("rn"), t, q) > 0) & (F.col("class") == kind))
+            .select("ls", "rs").distinct())
+
+
+def _levels(t: float) -> list[float]:
+    """Thresholds tried one after the other down to t."""
+    return [t + (100.0 - t) * f for f in (0.7, 0.4, 0.0)] if t > BIGRAMS_FROM else [t]
 
 
 def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: str,
                threshold: float = 80.0, normalise: bool = True) -> DataFrame:
     """For each distinct left name, the right name with the highest
     token-sort ratio (ties: smallest right name), kept when >= threshold.
-    Names are compared by their F6 keys when ``normalise``.
-
-    Candidates come from exact prefix filtering (set-similarity joins:
-    Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007). The
-    ratio needs LCS >= alpha, and LCS is at most the overlap of the two
-    character multisets; with all (character, occurrence) tokens ordered by
-    global rarity, two strings with overlap >= alpha share a token among
-    their first |s| - alpha + 1 tokens. So only pairs sharing a rare prefix
-    token are scored (an equi-join on the token), and the LCS check keeps
-    the result exact. Names whose bound is 0 (empty, or threshold 0) fall
-    back to the length band."""
-    from pyspark.sql import Window
+    Names are compared by their F6 keys when ``normalise``; null names are left
+    out.
+
+    Names with equal sorted tokens leave first. The others go through falling
+    thresholds: at each, all pairs that can reach it are found by shared
+    combinations of rare grams (``candidate_pairs``; set-similarity joins:
+    Chaudhuri, Ganti and Kaushik 2006; Wang, Li and Feng 2012), scored, and
+    names with a partner leave, because any partner not looked at is worse. So
+    near-equal names never meet the loose bound of the last threshold, under
+    which only names without a good partner are left. No step loses a pair that
+    reaches the threshold."""
+    from strataforge.session import ensure_checkpoint_dir
 
+    ensure_checkpoint_dir(left.sparkSession)
     key = match_key if normalise else (lambda c: _c(c))
     t = float(threshold)
-    lq = (left.select(F.col(left_name).alias("left_name")).where(F.col("left_name").isNotNull()).distinct()
-              .withColumn("__lt", sort_tokens(key(F.col("left_name")))).withColumn("__ll", F.length("__lt")))
-    rq = (right.select(F.col(right_name).alias("right_name")).where(F.col("right_name").isNotNull()).distinct()
-               .withColumn("__rt", sort_tokens(key(F.col("right_name")))).withColumn("__rl", F.length("__rt")))
-    # both distinct name sets feed several branches: materialise them once
-    from strataforge.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(left.sparkSession)
-    every_lq, rq = lq.checkpoint(eager=True), rq.checkpoint(eager=True)
-    # names with an equal partner have ratio 100 and need no candidates
-    same = rq.where(F.col("__rl") > 0).groupBy("__rt").agg(F.min("right_name").alias("right_name"))
-    equal = (every_lq.where(F.col("__ll") > 0).join(same, F.col("__lt") == F.col("__rt"))
-             .select("left_name", "right_name", F.lit(100.0).alias("score")))
-    lq = every_lq.join(equal.select("left_name"), "left_name", "left_anti").checkpoint(eager=True)
-
-    def prefixes(df, name, text, length):
-        alpha = _min_overlap(F.col(length), t) if 0 < t < 200 else F.lit(0)
-        x = df.withColumn("__alpha", alpha).where((F.col("__alpha") >= 1) & (F.col(length) > 0))
-        return x.select(name, text, length, F.explode(_char_tokens(F.col(text))).alias("__tok"),
-                        (F.col(length) - F.col("__alpha") + 1).alias("__p"))
-
-    lt, rt = prefixes(lq, "left_name", "__lt", "__ll"), prefixes(rq, "right_name", "__rt", "__rl")
-    vocab = lt.select("__tok").unionAll(rt.select("__tok")).groupBy("__tok").agg(F.count(F.lit(1)).alias("__f"))
-    # the token vocabulary is characters x occurrence numbers, not names
-    rank = vocab.withColumn("__rank", F.row_number().over(Window.orderBy("__f", "__tok")))
-
-    def top(df, name, text, length):
-        r = df.join(rank.select("__tok", "__rank"), "__tok")   # vocabulary side: AQE sizes it
-        w = Window.partitionBy(name).orderBy("__rank")     # one name's tokens
-        return (r.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= F.col("__p"))
-                 .select(name, text, length, "__tok"))
-
-    cand = (top(lt, "left_name", "__lt", "__ll").join(top(rt, "right_name", "__rt", "__rl"), "__tok")
-                # the length band is exact too: a ratio >= t needs 200 * min / sum >= t
-                .where(F.lit(200.0) * F.least("__ll", "__rl") >= F.lit(t) * (F.col("__ll") + F.col("__rl")) - 1e-9)
-                .select("left_name", "right_name", "__lt", "__rt").distinct())
-    # names with no usable bound (empty names, threshold 0) use the length band
-    if 0 < t < 200:
-        lo_b = lq.where((_min_overlap(F.col("__ll"), t) < 1) | (F.col("__ll") == 0))
-    else:
-        lo_b = lq
-    lo = F.ceil(F.col("__ll") * F.lit(t / (200.0 - t))) if t < 200 else F.col("__ll")
-    hi = F.floor(F.col("__ll") * F.lit((200.0 - t) / t)) if t > 0 else F.col("__ll") * 1000
-    band = (lo_b.withColumn("__rl", F.explode(F.sequence(F.greatest(lo - 1, F.lit(0)).cast("int"),
-                                                         F.greatest(hi + 1, F.lit(0)).cast("int"))))
-                 .join(rq.select("right_name", "__rl", "__rt"), "__rl").select("left_name", "right_name", "__lt", "__rt"))
-    scored = (cand.unionByName(band).distinct()
-                  .withColumn("score", indel_ratio(F.col("__lt"), F.col("__rt")))
-                  .where(F.col("score") >= t))
-    best = scored.groupBy("left_name").agg(
-        F.min_by(F.struct("right_name", "score"), F.struct((-F.col("score")).alias("s"), F.col("right_name").alias("r")))
-        .alias("__b"))
-    best = best.select("left_name", F.col("__b.right_name").alias("right_name"), F.col("__b.score").alias("score"))
-    return best.unionByName(equal.where(F.col("score") >= t))
+
+    def names(df, col, side):
+        x = F.col("name")
+        return (df.select(F.col(col).cast("string").alias("name")).where(x.isNotNull()).distinct()
+                .select("name", sort_tokens(key(x)).alias("s")).withColumn("side", F.lit(side)))
+
+    ln = names(left, left_name, "l").checkpoint(eager=True)
+    right_names = names(right, right_name, "r").groupBy("s").agg(F.min("name").alias("right_name")).checkpoint(eager=True)
+    todo = ln.select("s").distinct()
+    found = todo.join(right_names, "s").select(F.col("s").alias("ls"), "right_name", F.lit(100.0).alias("score"))
+    found = found.where(F.lit(100.0 >= t)).checkpoint(eager=True)
+    todo = todo.join(found, todo.s == found.ls, "left_anti")
+    q = 2 if t > BIGRAMS_FROM else 1
+    both = (todo.select(F.lit("l").alias("side"), "s").unionAll(right_names.select(F.lit("r").alias("side"), "s"))
+            .withColumn("n", F.length("s")).where(F.col("n") > 0))
+    ordered = _gram_order(both, q).checkpoint(eager=True)
+    out = [found]
+    for level in _levels(max(t, LEAST)) if t < 100 else []:
+        pairs = candidate_pairs(ordered, level, q)
+        scored = (pairs.withColumn("score", indel_ratio(F.col("ls"), F.col("rs"))).where(F.col("score") >= F.lit(level))
+                  .join(right_names, F.col("rs") == F.col("s")))
+        best = (scored.groupBy("ls").agg(F.min_by(F.struct("right_name", "score"), F.struct((-F.col("score")).alias("m"), "right_name")).alias("b"))
+                .select("ls", "b.right_name", "b.score").checkpoint(eager=True))
+        out.append(best)
+        if level > t:
+            ordered = ordered.join(best, (F.col("side") == "l") & (F.col("s") == F.col("ls")), "left_anti").checkpoint(eager=True)
+    if t <= 0:      # names that share nothing with any partner have ratio 0 with all
+        first = right_names.agg(F.min("right_name").alias("m")).first().m
+        rest = ordered.where("side = 'l'").select("s").unionAll(todo.where(F.length("s") == 0).select("s"))
+        if first is not None:
+            out.append(rest.select(F.col("s").alias("ls"), F.lit(first).alias("right_name"), F.lit(0.0).alias("score")))
+    every = out[0]
+    for part in out[1:]:
+        every = every.unionByName(part)
+    return ln.join(every, F.col("s") == F.col("ls")).select(F.col("name").alias("left_name"), "right_name", "score")
 
 
 def lookup_ci(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, order_col: str,

@@ -506,3 +506,58 @@ def fuzzy_best_match(spark, sf_dir):
     right = table(spark, sf_dir, "part", "p_name")
     m = match.best_match(a, right, "altered", "p_name", threshold=80.0)
     return m.select("left_name", "right_name", r6("score").alias("score"))
+
+
+# Names of 9 to 18 letters in two words, one per order, spelled from a digest of
+# its key; the left side misspells them: letters dropped, changed, swapped words,
+# and (every sixth) a name without a partner.
+SPELLING = ("0123456789abcdef", "aeioubdkmnprstlz")
+WIDE_SQL = f"""
+SELECT o_orderkey AS k, concat(substr(w, 1, 4 + a), ' ', substr(w, 13, 4 + b)) AS name,
+       CASE k6 WHEN 0 THEN concat(substr(w, 13, 4 + b), ' ', substr(w, 1, 4 + a))
+               WHEN 1 THEN concat(substr(w, 1, 2), substr(w, 4, 1 + a), ' ', substr(w, 13, 4 + b))
+               WHEN 2 THEN concat(substr(w, 1, 3), 'w', substr(w, 5, a), ' ', substr(w, 13, 4 + b))
+               WHEN 3 THEN concat(substr(w, 1, 4 + a), ' ', substr(w, 13, 1), substr(w, 15, 1), substr(w, 14, 1), substr(w, 16, 1 + b))
+               WHEN 4 THEN concat(substr(w, 13, 3 + b), 'y ', substr(w, 1, 3), substr(w, 5, a), 'x')
+               ELSE concat(substr(w, 24, 8), ' ', substr(w, 19, 5)) END AS misspelt
+FROM (SELECT o_orderkey, translate(md5(CAST(o_orderkey AS STRING)), '{SPELLING[0]}', '{SPELLING[1]}') AS w,
+             CAST(o_orderkey % 6 AS INT) AS k6, CAST(o_orderkey % 5 AS INT) AS a, CAST(floor(o_orderkey / 6) % 6 AS INT) AS b FROM orders)"""
+
+
+def wide_names(spark, sf_dir):
+    """(k, name, misspelt) of every order."""
+    return spark.sql(WIDE_SQL.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders", "o_orderkey"))
+
+
+def _letter_bits(x: str) -> str:
+    """Bigrams of a text with both ends marked, as bits 0-255 in four numbers."""
+    marked = f"'<' || {x} || '>'"
+    grams = f"list_transform(range(1, length({x}) + 2), lambda i: hash(substr({marked}, i, 2)) % 256)"
+    return "[" + ", ".join(f"list_bit_or(list_transform(list_filter({grams}, lambda h: h // 64 = {k}), "
+                           f"lambda h: (1::UBIGINT << (h % 64)::UBIGINT)))" for k in range(4)) + "]"
+
+
+def _lost_bits(x: str, y: str) -> str:
+    return " + ".join(f"bit_count((coalesce({x}[{k}], 0::UBIGINT) & ~coalesce({y}[{k}], 0::UBIGINT)))" for k in range(1, 5))
+
+
+# All pairs of distinct names whose bigram bits allow a ratio of 80: with c =
+# ceil(0.4 (la + lb)), at most 2 (la - c) + lb - c bigrams of a are not in b.
+@register("fuzzy_best_match_wide", _lcs_cte(f"""
+  WITH n AS (SELECT * FROM ({WIDE_SQL.replace("AS STRING", "AS VARCHAR")})),
+  l AS (SELECT left_name, s, length(s) AS n, {_letter_bits("s")} AS bits
+        FROM (SELECT DISTINCT misspelt AS left_name, {_tok_sql(_key_sql("misspelt"))} AS s FROM n)),
+  r AS (SELECT right_name, s, length(s) AS n, {_letter_bits("s")} AS bits
+        FROM (SELECT DISTINCT name AS right_name, {_tok_sql(_key_sql("name"))} AS s FROM n))
+  SELECT row_number() OVER () AS id, left_name, right_name, l.s AS a, r.s AS b
+  FROM l JOIN r ON ceil(0.4 * (l.n + r.n) - 1e-9) <= least(l.n, r.n)
+   AND {_lost_bits("l.bits", "r.bits")} <= 2 * l.n + r.n - 3 * ceil(0.4 * (l.n + r.n) - 1e-9)
+   AND {_lost_bits("r.bits", "l.bits")} <= 2 * r.n + l.n - 3 * ceil(0.4 * (l.n + r.n) - 1e-9)""") + """
+, sc AS (SELECT pr.left_name, pr.right_name, 200.0 * lcs / (la + lb) AS score FROM pr JOIN lcs USING (id)),
+best AS (SELECT *, row_number() OVER (PARTITION BY left_name ORDER BY score DESC, right_name) AS rn
+         FROM sc WHERE score >= 80)
+SELECT left_name, right_name, round(score, 6) AS score FROM best WHERE rn = 1""")
+def fuzzy_best_match_wide(spark, sf_dir):
+    """J10 between as many names a side as there are orders."""
+    n = wide_names(spark, sf_dir)
+    return match.best_match(n, n, "misspelt", "name", threshold=80.0).select("left_name", "right_name", r6("score").alias("score"))
