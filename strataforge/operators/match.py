@@ -93,16 +93,12 @@ LEAST = 1e-6
 SHORT_NAME = 24
 
 
-def _grams(s: Column, q: int) -> Column:
-    """The q-grams of a string as hashes of (gram, occurrence number), so that
-    multiset overlap becomes set overlap; bigrams see both ends of the string."""
+def _pieces(s: Column, q: int) -> Column:
+    """The characters of a string, or its bigrams with both ends marked."""
     if q == 1:
-        parts = F.filter(F.split(s, ""), lambda c: c != "")
-    else:
-        ends = F.concat(F.lit("\u0002"), s, F.lit("\u0003"))
-        parts = F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2)))
-    return F.transform(parts, lambda g, i: F.xxhash64(
-        g, F.size(F.filter(F.slice(parts, 1, i + 1), lambda x: x == g))))
+        return F.filter(F.split(s, ""), lambda c: c != "")
+    ends = F.concat(F.lit("\u0002"), s, F.lit("\u0003"))
+    return F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2)))
 
 
 def _shared(la: Column, lb: Column, t: float, q: int) -> Column:
@@ -125,32 +121,45 @@ def _least_shared(la: Column, t: float, q: int) -> Column:
 
 
 def _combinations(x: Column, k: int) -> Column:
-    """Hashes of all k-subsets of an array (k = 1, 2 or 3), in array order."""
+    """All k-subsets (k = 1, 2 or 3) of an array of (g, at), in array order, as
+    (key, at): the hash of the grams and their places, eight bits each."""
     n = F.size(x)
 
     def after(i):
         return F.when(i < n, F.sequence(i + 1, n)).otherwise(F.array().cast("array<int>"))
 
-    at = lambda i: F.element_at(x, i)
+    def one(*places):
+        grams = [F.element_at(x, i) for i in places]
+        packed = grams[0]["at"]
+        for g in grams[1:]:
+            packed = packed * 256 + g["at"]
+        return F.struct(F.xxhash64(*[g["g"] for g in grams]).alias("key"), packed.alias("at"))
+
     if k == 1:
-        return x
+        return F.transform(after(F.lit(0)), lambda i: one(i))
     if k == 2:
-        return F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: F.xxhash64(at(i), at(j)))))
+        return F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: one(i, j))))
     return F.flatten(F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: F.transform(
-        after(j), lambda m: F.xxhash64(at(i), at(j), at(m)))))))
+        after(j), lambda m: one(i, j, m))))))
 
 
 def _gram_order(names: DataFrame, q: int) -> DataFrame:
-    """(side, s, n, grams): distinct strings with their q-grams, rarest first."""
-    grams = names.select("side", "s", "n", F.explode(_grams(F.col("s"), q)).alias("g"))
+    """(side, s, n, grams): distinct strings with their q-grams (g, at), rarest
+    first. ``g`` hashes the gram and its occurrence number, so multiset overlap
+    becomes set overlap; ``at`` is the place of a gram that occurs once, else 0."""
+    parts, x = _pieces(F.col("s"), q), F.col("x")
+    numbered = F.transform(x, lambda g, i: F.struct(
+        F.xxhash64(g, F.size(F.filter(F.slice(x, 1, i + 1), lambda v: v == g))).alias("g"),
+        F.when((F.size(F.filter(x, lambda v: v == g)) > 1) | (i >= 255), 0).otherwise(i + 1).alias("at")))
+    grams = names.withColumn("x", parts).select("side", "s", "n", F.explode(numbered).alias("v")).select("side", "s", "n", "v.g", "v.at")
     often = grams.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     ordered = grams.join(often, "g").groupBy("side", "s", "n").agg(
-        F.array_sort(F.collect_list(F.struct("f", "g"))).alias("x"))   # the grams of one name
-    return ordered.select("side", "s", "n", F.col("x.g").alias("grams"))
+        F.array_sort(F.collect_list(F.struct("f", "g", "at"))).alias("x"))   # the grams of one name
+    return ordered.select("side", "s", "n", F.transform("x", lambda v: F.struct(v["g"].alias("g"), v["at"].alias("at"))).alias("grams"))
 
 
 def _keys(names: DataFrame, t: float, q: int) -> DataFrame:
-    """(side, s, n, class, key): what names with ratio >= t have in common.
+    """(side, s, n, class, key, at): what names with ratio >= t have in common.
 
     With all grams in one order, names that share o of them share k among the
     first |grams| - o + k of each (prefix filtering, extended to k common
@@ -161,29 +170,43 @@ def _keys(names: DataFrame, t: float, q: int) -> DataFrame:
     least = _least_shared(n, t, q)
     longest = F.floor(n * F.lit((200.0 - t) / t) + F.lit(1e-9))       # longest partner
     shortest = F.ceil(n * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
+    rows = names.withColumn("o", least).where(F.col("o") > 0)
 
-    def keys(k: int) -> Column:
-        return _combinations(F.slice(grams, 1, F.greatest(F.size(grams) - F.col("o") + k, F.lit(0))), k)
+    def keys(df: DataFrame, k: int) -> DataFrame:
+        prefix = F.slice(grams, 1, F.greatest(F.size(grams) - F.col("o") + k, F.lit(0)))
+        return (df.withColumn("x", prefix).select("side", "s", "n", F.lit(k).alias("class"), F.explode(_combinations(F.col("x"), k)).alias("v"))
+                .select("side", "s", "n", "class", "v.key", "v.at"))
 
-    rows = names.withColumn("o", least).where(F.col("o") > 0)
     few = rows.where(_least_shared(shortest, t, q) < 3)
     several = rows.where(F.col("o") >= 3)
-    parts = [few.select("side", "s", "n", F.lit(1).alias("class"), F.explode(keys(1)).alias("key")),
-             several.where(longest > SHORT_NAME).select("side", "s", "n", F.lit(2).alias("class"), F.explode(keys(2)).alias("key")),
-             several.where(n <= SHORT_NAME).select("side", "s", "n", F.lit(3).alias("class"), F.explode(keys(3)).alias("key"))]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return (keys(few, 1).unionAll(keys(several.where(longest > SHORT_NAME), 2))
+            .unionAll(keys(several.where(n <= SHORT_NAME), 3)))
+
+
+def _places_fit(t: float) -> Column:
+    """Whether shared grams can be kept by one alignment that reaches t: what it
+    deletes and inserts bounds how far a gram moves, and grams stay in order.
+    Grams that repeat in a name (place 0) always fit."""
+    c = F.ceil((F.col("ln") + F.col("rn")) * F.lit(t / 200.0) - F.lit(1e-9))
+    pairs = [(F.shiftright("lat", 8 * k) % 256, F.shiftright("rat", 8 * k) % 256) for k in range(3)]
+    ok = F.lit(True)
+    for x, y in pairs:
+        ok = ok & ((x == 0) | (y == 0) | ((y - x >= c - F.col("ln")) & (y - x <= F.col("rn") - c)))
+    for (x, y), (u, v) in ((pairs[0], pairs[1]), (pairs[1], pairs[2]), (pairs[0], pairs[2])):
+        ok = ok & ((x == 0) | (y == 0) | (u == 0) | (v == 0) | ((x < u) == (y < v)))
+    return ok
 
 
 def candidate_pairs(ordered: DataFrame, t: float, q: int = 2) -> DataFrame:
     """(ls, rs): every pair of a left and a right string that can have Indel
     ratio >= t, of ``_gram_order`` rows, by an equi-join on ``_keys``."""
     keys = _keys(ordered, t, q)
-    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), "class", "key")
-    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), "class", "key")
+    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), "class", "key", F.col("at").alias("lat"))
+    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), "class", "key", F.col("at").alias("rat"))
     few = F.least(_least_shared(F.col("ln"), t, q), _least_shared(F.col("rn"), t, q)) < 3
     kind = F.when(few, 1).when(F.greatest("ln", "rn") > SHORT_NAME, 2).otherwise(3)
     return (left.join(right, ["class", "key"])
-            .where((_shared(F.col("ln"), F.col("rn"), t, q) > 0) & (F.col("class") == kind))
+            .where(_places_fit(t) & (_shared(F.col("ln"), F.col("rn"), t, q) > 0) & (F.col("class") == kind))
             .select("ls", "rs").distinct())
 
 
@@ -238,6 +261,8 @@ def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: st
         out.append(best)
         if level > t:
             ordered = ordered.join(best, (F.col("side") == "l") & (F.col("s") == F.col("ls")), "left_anti").checkpoint(eager=True)
+            if ordered.where("side = 'l'").isEmpty():
+                break
     if t <= 0:      # names that share nothing with any partner have ratio 0 with all
         first = right_names.agg(F.min("right_name").alias("m")).first().m
         rest = ordered.where("side = 'l'").select("s").unionAll(todo.where(F.length("s") == 0).select("s"))

@@ -11,8 +11,8 @@ M1 is mean-field variational inference with Polya-Gamma augmentation
 random intercepts by Goplerud 2022). Each pass is ONE Spark job over the
 cells: every task scores its Arrow batches with numpy against the broadcast
 posterior (mean ``m``, covariance ``V``) and emits its partial X'WX; the
-partials (tasks x P(P+1)/2 numbers, P = 2 + total levels) are added on the
-driver, which solves the small system and updates the variances. Between
+partials are added up (P(P+1)/2 numbers, P = 2 + total levels, at most
+``DENSE_LEVELS``; more levels: ``mixed_blocks``) and reach the driver, which solves the small system and updates the variances. Between
 passes the exact (m, V) and variance updates are repeated on the driver with
 the pass's weights fixed (a coordinate-ascent schedule with the same fixed
 point), which cuts the number of data passes from ~30-100 to ~5.
@@ -27,8 +27,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataforge.operators.mixed_blocks import fit_blocks
 from strataforge.session import ensure_checkpoint_dir
 
+#: Levels of all factors together up to which the normal equations are solved as one dense matrix.
+DENSE_LEVELS = 500
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -99,10 +103,15 @@ class Fit:
     fallback_cov: bool = False
     singular: bool = False
     fallback_reason: str = ""
+    #: covariance of all coefficients in the order intercept, covariate, levels by factor (dense fits)
+    full_cov: np.ndarray | None = None
+    #: (level, m, s) of factors with many levels, as distributed frames
+    level_frames: dict = field(default_factory=dict)
 
     def level_table(self, spark: SparkSession, factor: str) -> DataFrame:
-        """Fitted effect per level of one factor (mean, posterior sd); a
-        factor's level list is small, so this table is broadcastable."""
+        """Fitted effect per level of one factor (mean, posterior sd)."""
+        if factor in self.level_frames:
+            return self.level_frames[factor]
         rows = [(str(v), float(self.level_means[factor][i]), float(self.level_sds[factor][i]))
                 for i, v in enumerate(self.levels.get(factor, []))]
         return spark.createDataFrame(rows, "level string, m double, s double")
@@ -112,15 +121,16 @@ class Fit:
         level (mean), plus the variance of each grouping factor."""
         rows = [("fixed", t, None, float(self.mean[i]), float(np.sqrt(max(self.cov[i, i], 0.0))))
                 for i, t in enumerate(self.terms)]
-        for g, lv in self.levels.items():
-            for j, name in enumerate(lv):
-                rows.append(("random", g, str(name), float(self.level_means[g][j]), None))
-            rows.append(("variance", g, None, float(self.variances[g]), None))
+        rows += [("variance", g, None, float(v), None) for g, v in self.variances.items()]
         df = spark.createDataFrame(rows, "kind string, term string, level string, estimate double, sd double")
+        for g in self.variances:
+            df = df.unionAll(self.level_table(spark, g).select(
+                F.lit("random").alias("kind"), F.lit(g).alias("term"), "level", F.col("m").alias("estimate"), F.lit(None).cast("double").alias("sd")))
         # explicit flags instead of silent fallbacks (Q19)
         return df.withColumns({"model_type": F.lit(self.model_type), "converged": F.lit(bool(self.converged)),
                                "singular": F.lit(bool(self.singular)), "iterations": F.lit(int(self.iterations)),
-                               "fallback_cov": F.lit(bool(self.fallback_cov))})
+                               "fallback_cov": F.lit(bool(self.fallback_cov)),
+                               "fallback_reason": F.lit(self.fallback_reason)})
 
 
 def _design_indices(factors, levels):
@@ -137,12 +147,16 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
               cells_per_task: int = 250_000, inner_iter: int = 50) -> Fit:
     """M1 / M2: logit P = b0 + b1 x + sum_g a_g[level], a_g ~ N(0, s_g^2).
 
-    Levels of each factor are listed once (a factor's level list is small);
-    cells are checkpointed (reliable, ``spark.checkpoint.dir``) so every
-    pass rereads the same collapsed table."""
+    Cells are checkpointed (reliable, ``spark.checkpoint.dir``) so every
+    pass rereads the same collapsed table. One factor alone, or more levels
+    than ``DENSE_LEVELS``, go through ``mixed_blocks`` (the same fixed point
+    with the largest factor eliminated level by level)."""
     factors = list(factors)
     ensure_checkpoint_dir(spark)
     cell_df = cell_df.checkpoint(eager=True)     # the collapsed survey, read once per pass
+    n_levels = sum(cell_df.agg(*[F.count_distinct(g).alias(g) for g in factors]).first()) if factors else 0
+    if len(factors) == 1 or n_levels > DENSE_LEVELS:
+        return fit_blocks(spark, cell_df, factors, covariate, max_iter, tol, fixed_precision, prior_a, prior_b, min_variance, cells_per_task)
     levels = {g: [r[0] for r in cell_df.select(g).distinct().orderBy(g).collect()] for g in factors}
     offsets, P = _design_indices(factors, levels)
     lvl_maps = {g: F.create_map(*[x for i, v in enumerate(levels[g]) for x in (F.lit(v), F.lit(offsets[g] + i))])
@@ -198,10 +212,8 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
             ii, jj = np.nonzero(np.triu(A))
             yield pd.DataFrame({"i": ii.astype(np.int32), "j": jj.astype(np.int32), "v": A[ii, jj]})
 
-        # one partial X'WX per task (cells are sized at ``cells_per_task``, so
-        # at most tasks x P(P+1)/2 numbers), added on the driver as a tree
-        # aggregate would: no shuffle stage per pass
-        parts = prepared.mapInPandas(xtwx, "i int, j int, v double").toArrow()
+        # the partials of the tasks are added before they reach the driver
+        parts = (prepared.mapInPandas(xtwx, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))).toArrow()
         A = np.zeros((P, P))
         np.add.at(A, (parts.column("i").to_numpy(), parts.column("j").to_numpy()), parts.column("v").to_numpy())
         A = A + np.triu(A, 1).T
@@ -246,9 +258,55 @@ def fit_mixed(spark: SparkSession, cell_df: DataFrame, factors: Sequence[str], c
     fit = Fit("mixed" if len(factors) > 1 else "mixed_area", ["(Intercept)", covariate], m[:2].copy(),
               V[:2, :2].copy(), variances, levels, level_means, level_sds, it, converged)
     fit.singular = singular
+    fit.full_cov = V
     return fit
 
 
+def fixed_point_residuals(spark: SparkSession, fit: Fit, cell_df: DataFrame, factors: Sequence[str], covariate: str,
+                          fixed_precision: float = 1e-4, prior_a: float = 1e-3, prior_b: float = 1e-3) -> DataFrame:
+    """(term, level, residual) of a dense ``fit_mixed``: for each coefficient
+    the mean over its trials of s - n/2 - w psi, less its prior's pull; for each
+    factor (row ``<factor> precision``) the relative error of its precision. All
+    are 0 at the fixed point.
+
+    Computed from the cells by joins with the levels' means and, per cell, the
+    covariance of its coefficients (a map of the levels' places; the covariance
+    has at most (2 + ``DENSE_LEVELS``)^2 numbers)."""
+    x = cell_df.select(F.col(covariate).cast("double").alias("x"), "s", "n", *[F.col(g).cast("string").alias(g) for g in factors])
+    offset = 2
+    psi = F.lit(float(fit.mean[0])) + F.lit(float(fit.mean[1])) * F.col("x")
+    places = [F.lit(0), F.lit(1)]
+    for g in factors:
+        rows = [(str(v), offset + i, float(fit.level_means[g][i])) for i, v in enumerate(fit.levels[g])]
+        x = x.join(F.broadcast(spark.createDataFrame(rows, f"`{g}` string, `{g}_i` int, `{g}_m` double")), g)
+        psi, places = psi + F.col(f"{g}_m"), [*places, F.col(f"{g}_i")]
+        offset += len(rows)
+    cov = spark.createDataFrame([(i, fit.full_cov[i].tolist()) for i in range(offset)], "i int, row array<double>")
+    x = x.withColumn("psi", psi).withColumn("at", F.array(*places)).withColumn("val", F.array(F.lit(1.0), "x", *[F.lit(1.0)] * len(factors)))
+    keyed = x.withColumn("cell", F.struct("x", "s", "n", *factors))
+    # per cell: sum over its coefficients i of val_i * (sum over j of val_j cov[i, j])
+    each = keyed.select("cell", "at", "val", F.posexplode("at").alias("p", "i")).join(F.broadcast(cov), "i")
+    inner = F.aggregate(F.zip_with("at", "val", lambda a, v: F.element_at("row", a + 1) * v), F.lit(0.0), lambda s, v: s + v)
+    spread = each.groupBy("cell").agg(F.sum(F.element_at("val", F.col("p") + 1) * inner).alias("var"))
+    c = F.sqrt(F.col("psi") * F.col("psi") + F.greatest("var", F.lit(0.0)))
+    w = F.when(c > 1e-8, F.col("n") * F.tanh(c / 2) / (2 * c)).otherwise(F.col("n") / 4)
+    score = keyed.join(spread, "cell").withColumn("__r", F.col("s") - F.col("n") / 2 - w * F.col("psi"))
+    score = score.select(F.col("x").alias("__x"), F.col("n").alias("__n"), "__r", *factors).checkpoint(eager=True)
+    b0, b1 = (float(v) for v in fit.mean)
+    out = score.agg(((F.sum("__r") - fixed_precision * b0) / F.sum("__n")).alias("a"), ((F.sum(F.col("__r") * F.col("__x")) - fixed_precision * b1) / F.sum("__n")).alias("b"))
+    out = out.select(F.explode(F.array(F.struct(F.lit(fit.terms[0]).alias("term"), F.col("a").alias("residual")),
+                                       F.struct(F.lit(fit.terms[1]).alias("term"), F.col("b").alias("residual")))).alias("v"))
+    out = out.select("v.term", F.lit(None).cast("string").alias("level"), "v.residual")
+    for g in factors:
+        lt = fit.level_table(spark, g)
+        one = (score.groupBy(F.col(g).alias("level")).agg(F.sum("__r").alias("__r"), F.sum("__n").alias("__n")).join(F.broadcast(lt), "level")
+               .select(F.lit(g).alias("term"), "level", ((F.col("__r") - F.col("m") / fit.variances[g]) / F.col("__n")).alias("residual")))
+        ss = F.sum(F.col("m") * F.col("m") + F.col("s") * F.col("s")) / 2 + prior_b
+        precision = lt.agg((ss / (F.count(F.lit(1)) / 2 + prior_a) / fit.variances[g] - 1).alias("residual"))
+        out = out.unionByName(one).unionByName(precision.select(F.lit(f"{g} precision").alias("term"), F.lit(None).cast("string").alias("level"), "residual"))
+    return out
+
+
 def fit_glm(spark: SparkSession, cell_df: DataFrame, covariate: str, max_iter: int = 50) -> Fit:
     """M3: plain logistic regression on cells with Spark ML's distributed
     IRLS (label = s / n, weight = n); covariance from one X'WX aggregation

@@ -185,7 +185,8 @@ def glm_sql() -> str:
                FROM (SELECT b0, b1, sum(n * p * (1 - p)) AS a, sum(n * p * (1 - p) * x) AS b, sum(n * p * (1 - p) * x * x) AS c
                      FROM (SELECT it.b0, it.b1, x, n, 1 / (1 + exp(-(it.b0 + it.b1 * x))) AS p FROM it, cells WHERE it.k = 25)
                      GROUP BY b0, b1)""")
-    flags = "'glm' AS model_type, true AS converged, false AS singular, CAST(0 AS INTEGER) AS iterations, false AS fallback_cov"
+    flags = ("'glm' AS model_type, true AS converged, false AS singular, CAST(0 AS INTEGER) AS iterations, false AS fallback_cov, "
+             "'' AS fallback_reason")
     return cte(**parts).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
 SELECT 'fixed' AS kind, '(Intercept)' AS term, CAST(NULL AS VARCHAR) AS level, round(b0, 6) AS estimate, round(sqrt(v0), 6) AS sd, {flags} FROM fit
 UNION ALL SELECT 'fixed', 'turnout_2021_z', NULL, round(b1, 6), round(sqrt(v1), 6), {flags} FROM fit"""
@@ -198,6 +199,55 @@ def glm_fit(spark, sf_dir):
     return _fit_table(spark, sf_dir, (), "glm").withColumns({"estimate": r6("estimate"), "sd": r6("sd")})
 
 
+def labelled_sql() -> dict:
+    """CTEs of the stage-0 outcome: ``y`` (resp_id, factors, x, y) with complete cases."""
+    return dict(
+        **past_sql(), s=SURVEY_SQL,
+        r="""SELECT *, CASE WHEN p_will_vote > 1 THEN p_will_vote / 100 ELSE p_will_vote END AS pw
+             FROM s WHERE p_will_vote IS NOT NULL AND p_aitc IS NOT NULL AND p_nda IS NOT NULL""",
+        y=f"""SELECT r.*, coalesce(p.turnout_2021_z, (SELECT quantile_cont(turnout_2021_z, 0.5) FROM past)) AS x,
+                     CAST({uniform_sql(TURNOUT_SEED, "r.resp_id")} < r.pw AS INTEGER) AS y
+              FROM r LEFT JOIN past p ON r.constituency_name = p.constituency_name""")
+
+
+def area_fit_sql(steps: int = 400, precision: str = "1e-4::DOUBLE", prior: str = "1e-3::DOUBLE") -> str:
+    """The variational fixed point of the area model by plain steps: weights,
+    then precision, then coefficients, with each area's effect eliminated."""
+    def solved(rows: str) -> str:      # rows: k, tau, g, d, c, e, b, bx; one k
+        return f"""(SELECT *, d * v00 + c * v01 AS u0, d * v01 + c * v11 AS u1, v00 * h0 + v01 * h1 AS m0, v01 * h0 + v11 * h1 AS m1
+              FROM (SELECT *, s11 / det AS v00, -s01 / det AS v01, s00 / det AS v11
+                    FROM (SELECT *, s00 * s11 - s01 * s01 AS det
+                          FROM (SELECT *, {precision} + sum(d - d * d / (d + tau)) OVER () AS s00, sum(c - d * c / (d + tau)) OVER () AS s01,
+                                       {precision} + sum(e - c * c / (d + tau)) OVER () AS s11, sum(b - d * b / (d + tau)) OVER () AS h0,
+                                       sum(bx - c * b / (d + tau)) OVER () AS h1 FROM {rows}))))"""
+    level = "SELECT *, (b - d * m0 - c * m1) / (d + tau) AS ma, 1 / (d + tau) + (u0 * d + u1 * c) / ((d + tau) * (d + tau)) AS va FROM "
+    unnested = "(SELECT k, tau, l.g AS g, l.d AS d, l.c AS c, l.e AS e, l.b AS b, l.bx AS bx FROM (SELECT k, tau, unnest(lv) AS l FROM {}))"
+    row = "list({'g': g, 'd': d, 'c': c, 'e': e, 'b': b, 'bx': bx})"
+    parts = dict(
+        **labelled_sql(),
+        cells="SELECT constituency_name AS g, x, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM y WHERE constituency_name IS NOT NULL GROUP BY ALL",
+        it=f"""SELECT 0 AS k, 1.0::DOUBLE AS tau, {row} AS lv
+               FROM (SELECT g, sum(n / 4) AS d, sum(n / 4 * x) AS c, sum(n / 4 * x * x) AS e, sum(s - n / 2) AS b, sum((s - n / 2) * x) AS bx
+                     FROM cells GROUP BY g)
+               UNION ALL
+               SELECT k + 1, t, {row} FROM (
+                 SELECT k, t, g, sum(w) AS d, sum(w * x) AS c, sum(w * x * x) AS e, any_value(b) AS b, any_value(bx) AS bx FROM (
+                   SELECT *, n * tanh(z / 2) / (2 * z) AS w FROM (
+                     SELECT q.*, cells.x, cells.n, sqrt(pow(m0 + m1 * x + ma, 2) + v00 + 2 * x * v01 + x * x * v11
+                                                        - 2 * (u0 + x * u1) / (d + tau) + va) AS z
+                     FROM (SELECT *, (count(*) OVER () / 2 + {prior}) / (sum(ma * ma + va) OVER () / 2 + {prior}) AS t
+                           FROM ({level} {solved(unnested.format(f"(SELECT * FROM it WHERE k < {steps})"))})) q
+                     JOIN cells ON cells.g = q.g)) GROUP BY k, t, g) GROUP BY k, t""",
+        f=f"{level} {solved(unnested.format(f'(SELECT * FROM it WHERE k = {steps})'))}")
+    flags = "'mixed_area' AS model_type, true AS converged, false AS singular, false AS fallback_cov, '' AS fallback_reason"
+    null = "CAST(NULL AS VARCHAR)"
+    return cte(**parts).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT 'fixed' AS kind, '(Intercept)' AS term, {null} AS level, round(any_value(m0), 4) AS estimate, round(sqrt(any_value(v00)), 4) AS sd, {flags} FROM f
+UNION ALL SELECT 'fixed', 'turnout_2021_z', {null}, round(any_value(m1), 4), round(sqrt(any_value(v11)), 4), {flags} FROM f
+UNION ALL SELECT 'variance', 'constituency_name', {null}, round(any_value(1 / tau), 4), CAST(NULL AS DOUBLE), {flags} FROM f
+UNION ALL SELECT 'random', 'constituency_name', g, round(ma, 4), CAST(NULL AS DOUBLE), {flags} FROM f"""
+
+
 @register("mixed_fit")
 def mixed_fit(spark, sf_dir):
     """M1 + M4 + M5: crossed random intercepts for seven factors by the
@@ -205,10 +255,34 @@ def mixed_fit(spark, sf_dir):
     return _fit_table(spark, sf_dir, FACTORS, "chain")
 
 
-@register("mixed_fit_area_only")
+@register("mixed_fit_area_only", area_fit_sql())
 def mixed_fit_area_only(spark, sf_dir):
-    """M2: the reduced model with the area intercept only."""
-    return _fit_table(spark, sf_dir, ("constituency_name",), "mixed")
+    """M2: the reduced model with the area intercept only, areas eliminated
+    block by block; the oracle steps to the same fixed point."""
+    t = _fit_table(spark, sf_dir, ("constituency_name",), "mixed").drop("iterations")
+    return t.withColumns({c: F.round(c, 4) for c in ("estimate", "sd")})
+
+
+def residual_sql() -> str:
+    """Every coefficient of the seven-factor model, with residual 0."""
+    one = " UNION ALL ".join(
+        f"SELECT DISTINCT '{g}' AS term, CAST({q} AS VARCHAR) AS level FROM c" for g, q in ((f, f'"{f}"') for f in FACTORS))
+    full = " AND ".join(f'"{f}" IS NOT NULL' for f in FACTORS)
+    return cte(**labelled_sql(), c=f"SELECT * FROM y WHERE x IS NOT NULL AND {full}") + f"""
+SELECT term, level, 0.0::DOUBLE AS residual FROM ({one})
+UNION ALL SELECT '(Intercept)', CAST(NULL AS VARCHAR), 0.0 UNION ALL SELECT 'turnout_2021_z', NULL, 0.0
+UNION ALL SELECT g || ' precision', NULL, 0.0 FROM (VALUES {", ".join(f"('{g}')" for g in FACTORS)}) t(g)"""
+
+
+@register("mixed_fit_residual", residual_sql())
+def mixed_fit_residual(spark, sf_dir):
+    """M1: how far the fit is from its own fixed point, per coefficient and
+    precision, recomputed from the cells with plain joins and aggregates (per
+    trial, four places)."""
+    x = "turnout_2021_z"
+    c = model.cells(labelled_survey(spark, sf_dir), "voted", list(FACTORS), [x]).checkpoint(eager=True)
+    f = model.fit_mixed(spark, c, list(FACTORS), x)
+    return model.fixed_point_residuals(spark, f, c, list(FACTORS), x).withColumn("residual", F.round("residual", 4) + 0.0)
 
 
 # ----------------------------------------------------------- draws

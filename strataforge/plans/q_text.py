@@ -511,7 +511,7 @@ def fuzzy_best_match(spark, sf_dir):
 # Names of 9 to 18 letters in two words, one per order, spelled from a digest of
 # its key; the left side misspells them: letters dropped, changed, swapped words,
 # and (every sixth) a name without a partner.
-SPELLING = ("0123456789abcdef", "aeioubdkmnprstlz")
+HEX = "0123456789abcdef"
 WIDE_SQL = f"""
 SELECT o_orderkey AS k, concat(substr(w, 1, 4 + a), ' ', substr(w, 13, 4 + b)) AS name,
        CASE k6 WHEN 0 THEN concat(substr(w, 13, 4 + b), ' ', substr(w, 1, 4 + a))
@@ -520,7 +520,8 @@ SELECT o_orderkey AS k, concat(substr(w, 1, 4 + a), ' ', substr(w, 13, 4 + b)) A
                WHEN 3 THEN concat(substr(w, 1, 4 + a), ' ', substr(w, 13, 1), substr(w, 15, 1), substr(w, 14, 1), substr(w, 16, 1 + b))
                WHEN 4 THEN concat(substr(w, 13, 3 + b), 'y ', substr(w, 1, 3), substr(w, 5, a), 'x')
                ELSE concat(substr(w, 24, 8), ' ', substr(w, 19, 5)) END AS misspelt
-FROM (SELECT o_orderkey, translate(md5(CAST(o_orderkey AS STRING)), '{SPELLING[0]}', '{SPELLING[1]}') AS w,
+FROM (SELECT o_orderkey, concat(translate(substr(md5(CAST(o_orderkey AS STRING)), 1, 12), '{HEX}', 'aeioubdkmnprstlz'),
+                                translate(substr(md5(CAST(o_orderkey AS STRING)), 13), '{HEX}', 'ghcfjvwyqxaeoiur')) AS w,
              CAST(o_orderkey % 6 AS INT) AS k6, CAST(o_orderkey % 5 AS INT) AS a, CAST(floor(o_orderkey / 6) % 6 AS INT) AS b FROM orders)"""
 
 
