@@ -11,6 +11,8 @@ share combinations of rare bigrams, at falling thresholds (see ``best_match``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,46 +103,56 @@ def _pieces(s: Column, q: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2)))
 
 
-def _shared(la: Column, lb: Column, t: float, q: int) -> Column:
+def _shared(la: int, lb: int, t: float, q: int) -> int:
     """Grams that names of lengths la, lb with ratio >= t must share: LCS >= c
     = ceil(t (la + lb) / 200), one deletion breaks q grams of a name and one
     insertion breaks q - 1 (0 where the lengths allow no such pair). A tiny
     epsilon keeps float error from raising an exact integer."""
-    c = F.ceil((la + lb) * F.lit(t / 200.0) - F.lit(1e-9)).cast("int")
-    return F.when(c <= F.least(la, lb), c * (2 * q - 1) - (la + lb - 1) * (q - 1)).otherwise(0)
-
-
-def _least_shared(la: Column, t: float, q: int) -> Column:
-    """The least ``_shared`` over all partner lengths that can reach t."""
-    lo = F.ceil(la * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
-    if q == 1:      # c grows with the partner
-        return _shared(la, F.greatest(lo, F.lit(1)), t, q)
-    hi = F.floor(la * F.lit((200.0 - t) / t) + F.lit(1e-9)).cast("int")
-    bounds = F.transform(F.sequence(lo, F.greatest(lo, hi)), lambda lb: _shared(la, lb, t, q))
-    return F.coalesce(F.array_min(F.filter(bounds, lambda x: x > 0)), F.lit(0))
-
-
-def _combinations(x: Column, k: int) -> Column:
-    """All k-subsets (k = 1, 2 or 3) of an array of (g, at), in array order, as
-    (key, at): the hash of the grams and their places, eight bits each."""
-    n = F.size(x)
-
-    def after(i):
-        return F.when(i < n, F.sequence(i + 1, n)).otherwise(F.array().cast("array<int>"))
+    c = math.ceil((la + lb) * t / 200.0 - 1e-9)
+    return max(c * (2 * q - 1) - (la + lb - 1) * (q - 1), 0) if c <= min(la, lb) else 0
+
+
+#: How pairs meet, by class: grams in a key, keys a pair must have in common.
+CLASSES = {"one": (1, 1), "three": (3, 1), "long": (2, 3), "many": (3, 4)}
+
+
+def _class(least: int, longest: int) -> str:
+    """The class of a pair whose names can do with ``least`` shared grams."""
+    return "one" if least < 3 else "three" if least == 3 else "long" if longest > SHORT_NAME else "many"
+
+
+def _length_plan(left: list[int], right: list[int], t: float, q: int) -> list[tuple]:
+    """(side, n, least, class, keep): the least grams a name of length n shares
+    with any partner there is, and for each class it takes part in how many of
+    its rarest grams a key is made of."""
+    pairs = [(a, b, o) for a in left for b in right if (o := _shared(a, b, t, q)) > 0]
+    least = {"l": {}, "r": {}}
+    for a, b, o in pairs:
+        least["l"][a] = min(o, least["l"].get(a, o))
+        least["r"][b] = min(o, least["r"].get(b, o))
+    found = {(side, n, _class(min(least["l"][a], least["r"][b]), max(a, b))) for a, b, _ in pairs for side, n in (("l", a), ("r", b))}
+    out = []
+    for side, n, kind in sorted(found):
+        k, same = CLASSES[kind]
+        together = k + 1 if same > 1 else k          # k + 1 shared grams agree on k + 1 keys
+        out.append((side, n, least[side][n], kind, n + q - 1 - least[side][n] + together))
+    return out
 
-    def one(*places):
-        grams = [F.element_at(x, i) for i in places]
-        packed = grams[0]["at"]
-        for g in grams[1:]:
-            packed = packed * 256 + g["at"]
-        return F.struct(F.xxhash64(*[g["g"] for g in grams]).alias("key"), packed.alias("at"))
 
-    if k == 1:
-        return F.transform(after(F.lit(0)), lambda i: one(i))
-    if k == 2:
-        return F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: one(i, j))))
-    return F.flatten(F.flatten(F.transform(after(F.lit(0)), lambda i: F.transform(after(i), lambda j: F.transform(
-        after(j), lambda m: one(i, j, m))))))
+def _combinations(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` once per k-subset of the array ``x`` of (g, at): key, the hash of
+    the grams, and at, their places with eight bits each."""
+    n, places = F.size("x"), []
+    for i in range(k):
+        lo = F.lit(1) if not places else F.col(places[-1]) + 1
+        hi = n - (k - 1 - i)
+        rows = rows.where(lo <= hi).withColumn(f"__p{i}", F.explode(F.sequence(lo, hi)))
+        places.append(f"__p{i}")
+    grams = [F.element_at("x", F.col(p)) for p in places]
+    at = grams[0]["at"]
+    for g in grams[1:]:
+        at = at * 256 + g["at"]
+    return rows.withColumn("key", F.xxhash64(*[g["g"] for g in grams])).withColumn("at", at).drop("x", *places)
 
 
 def _gram_order(names: DataFrame, q: int) -> DataFrame:
@@ -158,29 +170,25 @@ def _gram_order(names: DataFrame, q: int) -> DataFrame:
     return ordered.select("side", "s", "n", F.transform("x", lambda v: F.struct(v["g"].alias("g"), v["at"].alias("at"))).alias("grams"))
 
 
-def _keys(names: DataFrame, t: float, q: int) -> DataFrame:
-    """(side, s, n, class, key, at): what names with ratio >= t have in common.
+def _keys(ordered: DataFrame, t: float, q: int) -> DataFrame:
+    """(side, s, n, least, class, key, at): what names with ratio >= t have in common.
 
     With all grams in one order, names that share o of them share k among the
     first |grams| - o + k of each (prefix filtering, extended to k common
-    grams), so they agree on the hash of those k. Pairs in which a name can do
-    with fewer than 3 shared grams meet on one, pairs with a name longer than
-    ``SHORT_NAME`` on two, all others on three."""
-    n, grams = F.col("n"), F.col("grams")
-    least = _least_shared(n, t, q)
-    longest = F.floor(n * F.lit((200.0 - t) / t) + F.lit(1e-9))       # longest partner
-    shortest = F.ceil(n * F.lit(t / (200.0 - t)) - F.lit(1e-9)).cast("int")
-    rows = names.withColumn("o", least).where(F.col("o") > 0)
-
-    def keys(df: DataFrame, k: int) -> DataFrame:
-        prefix = F.slice(grams, 1, F.greatest(F.size(grams) - F.col("o") + k, F.lit(0)))
-        return (df.withColumn("x", prefix).select("side", "s", "n", F.lit(k).alias("class"), F.explode(_combinations(F.col("x"), k)).alias("v"))
-                .select("side", "s", "n", "class", "v.key", "v.at"))
-
-    few = rows.where(_least_shared(shortest, t, q) < 3)
-    several = rows.where(F.col("o") >= 3)
-    return (keys(few, 1).unionAll(keys(several.where(longest > SHORT_NAME), 2))
-            .unionAll(keys(several.where(n <= SHORT_NAME), 3)))
+    grams), so they agree on the hashes of those. Pairs of names that can do
+    with fewer than 3 shared grams meet on one, with 3 on three; with more, on
+    four out of the keys of three (two grams, three keys where a name is longer
+    than ``SHORT_NAME``)."""
+    lengths = ordered.select("side", "n").distinct().collect()        # a few dozen lengths of names
+    plan = _length_plan(*[sorted(r.n for r in lengths if r.side == side) for side in "lr"], t, q)
+    table = ordered.sparkSession.createDataFrame(plan, "side string, n int, least int, class string, keep int")
+    rows = ordered.join(F.broadcast(table), ["side", "n"]).select("side", "s", "n", "least", "class", F.slice("grams", 1, F.col("keep")).alias("x"))
+    parts = [_combinations(rows.where(F.col("class").isin([c for c, v in CLASSES.items() if v[0] == k])), k)
+             for k in sorted({CLASSES[r[3]][0] for r in plan} or {1})]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _places_fit(t: float) -> Column:
@@ -201,13 +209,13 @@ def candidate_pairs(ordered: DataFrame, t: float, q: int = 2) -> DataFrame:
     """(ls, rs): every pair of a left and a right string that can have Indel
     ratio >= t, of ``_gram_order`` rows, by an equi-join on ``_keys``."""
     keys = _keys(ordered, t, q)
-    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), "class", "key", F.col("at").alias("lat"))
-    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), "class", "key", F.col("at").alias("rat"))
-    few = F.least(_least_shared(F.col("ln"), t, q), _least_shared(F.col("rn"), t, q)) < 3
-    kind = F.when(few, 1).when(F.greatest("ln", "rn") > SHORT_NAME, 2).otherwise(3)
-    return (left.join(right, ["class", "key"])
-            .where(_places_fit(t) & (_shared(F.col("ln"), F.col("rn"), t, q) > 0) & (F.col("class") == kind))
-            .select("ls", "rs").distinct())
+    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), F.col("least").alias("lo"), "class", "key", F.col("at").alias("lat"))
+    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), F.col("least").alias("ro"), "class", "key", F.col("at").alias("rat"))
+    least = F.least("lo", "ro")
+    kind = F.when(least < 3, "one").when(least == 3, "three").when(F.greatest("ln", "rn") > SHORT_NAME, "long").otherwise("many")
+    same = F.when(F.col("class") == "many", CLASSES["many"][1]).when(F.col("class") == "long", CLASSES["long"][1]).otherwise(1)
+    return (left.join(right, ["class", "key"]).where(_places_fit(t) & (F.col("class") == kind))
+            .groupBy("ls", "rs", "class").agg(F.count(F.lit(1)).alias("keys")).where(F.col("keys") >= same).select("ls", "rs"))
 
 
 def _levels(t: float) -> list[float]:
