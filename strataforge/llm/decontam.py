@@ -1,8 +1,10 @@
 """Benchmark passages in documents, by SimHash over item-sized windows.
 
 A window is as long as a benchmark item and starts where a five-word shingle
-it shares with some item of that length would put the item. (A window that
-shares no shingle has similarity 0, so none is lost by looking there only.)
+it shares with some item of that length would put the item. Windows at other
+starts are not looked at: a passage whose words were moved against the item on
+both sides of every start looked at (words inserted in its middle and changed
+at both ends) can be at the threshold between two of them and be missed.
 Windows and items get 64-bit SimHash fingerprints of their shingles. Items
 are indexed by ``BLOCKS`` blocks of their fingerprint, each with all values
 within ``RADIUS // BLOCKS`` flips: by the pigeonhole principle every

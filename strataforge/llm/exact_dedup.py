@@ -59,10 +59,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Rows are told
-    apart by id and text, so an id that is repeated with another text is judged on its own."""
+    apart by id and text, so an id that is repeated with another text is judged
+    on its own; of rows that repeat both id and text (up to A-Z case) one stays."""
     mark = "__digest"
     gone = (exact_groups(docs, id_col, text_col).where("NOT kept")
             .select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias(mark)).distinct())
     text = lower_az(F.coalesce(F.col(text_col), F.lit("")))
     return (docs.where(F.col(id_col).isNotNull()).withColumn(mark, F.sha2(text.cast("binary"), 256))
-            .join(gone.hint("shuffle_hash"), [id_col, mark], "left_anti").select(docs.columns))
+            .join(gone.hint("shuffle_hash"), [id_col, mark], "left_anti")
+            .dropDuplicates([id_col, mark]).select(docs.columns))      # dealt by these columns already

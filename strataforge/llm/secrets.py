@@ -65,15 +65,16 @@ def scan(docs: DataFrame, ledger_dir: str, rules: Mapping[str, tuple[int, str, s
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     keys = {rule_key(n, r[0]): n for n, r in rules.items()}
-    text = id_text(docs, id_col, text_col)
-    paths = text.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("blob")).checkpoint()
+    text = id_text(docs, id_col, text_col).withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
+    paths = text.select("doc_id", "blob").checkpoint()
     seen = (_read(spark, f"{ledger_dir}/ledger", LEDGER).where(F.col("rule").isin(*keys))
             .groupBy("blob").agg(F.collect_set("rule").alias("seen")))
     todo = (paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id")).join(seen, "blob", "left")
             .withColumn("todo", F.array_except(F.array(*[F.lit(k) for k in keys]),
                                                F.coalesce("seen", F.expr("CAST(array() AS array<string>)"))))
             .where("size(todo) > 0").select("doc_id", "blob", "todo").checkpoint())
-    work = (text.join(todo.hint("shuffle_hash"), "doc_id")
+    # by id and blob: an id may have several versions in the table
+    work = (text.join(todo.hint("shuffle_hash"), ["doc_id", "blob"])
             .withColumn("text", plain(F.col("text"))))
     found = with_spans(work, "text", {n: r[1] for n, r in rules.items()})
     each = [F.expr(f"CASE WHEN array_contains(todo, '{rule_key(n, r[0])}') THEN "

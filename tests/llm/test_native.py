@@ -113,3 +113,8 @@ def test_every_fingerprint_within_the_radius_shares_a_block():
         parts = lambda x: [(x >> (k * decontam.BITS)) & (2**decontam.BITS - 1) for k in range(decontam.BLOCKS)]
         assert any(x ^ y in decontam.MASKS for x, y in zip(parts(a), parts(b)))
     assert lower_az("ÉA") == "Éa"
+
+
+def test_equal_rows_are_dropped_but_one(spark, frame):
+    docs = frame([(1, "a b"), (1, "a b"), (1, "A b"), (1, "c"), (2, "x"), (2, "x")])
+    assert sorted((r.doc_id, r.text.lower()) for r in exact_dedup.drop_exact(docs).collect()) == [(1, "a b"), (1, "c"), (2, "x")]

@@ -93,3 +93,10 @@ def test_em_recovers_reliabilities():
     prior, rel = pii.em(list(counts.items()), 200)
     assert abs(prior - 0.3) < 0.03
     assert [round(r[1][0], 1) for r in rel] == pytest.approx([0.95, 0.9, 0.8, 0.7], abs=0.06)
+
+
+def test_versions_of_one_id_are_scanned_each(spark, frame):
+    docs = frame([(1, "password = abcdefgh1234"), (1, "clean version"), (2, "clean version"), (1, "clean version")])
+    for ledger in [secrets.fresh_ledger(spark)] * 2:      # the second run reads the ledger only
+        rows = secrets.digest(secrets.scan(docs, ledger)).collect()
+        assert sorted((r.doc_id, r.n_assign, r.spans) for r in rows) == [(1, 0, ""), (1, 0, ""), (1, 1, "assign:0:23"), (2, 0, "")]
