@@ -40,10 +40,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with mix_size, mix_target and mix_taken (words, repeats counted)."""
+    """The documents the mix takes, with mix_size, mix_target and mix_taken
+    (words, repeats counted). Rows that repeat an id (with other texts; equal
+    rows are gone) all stay if the mix takes any, with the figures of the one
+    it takes most of."""
     quality = read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + 1.0).alias("weight"))
-    m = (mixing.mix(docs, quality).where("taken > 0")
-         .select("doc_id", F.col("size").alias("mix_size"), F.col("target").alias("mix_target"), F.col("taken").alias("mix_taken")))
+    m = (mixing.mix(docs, quality).where("taken > 0").groupBy("doc_id").agg(F.max(F.struct("taken", "size", "target")).alias("m"))
+         .select("doc_id", F.col("m.size").alias("mix_size"), F.col("m.target").alias("mix_target"), F.col("m.taken").alias("mix_taken")))
     rest = [c for c in docs.columns if c not in m.columns]
     return docs.select("doc_id", *rest).join(m.hint("shuffle_hash"), "doc_id")
 
