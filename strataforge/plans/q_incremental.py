@@ -1,16 +1,19 @@
 """Phase 7 queries: resumable processing, streaming, scans and sinks (T1,
-J15, S1-S13, S16, S17, A27, F34). Each query writes to a fresh folder
+J15, S1-S13, S16, S17, A27). Each query writes to a fresh folder
 under the shared checkpoint folder and returns what it reads back; the
 oracle is the one-shot batch result of the same transformation."""
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataforge.functions.hashing import uniform_sql
-from strataforge.functions.text import regex_capture
+from strataforge.functions.text import max_number_in_text, regex_capture
 from strataforge.operators import sampling
+from strataforge.operators.joins import join_bounded
 from strataforge.plans.catalogue import register, cte
 from strataforge.plans.derived import roll, ROLL_SQL
 from strataforge.sources import io
@@ -74,6 +77,41 @@ def partitioned_sink(spark, sf_dir):
                  .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
+@register("roll_rebuild", cte(roll=ROLL_SQL, b="""
+SELECT eroll_no, booth_no, max(CAST(total_individuals AS BIGINT)) AS total FROM roll WHERE booth_no IS NOT NULL GROUP BY ALL""") + """
+SELECT CAST(voter_id AS VARCHAR) AS voter_id, CASE WHEN trim(gender) = '' OR roll.booth_no % 3 = 2 THEN NULL ELSE gender END AS gender,
+       CAST(age AS VARCHAR) AS age, CAST(roll.eroll_no AS VARCHAR) AS eroll_no, CAST(roll.booth_no AS VARCHAR) AS booth_no,
+       CASE WHEN roll.booth_no % 4 = 3 THEN '' ELSE coalesce(CAST(b.total AS VARCHAR), '') END AS total_individuals,
+       CASE WHEN roll.eroll_no % 5 = 4 THEN '' ELSE constituency_name END AS constituency_name
+FROM roll JOIN b ON b.eroll_no = roll.eroll_no AND b.booth_no = roll.booth_no""")
+def roll_rebuild(spark, sf_dir):
+    """S1 + S2 + S4 + S5 + J1 + F11: the roll as a tree of per-booth CSV
+    files whose headers differ, beside header texts; rebuilt into one table:
+    cells by each file's own header, keys from the path, the head count from
+    the booth's header text ('' without one), names from an area lookup (''
+    when missing). The number of files grows with the booths."""
+    base = io.scratch_dir(spark, "booths")
+    r = roll(spark, sf_dir).where(F.col("booth_no").isNotNull())
+    folder = [F.concat(F.lit("eroll-"), F.col("eroll_no").cast("string")).alias("area"), F.concat(F.lit("booth-"), F.col("booth_no").cast("string")).alias("booth")]
+    layouts = [["voter_id", "gender", "age"], ["age", "note", "gender", "voter_id"], ["note", "age", "voter_id"]]
+    x = r.select("*", *folder, F.lit("a, b").alias("note")).repartition("area", "booth", F.pmod(F.col("voter_id"), F.lit(SINK_PARTS)))
+    for k, cols in enumerate(layouts):
+        (x.where(F.col("booth_no") % 3 == k).select("area", "booth", *cols).write.mode("append").partitionBy("area", "booth")
+          .option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/voters"))
+    total = F.max("total_individuals").cast("bigint").cast("string")
+    text = F.concat_ws("\n", F.lit("Electoral roll of 2025"), F.concat(F.lit("Total individuals: "), F.col("total")))
+    (r.where("booth_no % 4 <> 3").groupBy("eroll_no", "booth_no").agg(total.alias("total")).select(*folder, text.alias("value"))
+      .repartition("area", "booth").write.partitionBy("area", "booth").text(f"{base}/headers"))
+    keys = {"eroll_no": r"area=eroll-(\d+)/", "booth_no": r"booth=booth-(\d+)/"}
+    rows = io.read_csv_tree(spark, f"{base}/voters/*/*/*.csv", ["voter_id", "gender", "age"], keys)
+    heads = io.read_whole_files(spark, f"{base}/headers/*/*/*.txt")
+    heads = heads.select(*[F.regexp_extract("file_path", p, 1).alias(k) for k, p in keys.items()],
+                         max_number_in_text("text").alias("total_individuals"))
+    names = r.where("eroll_no % 5 <> 4").select(F.col("eroll_no").cast("string").alias("eroll_no"), "constituency_name").distinct()
+    out = join_bounded(join_bounded(rows, heads, ["eroll_no", "booth_no"], "left"), names, "eroll_no", "left")
+    return out.select("voter_id", "gender", "age", "eroll_no", "booth_no", *[F.coalesce(c, F.lit("")).alias(c) for c in ("total_individuals", "constituency_name")])
+
+
 def _doc_tree(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "doc_id", "text")
     area = F.when(F.col("doc_id") % 7 == 0, F.lit("misc-0")).otherwise(
@@ -168,7 +206,7 @@ def manifest_roundtrip(spark, sf_dir):
        CAST(sum(CASE WHEN rk = 1 THEN n END) AS BIGINT) AS files_seen, count(*) AS files_chosen,
        count(*) FILTER (WHERE booth_no IS NULL) AS missing_number FROM c""")
 def run_totals(spark, sf_dir):
-    """A27 (+F34): run totals over groups: areas, files seen, files chosen,
+    """Run totals over groups: areas, files seen, files chosen,
     chosen files without a number."""
     m = manifest_roundtrip(spark, sf_dir)
     per = m.groupBy("key").agg(F.first("total_booths").alias("t"), F.count(F.lit(1)).alias("c"),
@@ -177,6 +215,18 @@ def run_totals(spark, sf_dir):
                    F.sum("c").cast("bigint").alias("files_chosen"), F.sum("miss").cast("bigint").alias("missing_number"))
 
 
+@register("timed_run", """
+SELECT count(*) AS rows, count(DISTINCT event_type) AS event_type_seen, true AS stamped, true AS timed, true AS rated FROM events""")
+def timed_run(spark, sf_dir):
+    """run stamp, elapsed time and rate of a write over all events,
+    with its row count; the stamp is of today, the rate is rows over time."""
+    began = F.lit(datetime.now(timezone.utc))
+    run = io.timed_write(_event_rows(table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props")),
+                         io.scratch_dir(spark, "timed"), ["event_type"])
+    return run.select("rows", "event_type_seen", F.col("run_at").between(began, F.current_timestamp()).alias("stamped"),
+                      (F.col("elapsed") > 0).alias("timed"), (F.abs(F.col("rate") * F.col("elapsed") - F.col("rows")) < 1e-6).alias("rated"))
+
+
 @register("corrupt_tolerant_scan", """
 SELECT CASE WHEN event_id % 9 = 0 THEN NULL ELSE event_id END AS event_id,
        CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,

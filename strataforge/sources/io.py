@@ -60,6 +60,39 @@ def read_text_table(spark: SparkSession, path: str, names: Sequence[str]) -> Dat
     return by_place.select(*[cell(clean(n)) for n in names])
 
 
+def read_csv_tree(spark: SparkSession, paths: str, names: Sequence[str], patterns: dict[str, str]) -> DataFrame:
+    """S1 + S2 + S4: CSV files of a tree, each with a header of its own, as
+    text columns ``names`` (blank cells null) with the keys of ``patterns``
+    (column -> regex with one group) from the file's path.
+
+    Each file's cells are found by its own header, so files may order their
+    columns differently, lack some (null) or have more (left out); outer blanks
+    and a BOM in header names do not count, and of a name twice in a header the
+    first counts. Only the file's first block holds its header; all blocks are
+    read in parallel. The headers, one row per file, are joined on the path
+    (broadcast while counted small). Lines are records (no line breaks inside
+    cells)."""
+    from strataforge.operators.joins import join_bounded
+
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    # the first line of a file's first block; one task reads that block in order
+    heads = lines.where("at = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    clean = lambda c: F.trim(F.regexp_replace(F.trim(F.regexp_replace(c, "\ufeff", "")), '^"|"$', ""))
+    heads = heads.withColumn("__names", F.transform(F.split("header", outside), clean)).drop("header").checkpoint(eager=True)
+    width = heads.agg(F.max(F.size("__names"))).first()[0] or 1
+    cells = [f"__c{i}" for i in range(width)]
+    raw = read_csv(spark, paths, ", ".join(f"{c} string" for c in cells), header=False)
+    raw = with_path_keys(raw, patterns).select("file_path", *patterns, F.array(*cells).alias("__cells"))
+    rows = join_bounded(raw, heads, "file_path", "inner")
+    shown = F.slice(F.transform("__cells", lambda c: clean(F.coalesce(c, F.lit("")))), 1, F.size("__names"))
+    rows = rows.where(shown != F.col("__names"))                 # header lines
+    at = {n: F.array_position("__names", n).cast("int") for n in names}
+    value = {n: F.when(p > 0, F.get("__cells", p - 1)) for n, p in at.items()}
+    return rows.select(*[F.when(F.trim(v) != "", v).alias(n) for n, v in value.items()],
+                       *[F.nullif(k, F.lit("")).alias(k) for k in patterns])
+
+
 def with_path_keys(df: DataFrame, patterns: dict[str, str], path_col: str = "file_path") -> DataFrame:
     """Keys taken from the file path by regex (``eroll-(\\d+)`` ...)."""
     out = df.withColumn(path_col, F.col("_metadata.file_path"))
@@ -118,6 +151,27 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], fmt: str =
     (w.option("header", True).csv(path) if fmt == "csv" else w.format(fmt).save(path))
 
 
+def timed_write(df: DataFrame, path: str, groups: Sequence[str] = ()) -> DataFrame:
+    """write Parquet and return one row about the run: its stamp
+    (``run_at``), ``rows`` written, distinct ``<group>_seen`` (approximate
+    counts), ``elapsed`` seconds and ``rate`` in rows a second. Counts come from
+    the write itself (``observe``), so nothing is read twice."""
+    import datetime
+    import time
+
+    from pyspark.sql import Observation
+
+    spark, seen = df.sparkSession, Observation()
+    marked = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(g).alias(f"{g}_seen") for g in groups])
+    stamp, began = datetime.datetime.now(datetime.timezone.utc), time.monotonic()
+    marked.write.mode("overwrite").parquet(path)
+    elapsed = time.monotonic() - began
+    counts = seen.get
+    row = (stamp, counts["rows"], *[counts[f"{g}_seen"] for g in groups], elapsed, counts["rows"] / elapsed)
+    more = "".join(f", `{g}_seen` long" for g in groups)
+    return spark.createDataFrame([row], f"run_at timestamp, rows long{more}, elapsed double, rate double")
+
+
 def save_table(df: DataFrame, path: str) -> None:
     """Model artefacts (coefficients, covariance, variances) as
     Parquet tables."""
