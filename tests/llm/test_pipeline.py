@@ -80,3 +80,13 @@ def test_empty_and_odd_documents(spark, frame, tmp_path):
         for _, f in P.STAGES:
             docs = f(spark, docs, str(tmp_path)).checkpoint()
         assert {r.doc_id for r in docs.collect()} <= {4}
+
+
+def test_repeated_rows_are_not_multiplied(spark, frame, tmp_path):
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = frame([(1, "one two three four five six", "en", "a")] * 3 + [(1, "other words stand here instead", "en", "a"), (2, "a third text of its own", "en", "a")])
+    kept = P.exact(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 2]
+    mixed = P.mix(spark, kept, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in mixed) == [1, 1, 2] and all(r.mix_taken > 0 for r in mixed)
