@@ -139,15 +139,16 @@ class Trie:
 
         to2, next2, prob2, weight1 = level(len(words), key2, c2)
         to3, next3, prob3, weight2 = level(len(key2), key3, c3)
-        head = struct.pack("<QQQ", len(words), len(next2), len(next3))
-        return b"".join([head, words.astype("<u8").tobytes(), c1.astype("<u4").tobytes(), next2.tobytes(), next3.tobytes(),
+        width = 4 if not len(c1) or int(c1.max()) < 1 << 32 else 8
+        head = struct.pack("<QQQQ", len(words), len(next2), len(next3), width)
+        return b"".join([head, words.astype("<u8").tobytes(), c1.astype(f"<u{width}").tobytes(), next2.tobytes(), next3.tobytes(),
                          weight1.tobytes(), prob2.tobytes(), weight2.tobytes(), prob3.tobytes(), to2, to3])
 
     @classmethod
     def view(cls, data: np.ndarray) -> Trie:
-        n1, n2, n3 = struct.unpack("<QQQ", data[:24].tobytes())
-        at, out = 24, []
-        for n, kind in ((n1, "<u8"), (n1, "<u4"), (n2, "<u4"), (n3, "<u4"), (n1, "u1"), (n2, "u1"), (n2, "u1"), (n3, "u1")):
+        n1, n2, n3, width = struct.unpack("<QQQQ", data[:32].tobytes())
+        at, out = 32, []
+        for n, kind in ((n1, "<u8"), (n1, f"<u{width}"), (n2, "<u4"), (n3, "<u4"), (n1, "u1"), (n2, "u1"), (n2, "u1"), (n3, "u1")):
             size = n * np.dtype(kind).itemsize
             out.append(data[at:at + size].view(kind))
             at += size
@@ -188,7 +189,7 @@ def _at(values: np.ndarray, i: np.ndarray) -> np.ndarray:
 def _small(x: np.ndarray) -> bytes:
     """Non-negative integers in the narrowest width; counts and codes, which repeat, are deflated, hashes are not."""
     top = int(x.max()) if len(x) else 0
-    kind = "u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4"
+    kind = "u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8"
     body = x.astype(kind).tobytes()
     if x.dtype != np.uint32:
         body = zlib.compress(body, 1)

@@ -105,3 +105,12 @@ def test_trie_file_is_memory_mapped(frame, tmp_path):
         words, pairs, triples = words + len(t.words), pairs + len(t.next2), triples + len(t.next3)
     # a b c0-c4 end begin; begin-a a-b b-c* c*-a b-end; begin-a-b a-b-c* b-c*-a c*-a-b a-b-end
     assert (words, pairs, triples) == (9, 1 + 1 + 5 + 5 + 1, 1 + 5 + 5 + 5 + 1)
+
+
+def test_counts_beyond_32_bits():
+    big = np.array([3, (1 << 32) + 5, 1 << 40], np.int64)
+    assert lm_score._smalls(lm_score._small(big), 1)[0].tolist() == big.tolist()
+    none = np.zeros(0, np.int64)
+    data = lm_score.Trie.build(np.array([7, 8, 9], np.uint64), big, none.astype(np.uint64), none, none.astype(np.uint64), none)
+    trie = lm_score.Trie.view(np.frombuffer(data, np.uint8))
+    assert trie.counts[trie.find1(np.array([8, 9], np.uint64))].tolist() == big[1:].tolist()
