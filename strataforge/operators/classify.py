@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.functions.bins import index_in_vocab
+from strataforge.operators.heads import reports
 from strataforge.session import ensure_checkpoint_dir
 
 
@@ -92,38 +93,9 @@ def routed_predict(stage1: PipelineModel, stage1_vocab: Sequence[str], heads: di
 
 def classification_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """Per class precision, recall, f1, support; accuracy; macro and
-    weighted averages. Zero divisions give 0. Built from the confusion
-    counts (one aggregate, classes x classes rows)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    # classes x classes rows, read by every branch below: materialised once
-    conf = df.groupBy(truth, pred).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    classes = (conf.select(F.col(truth).alias("label")).union(conf.select(F.col(pred).alias("label")))
-                   .where(F.col("label").isNotNull()).distinct())
-    tp = conf.where(F.col(truth) == F.col(pred)).select(F.col(truth).alias("label"), F.col("n").alias("tp"))
-    pc = conf.groupBy(F.col(pred).alias("label")).agg(F.sum("n").alias("pc"))
-    tc = conf.groupBy(F.col(truth).alias("label")).agg(F.sum("n").alias("tc"))
-    m = (classes.join(tp, "label", "left").join(pc, "label", "left").join(tc, "label", "left")
-                .fillna(0, ["tp", "pc", "tc"]))
-    p = F.when(F.col("pc") > 0, F.col("tp") / F.col("pc")).otherwise(F.lit(0.0))
-    r = F.when(F.col("tc") > 0, F.col("tp") / F.col("tc")).otherwise(F.lit(0.0))
-    per = m.select("label", p.alias("precision"), r.alias("recall"), F.col("tc").cast("bigint").alias("support"),
-                   "tp")
-    per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
-                                      2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-                         .otherwise(F.lit(0.0)))
-    tot = per.agg(F.sum("support").alias("N"), F.sum("tp").alias("T"), F.avg("precision").alias("mp"),
-                  F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
-                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    n = F.col("N")
-    acc = tot.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                     F.lit(None).cast("double").alias("recall"), (F.col("T") / n).alias("f1"), n.cast("bigint").alias("support"))
-    mac = tot.select(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                     F.col("mf").alias("f1"), n.cast("bigint").alias("support"))
-    wei = tot.select(F.lit("weighted avg").alias("label"), (F.col("wp") / n).alias("precision"),
-                     (F.col("wr") / n).alias("recall"), (F.col("wf") / n).alias("f1"), n.cast("bigint").alias("support"))
-    return per.select("label", "precision", "recall", "f1", "support").unionByName(acc).unionByName(mac).unionByName(wei)
+    weighted averages. Zero divisions give 0; rows without a truth do not
+    count. One aggregate of confusion counts (``heads.reports``)."""
+    return reports(df, [("", truth, pred)]).drop("head")
 
 
 def training_history(model: PipelineModel) -> list[float]:

@@ -22,7 +22,6 @@ GUARANTEED_N = 50_000
 GROUP_PCT = 0.05
 PAGES_K = 3
 SPLIT_SEED = 42
-SUB_BUCKET_ROWS = 64   # small on purpose: exercises the split of large groups
 
 STRATA = ("eroll_no", "constituency_name", "gender", "age_band", "area_type", "R", "G", "SG")
 
@@ -172,7 +171,7 @@ def fraction_per_group(spark, sf_dir):
     """ceil(5 %) per supplier, at least 1, by keyed hash order."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").withColumn(
         "k", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    s = sampling.sample_per_group(li, "l_suppkey", "k", SAMPLE_SEED, GROUP_PCT, target_rows=SUB_BUCKET_ROWS)
+    s = sampling.sample_per_group(li, "l_suppkey", "k", SAMPLE_SEED, GROUP_PCT)
     return s.select("l_orderkey", "l_linenumber", "l_suppkey")
 
 
@@ -196,7 +195,7 @@ def k_pages(spark, sf_dir):
     p = (sampling.group_positions(c, "conv_id", "turn")
                  .withColumnsRenamed({"__pos": "i", "__size": "total"}))
     elig = p.where((F.col("i") >= 2) & (F.col("i") < F.col("total") - 2))
-    r = sampling.hash_rank(elig, "conv_id", "k", SAMPLE_SEED, target_rows=SUB_BUCKET_ROWS)
+    r = sampling.hash_rank(elig, "conv_id", "k", SAMPLE_SEED)
     chosen = r.where(F.col("__rank") <= PAGES_K).select("conv_id", "turn", F.lit(False).alias("is_header"))
     head = p.where(F.col("i") == 0).select("conv_id", "turn", F.lit(True).alias("is_header"))
     return chosen.unionByName(head)
@@ -209,7 +208,7 @@ SELECT doc_id, quality, CASE WHEN rk <= round(n * 0.85) THEN 'train' ELSE 'valid
 def stratified_split(spark, sf_dir):
     """85 / 15 per class."""
     lab = table(spark, sf_dir, "labels", "doc_id", "quality")
-    s = sampling.stratified_split(lab, "quality", "doc_id", SPLIT_SEED, 0.85, target_rows=SUB_BUCKET_ROWS)
+    s = sampling.stratified_split(lab, "quality", "doc_id", SPLIT_SEED, 0.85)
     return s.select("doc_id", "quality", "split")
 
 
