@@ -57,6 +57,34 @@ def test_no_names(spark):
         assert match.best_match(left, right, "n", "n").collect() == []
 
 
+def test_lcs_of_many_pairs_at_once():
+    """Ends of words of 64 places, repeated and empty texts, code points beyond 16 bits."""
+    rng = random.Random(3)
+    text = lambda: "".join(rng.choice("abé𝄞 ") for _ in range(rng.choice((0, 1, 7, 63, 64, 65, 128, 130))))
+    a, b = ([text() for _ in range(150)] for _ in range(2))
+    assert match.lcs_lengths(a, b).tolist() == [_lcs(x, y) for x, y in zip(a, b)]
+    assert match.lcs_lengths(["", "x"], ["", ""]).tolist() == [0, 0] and match.lcs_lengths([], []).tolist() == []
+
+
+def test_pairs_are_scored_in_batches():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["abcd", "abcd", ""]), pa.array(["abcd", "xbcy", ""])], ["ls", "rs"])
+    got = pa.Table.from_batches(match._scorer(80.0)([batch]))
+    assert got.to_pylist() == [{"ls": "abcd", "rs": "abcd", "score": 100.0}, {"ls": "", "rs": "", "score": 100.0}]
+
+
+def test_ratio_of_a_small_file_runs_in_many_tasks(spark, tmp_path):
+    from strataforge.plans.q_text import token_sort_ratio
+
+    rows = [(k, f"red {k} apple", "B") for k in range(200)] + [(None, None, None), (1, "red 1 apple", "B")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    got = token_sort_ratio(spark, str(tmp_path))
+    assert len({r.p for r in got.select(F.spark_partition_id().alias("p")).distinct().collect()}) > 1
+    found = got.collect()
+    assert len(found) == 202 and [r.ratio for r in found if r.p_name is None] == [None]
+
+
 def test_candidates_grow_about_linearly(spark):
     """Twice the names on both sides: about twice the candidates of the loosest
     level, not four times, and a handful per name."""
