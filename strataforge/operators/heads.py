@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,32 +52,82 @@ def features(text: Column, terms: Sequence[str] | None = None, width: int = HASH
     if terms is not None:
         return F.transform(F.filter(F.transform(words, lambda w: F.array_position(F.array(*[F.lit(t) for t in terms]), w)),
                                     lambda p: p > 0), lambda p: (p - 1).cast("int"))
-    # zipped, not looked up: a word list inside a lambda would be split again for every word
-    n = F.greatest(F.size(words) - 1, F.lit(0))
-    grams = F.concat(words, F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
-    return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(width)).cast("int"))
+    def places(w):       # zipped, not looked up: a word list inside a lambda would be split again for every word
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        grams = F.concat(w, F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
+        return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(width)).cast("int"))
 
+    return F.element_at(F.transform(F.array(words), places), 1)       # so that the words are split once, not for each use
 
-def _matrix(places: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows' features as (row, 1 + place, value) with an intercept; a row's values have length 1 (the intercept aside)."""
-    size = np.diff(places.offsets.to_numpy())
-    key, count = np.unique(np.repeat(np.arange(len(size)), size) * width + places.flatten().to_numpy(), return_counts=True)
-    row = key // width
-    norm = np.sqrt(np.bincount(row, count.astype(float) ** 2, len(size)))
-    n = np.arange(len(size))
-    return (np.concatenate([n, row]), np.concatenate([np.zeros(len(size), np.int64), 1 + key % width]),
-            np.concatenate([np.ones(len(size)), count / norm[row]]))
+
+#: A feature of a row in a packed row: its place and how often it occurs.
+ENTRY = np.dtype([("place", "<u4"), ("count", "<u4")])
+#: Features looked at together, and numbers of a gradient in one row.
+SLICE, BLOCK = 1 << 18, 1 << 13
 
 
-def _softmax(w: np.ndarray, row: np.ndarray, place: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
-    z = np.stack([np.bincount(row, w[k, place] * value, n) for k in range(len(w))], axis=1)
+def _entries(places: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many distinct features each row has, their places and their counts, row after row."""
+    size = np.diff(places.offsets.to_numpy())
+    key, count = np.unique(np.repeat(np.arange(len(size)), size) * width + places.flatten().to_numpy(), return_counts=True)
+    return np.bincount(key // width, minlength=len(size)), key % width, count
+
+
+def _packer(width: int):
+    """Rows whose feature list ``__x`` is counted once and kept as bytes, so that no pass counts it again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, place, count = _entries(b.column(1), width)
+            x = np.empty(len(place), ENTRY)
+            x["place"], x["count"] = place, count
+            ends = np.concatenate([[0], np.cumsum(size * ENTRY.itemsize)]).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(x)])
+            yield pa.RecordBatch.from_arrays([b.column(0), packed, *b.columns[2:]], b.schema.names)
+    return run
+
+
+def _unpack(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_entries`` of packed rows."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1]
+    x = np.frombuffer(data, ENTRY, (ends[-1] - ends[0]) // ENTRY.itemsize, ends[0]) if data is not None else np.empty(0, ENTRY)
+    return np.diff(ends) // ENTRY.itemsize, x["place"], x["count"]
+
+
+def _sums(v: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the first size[0] numbers, the next size[1] and so on."""
+    out, some = np.zeros(len(size)), size > 0
+    if len(v):
+        out[some] = np.add.reduceat(v, (np.cumsum(size) - size)[some])
+    return out
+
+
+def _values(size: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Counts scaled so that a row's have length 1."""
+    count = count.astype(float)
+    return count / np.repeat(np.sqrt(_sums(count ** 2, size)), size)
+
+
+def _softmax(w: np.ndarray, cls: np.ndarray, size: np.ndarray, at: np.ndarray, value: np.ndarray, width: int) -> np.ndarray:
+    """Probabilities (rows x outcomes) by weights w (outcomes x classes * (1 + width)) of rows of
+    class ``cls``; ``at``: where the weight of each of their features lies."""
+    z = np.zeros((len(size), len(w)))                         # against the last outcome, so that one needs no pass
+    for k in range(len(w) - 1):
+        d = w[k] - w[-1]
+        z[:, k] = d[cls * (width + 1)] + _sums(d[at] * value, size)
     z = np.exp(z - z.max(1, keepdims=True))
     return z / z.sum(1, keepdims=True)
 
 
-def _of(batch: pa.RecordBatch, rows: np.ndarray, width: int):
-    part = batch.take(pa.array(rows))
-    return part, _matrix(part.column(part.schema.get_field_index("__x")), width)
+def _slices(cls: np.ndarray, size: np.ndarray, place: np.ndarray, count: np.ndarray, width: int) -> Iterator[tuple]:
+    """(rows, cls, size, at, value) of at most about ``SLICE`` features a time."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    lo = 0
+    while lo < len(size):
+        hi = max(int(np.searchsorted(ends, ends[lo] + SLICE, "right")) - 1, lo + 1)
+        part, mine = slice(ends[lo], ends[hi]), slice(lo, hi)
+        yield (mine, cls[mine], size[mine], np.repeat(cls[mine] * (width + 1) + 1, size[mine]) + place[part], _values(size[mine], count[part]))
+        lo = hi
 
 
 def prepare(df: DataFrame, class_col: str, text_col: str, heads: dict[str, tuple[str, Sequence[str]]], terms=None, width: int = HASHED) -> DataFrame:
@@ -90,58 +141,71 @@ def fit(df: DataFrame, class_col: str, text_col: str, heads: dict[str, tuple[str
     """Fit every head for every class in ``classes`` together, on the rows of
     that class with that label; ``heads``: name -> (label column, vocabulary).
     Rows without a label, or with one outside the vocabulary, do not count; a
-    pair without rows keeps zero weights (all outcomes alike)."""
+    pair without rows keeps zero weights (all outcomes alike). Every epoch runs
+    over the partitions of ``df``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if terms is not None:
         width = len(terms)
-    table = prepare(df, class_col, text_col, heads, terms, width).where(F.col("__c").isin(list(classes))).checkpoint(eager=True)
+    rows = prepare(df, class_col, text_col, heads, terms, width).where(F.col("__c").isin(list(classes)))
+    schema = ", ".join(["__c string, __x binary", *[f"__y{i} int" for i in range(len(heads))]])
+    table = rows.mapInArrow(_packer(width), schema).checkpoint(eager=True)
     names, sizes = list(heads), [len(v) for _, v in heads.values()]
     pairs = [(c, h) for c in classes for h in range(len(names))]
     at = {p: i for i, p in enumerate(pairs)}
     weights = [np.zeros((sizes[h], width + 1)) for _, h in pairs]
     ahead, momentum = [w.copy() for w in weights], 1.0
     history = []
+    classes = list(classes)
 
     def pass_over(batches: Iterator[pa.RecordBatch], look=None):
-        now = look.value
+        now = [np.concatenate([look.value[at[c, h]] for c in classes], axis=1) for h in range(len(names))]
         grad = [np.zeros_like(w) for w in now]
-        stats = np.zeros((len(pairs), 3))
+        stats = np.zeros((len(names), 3, len(classes)))
         for batch in batches:
-            cls = np.array(batch.column(0).to_pylist(), object)
-            for (c, h), i in at.items():
-                label = batch.column(2 + h).to_numpy(zero_copy_only=False).astype(float)
-                rows = np.flatnonzero((cls == c) & ~np.isnan(label))
-                if not len(rows):
-                    continue
-                part, (row, place, value) = _of(batch, rows, width)
-                y = label[rows].astype(int)
-                p = _softmax(now[i], row, place, value, len(rows))
-                own = p[np.arange(len(rows)), y]
-                stats[i] += len(rows), -np.log(np.maximum(own, 1e-300)).sum(), (p.argmax(1) == y).sum()
-                p[np.arange(len(rows)), y] -= 1.0
-                for k in range(sizes[h]):
-                    grad[i][k] += np.bincount(place, p[row, k] * value, width + 1)
-        out = [(i, -1 - s, stats[i, s]) for i in range(len(pairs)) for s in range(3)]
-        flat = [(np.flatnonzero(g), g.ravel()) for g in grad]
-        keys = np.concatenate([[o[1] for o in out], *[f for f, _ in flat]]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([[o[0] for o in out], *[np.full(len(f), i) for i, (f, _) in enumerate(flat)]]).astype(np.int32)),
-             pa.array(keys), pa.array(np.concatenate([[o[2] for o in out], *[g[f] for f, g in flat]]))], ["i", "j", "v"])
+            of = pc.index_in(batch.column(0), value_set=pa.array(classes)).to_numpy(zero_copy_only=False).astype(np.int64)
+            labels = [batch.column(2 + h).to_numpy(zero_copy_only=False).astype(float) for h in range(len(names))]
+            for mine, cls, size, where, value in _slices(of, *_unpack(batch.column(1)), width):
+                for h, w in enumerate(now):
+                    use = np.flatnonzero(~np.isnan(labels[h][mine]))
+                    if not len(use):
+                        continue
+                    p = _softmax(w, cls, size, where, value, width)
+                    y = labels[h][mine][use].astype(int)
+                    own = p[use, y]
+                    for s, v in enumerate((np.ones(len(use)), -np.log(np.maximum(own, 1e-300)), (p[use].argmax(1) == y).astype(float))):
+                        stats[h, s] += np.bincount(cls[use], v, len(classes))
+                    off = np.zeros_like(p)
+                    off[use] = p[use]
+                    off[use, y] -= 1.0
+                    for k in range(len(w) - 1):               # a row's add up to 0, so the last follows
+                        grad[h][k] += np.bincount(where, np.repeat(off[:, k], size) * value, w.shape[1])
+                        grad[h][k].reshape(len(classes), -1)[:, 0] += np.bincount(cls, off[:, k], len(classes))
+        for g in grad:
+            g[-1] = -g[:-1].sum(0)
+        out = []
+        for i, (c, h) in enumerate(pairs):
+            c = classes.index(c)
+            flat = np.concatenate([stats[h, :, c], grad[h].reshape(sizes[h], len(classes), width + 1)[:, c].ravel()])
+            out += [(i, j, flat[j:j + BLOCK].tobytes()) for j in range(0, len(flat), BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary()))], ["i", "j", "v"])
+
+    def add(key, parts):
+        v = np.sum([np.frombuffer(x.as_buffer()) for x in parts.column("v")], axis=0)
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int64()), pa.array([v.tobytes()], pa.binary())], ["i", "j", "v"])
 
     for epoch in range(epochs):
         look = spark.sparkContext.broadcast(ahead)           # one number per coefficient
-        got = (table.mapInArrow(lambda b, look=look: pass_over(b, look), "i int, j long, v double")
-               .groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow())
-        i, j, v = (got.column(c).to_numpy() for c in ("i", "j", "v"))
+        got = (table.mapInArrow(lambda b, look=look: pass_over(b, look), "i int, j long, v binary")
+               .groupBy("i", "j").applyInArrow(add, "i int, j long, v binary").toArrow().sort_by([("i", "ascending"), ("j", "ascending")]).to_pylist())
         faster = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
         for k, (c, h) in enumerate(pairs):
-            mine = i == k
-            n, loss, hits = (float(v[mine & (j == -1 - s)].sum()) for s in range(3))
+            v = np.concatenate([np.zeros(0), *[np.frombuffer(r["v"]) for r in got if r["i"] == k]])
+            if not len(v):
+                v = np.zeros(3 + ahead[k].size)               # a table without partitions
+            n, loss, hits = (float(x) for x in v[:3])
             history.append((epoch, c, names[h], int(n), loss / n if n else 0.0, hits / n if n else 0.0))
-            g = np.zeros(ahead[k].size)
-            g[j[mine & (j >= 0)]] = v[mine & (j >= 0)]
-            g = g.reshape(ahead[k].shape) / max(n, 1.0) + reg * ahead[k]
+            g = v[3:].reshape(ahead[k].shape) / max(n, 1.0) + reg * ahead[k]
             new = ahead[k] - g / (1.0 + reg)                  # curvature: 1/2 for the features, 1/2 for the intercept
             ahead[k], weights[k] = new + (momentum - 1) / faster * (new - weights[k]), new
         momentum = faster
@@ -168,17 +232,18 @@ def predict(model: HeadModel, df: DataFrame, class_col: str, text_col: str, defa
 
     def run(batches: Iterator[pa.RecordBatch]):
         weights, heads = look.value
+        classes = sorted({c for c, _ in weights})
+        every = {h: np.concatenate([weights[c, h] for c in classes], axis=1) for h in heads}
         for batch in batches:
-            cls = np.array(batch.column(batch.schema.get_field_index("__c")).to_pylist(), object)
+            of = pc.index_in(batch.column(batch.schema.get_field_index("__c")), value_set=pa.array(classes, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             names = {h: np.full(batch.num_rows, None, object) for h in heads}
             conf = {h: np.full(batch.num_rows, np.nan) for h in heads}
-            for c in {c for c, _ in weights}:
-                at = np.flatnonzero(cls == c)
-                if not len(at):
-                    continue
-                _, (row, place, value) = _of(batch, at, width)
+            known = np.flatnonzero(of >= 0)
+            places = batch.column(batch.schema.get_field_index("__x")).take(pa.array(known))
+            for mine, cls, size, where, value in _slices(of[known], *_entries(places, width), width) if len(known) else ():
+                at = known[mine]
                 for h, vocab in heads.items():
-                    p = _softmax(weights[c, h], row, place, value, len(at))
+                    p = _softmax(every[h], cls, size, where, value, width)
                     best = p.argmax(1)
                     names[h][at], conf[h][at] = np.array(vocab, object)[best], p[np.arange(len(at)), best]
             keep = [i for i, f in enumerate(batch.schema) if f.name != "__x"]
