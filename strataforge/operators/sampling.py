@@ -181,11 +181,26 @@ def sample_per_group(df: DataFrame, group, key: str, seed, pct: float, minimum:
 def stratified_split(df: DataFrame, label: str, key: str, seed, train_frac: float = 0.85,
                      target_rows: int = 1_000_000) -> DataFrame:
     """Per class, the round(train_frac * n) rows with the smallest hash
-    are ``train``, the rest ``validation``."""
-    r = hash_rank(df, label, key, seed, target_rows)
-    k = F.round(F.col("__n") * F.lit(train_frac))
-    return r.withColumn("split", F.when(F.col("__rank") <= k, "train").otherwise("validation")) \
-            .drop("__u", "__n", "__rank")
+    are ``train``, the rest ``validation``. Only labels and keys are ranked:
+    each class has a last training key, and the rows themselves are compared
+    with it where they are. Of the rows that repeat a class's last training key
+    some may be beyond the share; those rows alone are numbered."""
+    r = hash_rank(df.select(label, key), label, key, seed, target_rows)
+    inside = F.col("__rank") <= F.round(F.col("__n") * F.lit(train_frac))
+    k = F.struct("__u", F.col(key).alias("__k"))
+    last = r.where(inside).groupBy(label).agg(F.max(k).alias("__last"), F.count(F.lit(1)).alias("__m"))
+    x = join_bounded(df.withColumn("__u", uniform(seed, key)), last, [label], "left", null_safe=True)
+    at = F.when(F.col("__last").isNull() | (k > F.col("__last")), 1).when(k < F.col("__last"), -1).otherwise(0)
+    x = x.withColumn("__at", at)
+    # how many rows of a class come before its last training key, and so how many with that key are inside
+    before = (join_bounded(r, last, [label], "left", null_safe=True).where(k < F.col("__last"))
+              .groupBy(label).agg(F.count(F.lit(1)).alias("__before")))
+    tied = join_bounded(x.where("__at = 0"), before, [label], "left", null_safe=True)
+    row = F.row_number().over(Window.partitionBy(label).orderBy("__u"))
+    tied = tied.withColumn("__row", row + F.coalesce("__before", F.lit(0)))
+    out = (x.where("__at <> 0").withColumn("split", F.when(F.col("__at") < 0, "train").otherwise("validation"))
+           .unionByName(tied.withColumn("split", F.when(F.col("__row") <= F.col("__m"), "train").otherwise("validation")).drop("__before", "__row")))
+    return out.drop("__u", "__last", "__m", "__at")
 
 
 def count_duplicates(df: DataFrame, cols: Sequence[str] | None = None, keep_null_rows: bool = False,
