@@ -122,12 +122,13 @@ def _fixed_weight(c: int, h: int, k: int, j: int) -> float:
 
 
 def _head_docs(spark, sf_dir):
-    """Documents with both labels, split 85 : 15 by language."""
+    """Documents with both labels, split 85 : 15 by language, dealt evenly: the
+    work on a text is long, and a file may hold all of them in one piece."""
     lab = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     q = lab.select("doc_id", F.when(F.col("quality") == 1, "H").otherwise("L").alias("quality"),
                    F.when(F.col("toxic") == 1, "y").otherwise("n").alias("toxic"))
     d = _docs(spark, sf_dir).select("doc_id", "lang", "features_text").join(q, "doc_id", "left")
-    return sampling.stratified_split(d, "lang", "doc_id", SPLIT_SEED, 0.85)
+    return sampling.stratified_split(d, "lang", "doc_id", SPLIT_SEED, 0.85).repartition(4 * spark.sparkContext.defaultParallelism)
 
 
 def fixed_heads() -> heads.HeadModel:
