@@ -98,7 +98,7 @@ def fill_missing_labels(spark, sf_dir):
 def routed_predict(spark, sf_dir):
     """M13 + J17: stage 1 picks the language; each language's quality head
     scores its rows; the unknown class gets the default outputs (U, 1.0). Confidences rounded to 3."""
-    d = _quality_docs(spark, sf_dir)
+    d = classify.with_features(_quality_docs(spark, sf_dir).select("doc_id", "features_text", "lang", "quality"), "features_text")
     s1 = classify.train(d, "features_text", "lang", LANG_VOCAB, "U")
     heads = {}
     for lang in LANG_VOCAB[:-1]:

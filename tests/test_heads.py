@@ -71,3 +71,43 @@ def test_reports(spark):
                    "macro avg": (1 / 3, (1 / 3 + 1) / 3, (0.4 + 2 / 3) / 3, 5), "weighted avg": (0.4, 0.4, (1.2 + 2 / 3) / 5, 5)}
     assert {r.head for r in heads.reports(d, [("a", "t", "p"), ("b", "p", "t")]).collect()} == {"a", "b"}
     assert heads.reports(d.limit(0), [("a", "t", "p")]).collect() == []
+
+
+def test_features_are_counted_once_and_packed(spark):
+    """What an epoch reads is bytes, not lists to count again."""
+    import pyarrow as pa
+
+    lists = pa.array([[3, 1, 3], [], [0], [7, 7, 7, 7]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "a", "b", None]), lists, pa.array([0, 1, None, 0], pa.int32())], ["__c", "__x", "__y0"])
+    got = next(heads._packer(8)([batch]))
+    for part, sizes, places, counts in ((got, [2, 0, 1, 1], [1, 3, 0, 7], [1, 2, 1, 4]), (got.slice(1, 2), [0, 1], [0], [1])):
+        size, place, count = heads._unpack(part.column(1))
+        assert (size.tolist(), place.tolist(), count.tolist()) == (sizes, places, counts)
+    size, _, count = heads._unpack(got.column(1))
+    assert np.allclose(heads._sums(heads._values(size, count) ** 2, size), [1, 0, 1, 1])
+
+
+def test_models_share_kept_features(spark):
+    """Training and scoring on kept features gives what it gives on the texts."""
+    d = rows(spark, 80).repartition(1)
+    kept = classify.with_features(d, "text", 256)
+    assert kept.count() == 80 and kept.rdd.getNumPartitions() > 1
+    a = classify.train(d, "text", "sky", ("clear", "rain", "snow"), num_features=256)
+    b = classify.train(kept, "text", "sky", ("clear", "rain", "snow"))
+    assert len(b.stages) == 1
+    one, two = ({r.k: (r.predicted, r.confidence) for r in classify.score(m, x, ("clear", "rain", "snow")).collect()} for m, x in ((a, d), (b, kept)))
+    assert one == two
+
+
+def test_split_does_not_move_the_texts(spark):
+    """Only keys and labels are ranked; repeated and null keys and labels keep the shares."""
+    from strataforge.operators import sampling
+
+    d = spark.createDataFrame([(k if k % 5 else None, "ab"[k % 2] if k % 7 else None, f"text {k}") for k in range(200)] * 2, "k long, g string, text string")
+    got = sampling.stratified_split(d, "g", "k", 7, 0.8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 1                                   # the rows of a class's last key
+    size = {r.g: r["count"] for r in d.groupBy("g").count().collect()}
+    share = {r.g: r["count"] for r in got.where("split = 'train'").groupBy("g").count().collect()}
+    assert share == {g: int(n * 0.8 + 0.5) for g, n in size.items()} and got.count() == 400
