@@ -26,6 +26,8 @@ from strataforge.session import ensure_checkpoint_dir
 
 #: The column of a text's hashed counts.
 FEATURES = "__features"
+#: Rows of a part of kept features (some kB a row); every part sends a whole gradient in every step of a fit, so there are no more than needed.
+PART_ROWS = 20_000
 
 
 def text_pipeline(text_col: str, label_col: str, num_features: int = 1 << 14, max_iter: int = 30,
@@ -53,7 +55,8 @@ def with_features(df: DataFrame, text_col: str, num_features: int = 1 << 14) ->
     """``df`` and the features of its texts, dealt evenly and kept: models that
     are then trained and applied on it do not split the texts again."""
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
+    df = df.repartition(parts)
     out = PipelineModel(feature_stages(text_col, num_features)).transform(df)
     return out.select(*df.columns, FEATURES).checkpoint(eager=True)
 
