@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.llm.arrays import Rolling, Texts, Words, mix, run_starts, signed
-from strataforge.llm.common import id_text
+from strataforge.llm.common import id_text, packed
 from strataforge.llm.components import components
 from strataforge.session import ensure_checkpoint_dir
 
@@ -285,14 +285,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = wide.join(shared, "bucket").checkpoint()
     weight = met.groupBy("id").agg(F.sum("count").alias("weight"))
     met = met.drop("count").join(weight, "id").checkpoint()
+    places = met.count()
+    met = packed(met, places)
     # the texts of documents that share a bucket, moved once and read by both confirmations
     met_text = text.join(weight.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi").checkpoint()
     heads = (met.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), F.col("n").alias("cn"))).alias("c"))
              .select("bucket", (-F.col("c.least")).alias("a"), "c.cn"))
-    star = (met.join(heads, "bucket").where(f"a <> id AND {_fits()}").select("a", F.col("id").alias("b")).distinct().checkpoint())
+    heads = packed(heads, places)
+    star = packed(met.join(heads, "bucket").where(f"a <> id AND {_fits()}").select("a", F.col("id").alias("b")), places)
+    star = packed(star.distinct(), places).checkpoint()
     sizes = classes.select(F.col("rep").alias("id"), "n")
-    tested = confirm(star, met_text).checkpoint()
-    links = linked_pairs(tested, sizes).checkpoint()
+    tested = packed(confirm(star, met_text).checkpoint(), places)
+    links = packed(linked_pairs(tested, sizes), places).checkpoint()
     comp = components(links).checkpoint()
     met = met.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     met = (met.join(heads.select("bucket", "a"), "bucket")
@@ -306,7 +310,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if more:
         more = reduce(DataFrame.unionByName, more).checkpoint()
         if not more.isEmpty():
-            comp = components(links.unionByName(more))
+            # the components found so far stand for their links
+            comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component_id"))
     linked = sk.where("n > 0").select("doc_id", "set_a", "set_b", "n").join(reps, ["set_a", "set_b", "n"]).select("doc_id", "n", "component_id")

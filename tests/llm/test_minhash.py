@@ -134,3 +134,34 @@ def test_shared_counts_every_pair(monkeypatch):
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 20, 40, 40, 60, 3)]
     assert minhash.shared(sets).tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+
+
+def test_few_links_take_few_partitions(spark):
+    """A small link table is not carried through the rounds in as many partitions as the session has."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 200)], "a long, b long"))
+        assert got.rdd.getNumPartitions() <= 4
+        assert {r.id: r.component for r in got.collect()} == {**{i: 0 for i in range(31)}, 100: 100, 200: 100}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_second_links_extend_the_first_components(frame, monkeypatch):
+    """Links found after the stars join whole components, their smallest ids and the documents between them."""
+    rng = random.Random(12)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(160)]
+        for i in range(25):
+            w = list(base)
+            for j in range(i % 9):
+                w[(i * 7 + j * 11) % 160] = f"x{g}y{i}z{j}"
+            rows.append((rng.randrange(10**6) * 200 + len(rows), " ".join(w)))
+    for listed in (0, 8):
+        monkeypatch.setattr(minhash, "LISTED", listed)
+        assert run(frame(rows)) == near(rows)
