@@ -9,18 +9,21 @@ from strataforge.llm.common import packed
 from strataforge.session import ensure_checkpoint_dir
 
 
-def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 100, rows: int | None = None) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): the smallest reachable id.
 
     Alternates the large-star and small-star steps of the map-reduce
     formulation: every node hangs its neighbours under the smallest one. Only
     minima per node are aggregated (map-side combine), so a hub is never
     gathered. Each round is checkpointed; it ends when a round changes nothing.
-    The partitions of a round are sized by the links there are.
+    The partitions of a round are sized by the links there are, those of the
+    first by ``rows``, a bound of the rows of ``links``, if it is given.
     """
     ensure_checkpoint_dir(links.sparkSession)
     edges = (links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-             .distinct().checkpoint())
+             .distinct())
+    edges = (edges if rows is None else packed(edges, rows)).checkpoint()
+
     def state(e: DataFrame):
         return e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
 
@@ -29,7 +32,7 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         n = before["n"]
         edges = packed(edges, n)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        low = packed(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), n)
         # large star: larger neighbours hang under the smallest of u's neighbourhood
         large = packed(packed(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), n).distinct(), n)
         # small star: u and its smaller neighbours hang under the smallest

@@ -148,24 +148,25 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .applyInArrow(_confirm_star, "a long, b long, apart long"))
 
 
-def _rest(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _rest(met: DataFrame, places: int) -> tuple[DataFrame, DataFrame]:
     """(a, b) of members of one bucket in different components, and the members
     (bucket, id, n, component) of the crowded buckets. ``off`` is how far a
     member is from the bucket's centre; symmetric differences obey the triangle
     inequality, so two members whose distances to the centre differ by more
     than a linked pair may be apart are not linked and not listed. A bucket is
-    crowded when it has more than ``LISTED`` pairs per member."""
-    of_one = met.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    crowded when it has more than ``LISTED`` pairs per member. ``places`` are
+    the rows of ``met``."""
+    of_one = packed(met.groupBy("bucket", "component").agg(F.count("*").alias("k")), places)
     sizes = (of_one.groupBy("bucket").agg(F.sum("k").alias("size"), F.sum(F.col("k").cast("double") * F.col("k")).alias("within"))
              .withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2).where("across > 0")
              .select("bucket", (F.col("across") <= F.col("size") * LISTED).alias("few")))
-    met = met.select("bucket", "id", "n", "component", "off").join(sizes, "bucket").checkpoint()
+    met = packed(met.select("bucket", "id", "n", "component", "off").join(packed(sizes, places), "bucket"), places).checkpoint()
     few = met.where("few")
     x = few.select("bucket", F.col("id").alias("a"), F.col("n").alias("cn"), F.col("component").alias("cc"), F.col("off").alias("coff"))
     near = f"abs(off - coff) * {100 + THRESHOLD} <= (n + cn) * {100 - THRESHOLD}"
     pairs = (x.join(few, "bucket").where(f"a < id AND cc <> component AND {_fits()} AND coalesce({near}, true)")
              .select("a", F.col("id").alias("b")))
-    return pairs, met.where("NOT few").select("bucket", "id", "n", "component")
+    return packed(pairs, places * LISTED), met.where("NOT few").select("bucket", "id", "n", "component")
 
 
 def shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -225,27 +226,31 @@ def _spread(members: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFram
     return members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT))).join(every, [*keys, "salt"]).drop("salt")
 
 
-def crowd_links(crowded: DataFrame, text: DataFrame) -> DataFrame:
+def crowd_links(crowded: DataFrame, text: DataFrame, places: int) -> DataFrame:
     """(a, b): components that are linked through members of one crowded bucket.
 
     All members of a bucket are compared on their full shingle sets, in blocks
     of two parts of about ``PART`` members, one task each; a block returns a
     spanning forest of its links. Buckets that share members are compared as
-    one crowd where that is fewer pairs than bucket by bucket.
+    one crowd where that is fewer pairs than bucket by bucket. ``places`` is a
+    bound of the rows of ``crowded``, by which tables without texts are dealt.
     """
-    heads = crowded.groupBy("bucket").agg(F.min("id").alias("head"), F.count("*").cast("double").alias("size")).checkpoint()
-    crowd = (components(crowded.join(heads, "bucket").select(F.col("id").alias("a"), F.col("head").alias("b")))
+    heads = packed(crowded.groupBy("bucket").agg(F.min("id").alias("head"), F.count("*").cast("double").alias("size")), places).checkpoint()
+    crowd = (components(crowded.join(heads, "bucket").select(F.col("id").alias("a"), F.col("head").alias("b")), rows=places)
              .select("id", F.col("component").alias("crowd")).checkpoint())
     apiece = (heads.join(crowd, F.col("head") == F.col("id")).groupBy("crowd")
               .agg(F.sum(F.col("size") * F.col("size")).alias("pairs")))
+    apiece = packed(apiece, places)
     whole = (crowd.groupBy("crowd").agg(F.count("*").cast("double").alias("m")).join(apiece, "crowd")
              .select("crowd", (F.col("m") * F.col("m") <= F.col("pairs")).alias("whole")))
-    members = (_spread(crowded.join(crowd, "id"), whole, ["crowd"])
+    whole = packed(whole, places)
+    members = (_spread(packed(crowded.join(crowd, "id"), places), whole, ["crowd"])
                .select("whole", F.when(F.col("whole"), F.col("crowd")).otherwise(F.col("bucket")).alias("unit"), "id", "n", "component")
-               .distinct().checkpoint())
+               .distinct())
+    members = packed(members, places).checkpoint()
     parts = members.groupBy("whole", "unit").agg(
         F.ceil(F.greatest(F.count("*") / F.lit(PART), F.sum("n") / F.lit(PART_SHINGLES))).alias("parts"))
-    dealt = (_spread(members, parts, ["whole", "unit"])
+    dealt = (_spread(members, packed(parts, places), ["whole", "unit"])
              .select("whole", "unit", "id", "component", "parts", F.pmod(F.xxhash64("id", F.lit(PART)), F.col("parts")).alias("part")))
     rows = (dealt.join(text.withColumnRenamed("doc_id", "id"), "id")
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("parts") - 2, F.lit(0).cast("long")))))
@@ -278,15 +283,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ensure_checkpoint_dir(spark)
     text = id_text(docs, id_col, text_col)
     sk = sketches(text).checkpoint()
-    classes = sk.where("n > 0").groupBy("set_a", "set_b", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).checkpoint()
+    rows = sk.count()
+    classes = packed(sk.where("n > 0").groupBy("set_a", "set_b", "n").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), rows * BANDS).checkpoint()
     wide = classes.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("at", "bucket"))
     shared = wide.groupBy("bucket").count().where("count > 1")
-    met = wide.join(shared, "bucket").checkpoint()
-    weight = met.groupBy("id").agg(F.sum("count").alias("weight"))
-    met = met.drop("count").join(weight, "id").checkpoint()
+    met = packed(wide.join(shared, "bucket"), rows * BANDS).checkpoint()
     places = met.count()
-    met = packed(met, places)
+    weight = met.groupBy("id").agg(F.sum("count").alias("weight"))
+    met = packed(met.drop("count").join(weight, "id"), places).checkpoint()
     # the texts of documents that share a bucket, moved once and read by both confirmations
     met_text = text.join(weight.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi").checkpoint()
     heads = (met.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"), F.col("n").alias("cn"))).alias("c"))
@@ -297,24 +302,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = classes.select(F.col("rep").alias("id"), "n")
     tested = packed(confirm(star, met_text).checkpoint(), places)
     links = packed(linked_pairs(tested, sizes), places).checkpoint()
-    comp = components(links).checkpoint()
-    met = met.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    met = (met.join(heads.select("bucket", "a"), "bucket")
+    comp = components(links, rows=places).checkpoint()
+    met = packed(met.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id")), places)
+    met = (packed(met.join(heads.select("bucket", "a"), "bucket"), places)
            .join(tested.select("a", F.col("b").alias("id"), F.col("apart").alias("off")), ["a", "id"], "left")
            .withColumn("off", F.when(F.col("a") == F.col("id"), 0).otherwise(F.col("off"))))
-    pairs, crowded = _rest(met)
+    pairs, crowded = _rest(packed(met, places).checkpoint(), places)
     rest = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti").checkpoint())
+            .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti"))
+    rest = packed(rest, places * LISTED).checkpoint()
     more = [] if rest.isEmpty() else [linked_pairs(confirm(rest, met_text), sizes)]
-    more += [] if crowded.isEmpty() else [crowd_links(crowded, met_text)]
+    more += [] if crowded.isEmpty() else [crowd_links(crowded, met_text, places)]
     if more:
         more = reduce(DataFrame.unionByName, more).checkpoint()
-        if not more.isEmpty():
+        more = packed(more, places)
+        if found := more.count():
             # the components found so far stand for their links
-            comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-    reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component_id"))
-    linked = sk.where("n > 0").select("doc_id", "set_a", "set_b", "n").join(reps, ["set_a", "set_b", "n"]).select("doc_id", "n", "component_id")
+            comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more), rows=places + found)
+    reps = packed(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component_id")), rows)
+    linked = sk.where("n > 0").select("doc_id", "set_a", "set_b", "n").join(reps, ["set_a", "set_b", "n"])
+    linked = packed(linked.select("doc_id", "n", "component_id"), rows)
     out = linked.unionByName(sk.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                       (F.col("doc_id") == F.col("component_id")).alias("kept"))

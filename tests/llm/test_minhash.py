@@ -151,6 +151,29 @@ def test_few_links_take_few_partitions(spark):
             spark.conf.set(k, v)
 
 
+def test_few_documents_take_few_tasks(spark, frame):
+    """Tables of ids and numbers of near dedup are dealt by their rows, not by the session's partitions: every
+    task costs the driver memory. What reads texts keeps the session's partitions."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:115 - i % 5] + [f"z{i}"] * (i % 3))) for i in range(30)]
+    rows += [(100 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(40))) for i in range(20)]
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("few-tasks", "near duplicates")
+    try:
+        assert run(frame(rows)) == near(rows)
+        track = spark.sparkContext.statusTracker()
+        stages = {s for j in track.getJobIdsForGroup("few-tasks") for s in track.getJobInfo(j).stageIds}
+        assert sum(track.getStageInfo(s).numCompletedTasks for s in stages) < 1800
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_second_links_extend_the_first_components(frame, monkeypatch):
     """Links found after the stars join whole components, their smallest ids and the documents between them."""
     rng = random.Random(12)
