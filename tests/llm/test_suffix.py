@@ -57,3 +57,35 @@ def test_edges(frame):
     got = run(frame([(None, t), (1, t), (1, t), (2, "q" * 300000)]), keep_first=False)
     assert [g[:4] for g in got] == [(1, 500, 500, 1), (1, 500, 500, 1), (2, 300000, 300000, 1)]
     assert [g[2] for g in run(frame([(1, t), (2, t)]))] == [0, 500]
+
+
+@pytest.mark.parametrize("seed, letters, length", [(1, "\0ab", 20), (5, "\0a", 60)])
+def test_zero_bytes(frame, seed, letters, length):
+    """Contexts that end in padding lie among those that go on with zero bytes; no repeat may be lost there."""
+    rng = random.Random(seed)
+    piece = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    shared = [piece(rng.randint(length // 2, 4 * length)) for _ in range(6)]
+    rows = []
+    for i in range(240):
+        t = ""
+        for _ in range(rng.randint(0, 4)):
+            s = rng.choice(shared)
+            a = rng.randint(0, len(s) // 2)
+            t += s[a:rng.randint(a, len(s))] if rng.random() < 0.7 else "\0" * rng.randint(0, length) + piece(rng.randint(1, 2 * length))
+        rows.append((i, t))
+    for keep_first in (False, True):
+        got = run(frame(rows), length=length, seed=8, keep_first=keep_first)
+        assert got == byte_strings(rows, length, keep_first)
+
+
+def test_planted_passages_by_bytes(frame):
+    """Passages of over 50 words in three documents each: removed whole from 400 bytes on, else left."""
+    rng = random.Random(7)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    planted = [words(rng.randint(51, 80)) for _ in range(40)]
+    rows = [(i, f"{words(60)} {planted[i % 40]} {words(60)}") for i in range(120)] + [(i, words(170)) for i in range(120, 160)]
+    got = run(frame(rows), keep_first=False)
+    assert got == byte_strings(rows, 400)
+    assert {len(p) >= 400 for p in planted} == {False, True}
+    assert all(g[2] >= len(planted[i % 40]) for i, g in enumerate(got[:120]) if len(planted[i % 40]) >= 400)
+    assert not any(g[2] for g in got[120:])
