@@ -7,12 +7,13 @@ block of pairs.
 
 The best-match join (J10) forms no cross product above threshold 0: candidates
 share combinations of rare bigrams, at falling thresholds (see ``best_match``).
+Names travel in packed blocks (``name_blocks``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.functions.text import match_key, strip_all
+from strataforge.operators import name_blocks as B
 
 
 def _c(c) -> Column:
@@ -37,12 +39,6 @@ def sort_tokens(c) -> Column:
 WORD, MASKS = 64, 1 << 18
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(code points of all texts, one after the other; length of each text)."""
-    return (np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64),
-            np.fromiter(map(len, texts), np.int64, len(texts)))
-
-
 def _table(codes: np.ndarray, first: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
     """Texts as rows of ``width`` codes, 0 behind their end."""
     at = np.arange(width)
@@ -83,10 +79,15 @@ def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     position of the shorter string where the dynamic-programming row does not
     grow; per character of the longer one the matching positions ``u`` turn it
     into (v + u) | (v - u), with carries between words of 64 positions."""
-    (ca, la), (cb, lb) = _codes(a), _codes(b)
-    codes = np.concatenate([ca, cb])
-    first = np.concatenate([np.cumsum(la) - la, len(ca) + np.cumsum(lb) - lb]).reshape(2, -1)
-    length = np.stack([la, lb])
+    return _lcs_of(B.texts(a), B.texts(b))
+
+
+def _lcs_of(a: B.Texts, b: B.Texts, x: np.ndarray | None = None, y: np.ndarray | None = None) -> np.ndarray:
+    """``lcs_lengths`` of the pairs of texts (x of a, y of b), in order by default."""
+    x, y = (np.arange(len(t.length)) if at is None else at for t, at in ((a, x), (b, y)))
+    codes = np.concatenate([a.codes, b.codes])
+    la, lb = a.length[x], b.length[y]
+    first, length = np.stack([a.first[x], len(a.codes) + b.first[y]]), np.stack([la, lb])
     swap = (la > lb).astype(np.int64)
     every = np.arange(len(la))
     s, n, t, m = first[swap, every], length[swap, every], first[1 - swap, every], length[1 - swap, every]
@@ -132,131 +133,105 @@ def token_sort_ratio(a, b) -> Column:
 BIGRAMS_FROM = 70.0
 #: A ratio below that of any two strings that share a character.
 LEAST = 1e-6
-#: Longest name whose candidates share three grams; longer names share two.
-SHORT_NAME = 24
-
-
-def _pieces(s: Column, q: int) -> Column:
-    """The characters of a string, or its bigrams with both ends marked."""
-    if q == 1:
-        return F.filter(F.split(s, ""), lambda c: c != "")
-    ends = F.concat(F.lit("\u0002"), s, F.lit("\u0003"))
-    return F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2)))
-
-
-def _shared(la: int, lb: int, t: float, q: int) -> int:
-    """Grams that names of lengths la, lb with ratio >= t must share: LCS >= c
-    = ceil(t (la + lb) / 200), one deletion breaks q grams of a name and one
-    insertion breaks q - 1 (0 where the lengths allow no such pair). A tiny
-    epsilon keeps float error from raising an exact integer."""
-    c = math.ceil((la + lb) * t / 200.0 - 1e-9)
-    return max(c * (2 * q - 1) - (la + lb - 1) * (q - 1), 0) if c <= min(la, lb) else 0
-
-
-#: How pairs meet, by class: grams in a key, keys a pair must have in common.
-CLASSES = {"one": (1, 1), "three": (3, 1), "long": (2, 3), "many": (3, 4)}
-
-
-def _class(least: int, longest: int) -> str:
-    """The class of a pair whose names can do with ``least`` shared grams."""
-    return "one" if least < 3 else "three" if least == 3 else "long" if longest > SHORT_NAME else "many"
-
-
-def _length_plan(left: list[int], right: list[int], t: float, q: int) -> list[tuple]:
-    """(side, n, least, class, keep): the least grams a name of length n shares
-    with any partner there is, and for each class it takes part in how many of
-    its rarest grams a key is made of."""
-    pairs = [(a, b, o) for a in left for b in right if (o := _shared(a, b, t, q)) > 0]
-    least = {"l": {}, "r": {}}
-    for a, b, o in pairs:
-        least["l"][a] = min(o, least["l"].get(a, o))
-        least["r"][b] = min(o, least["r"].get(b, o))
-    found = {(side, n, _class(min(least["l"][a], least["r"][b]), max(a, b))) for a, b, _ in pairs for side, n in (("l", a), ("r", b))}
-    out = []
-    for side, n, kind in sorted(found):
-        k, same = CLASSES[kind]
-        together = k + 1 if same > 1 else k          # k + 1 shared grams agree on k + 1 keys
-        out.append((side, n, least[side][n], kind, n + q - 1 - least[side][n] + together))
-    return out
 
+class Ordered(NamedTuple):
+    """Names in packed blocks and the order of their grams. ``packed``: (kind,
+    blob), kind l or r; ``lengths``: those of names that are not empty, by side."""
+    packed: DataFrame
+    rank: np.ndarray
+    lengths: dict[str, list[int]]
+    names: int
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (side, s, name) as blocks of (s, name)."""
+    held: dict[str, list[tuple[str, str]]] = {}
+
+    def blocks(side):
+        return pa.RecordBatch.from_arrays([pa.array([side]), pa.array([B.packed(held.pop(side))])], ["kind", "blob"])
+
+    for b in batches:
+        for side, s, name in zip(*(c.to_pylist() for c in b.columns)):
+            held.setdefault(side, []).append((s, name))
+            if len(held[side]) >= B.BLOCK:
+                yield blocks(side)
+    yield from map(blocks, sorted(held))
+
+
+def _gram_order(names: DataFrame, q: int) -> Ordered:
+    """Distinct names, rows (side, s) or packed blocks (kind, blob), with an
+    order of their grams, rarest first. Grams are counted in ``B.BUCKETS``
+    buckets, which any number of names keeps to that many numbers."""
+    if "blob" not in names.columns:
+        names = names.select("side", "s", F.col("s").alias("name")).mapInArrow(_pack, "kind string, blob binary").checkpoint(eager=True)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, lengths, n = np.zeros(B.BUCKETS, np.int64), {"l": set(), "r": set()}, 0
+        for b in batches:
+            for side, blob in zip(*(c.to_pylist() for c in b.select(["kind", "blob"]).columns)):
+                s = B.unpack(blob).column(0, 2)
+                counts, n = counts + B.counted(s, q), n + len(s.length)
+                lengths[side].update(np.unique(s.length[s.length > 0]).tolist())
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (n, B.press(counts.tobytes()), sorted(lengths["l"]), sorted(lengths["r"]))], schema=seen)
+
+    seen = pa.schema([("n", pa.int64()), ("counts", pa.binary()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64()))])
+    found = names.select("kind", "blob").mapInArrow(count, "n long, counts binary, l array<long>, r array<long>").collect()   # a few kB a task
+    counts = sum((np.frombuffer(B.unpress(bytes(r.counts)), np.int64) for r in found), np.zeros(B.BUCKETS, np.int64))
+    return Ordered(names, B.ranked(counts), {x: sorted({n for r in found for n in r[x]}) for x in "lr"}, sum(r.n for r in found))
 
-def _combinations(rows: DataFrame, k: int) -> DataFrame:
-    """``rows`` once per k-subset of the array ``x`` of (g, at): key, the hash of
-    the grams, and at, their places with eight bits each."""
-    n, places = F.size("x"), []
-    for i in range(k):
-        lo = F.lit(1) if not places else F.col(places[-1]) + 1
-        hi = n - (k - 1 - i)
-        rows = rows.where(lo <= hi).withColumn(f"__p{i}", F.explode(F.sequence(lo, hi)))
-        places.append(f"__p{i}")
-    grams = [F.element_at("x", F.col(p)) for p in places]
-    at = grams[0]["at"]
-    for g in grams[1:]:
-        at = at * 256 + g["at"]
-    return rows.withColumn("key", F.xxhash64(*[g["g"] for g in grams])).withColumn("at", at).drop("x", *places)
-
-
-def _gram_order(names: DataFrame, q: int) -> DataFrame:
-    """(side, s, n, grams): distinct strings with their q-grams (g, at), rarest
-    first. ``g`` hashes the gram and its occurrence number, so multiset overlap
-    becomes set overlap; ``at`` is the place of a gram that occurs once, else 0."""
-    parts, x = _pieces(F.col("s"), q), F.col("x")
-    numbered = F.transform(x, lambda g, i: F.struct(
-        F.xxhash64(g, F.size(F.filter(F.slice(x, 1, i + 1), lambda v: v == g))).alias("g"),
-        F.when((F.size(F.filter(x, lambda v: v == g)) > 1) | (i >= 255), 0).otherwise(i + 1).alias("at")))
-    grams = names.withColumn("x", parts).select("side", "s", "n", F.explode(numbered).alias("v")).select("side", "s", "n", "v.g", "v.at")
-    often = grams.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    ordered = grams.join(often, "g").groupBy("side", "s", "n").agg(
-        F.array_sort(F.collect_list(F.struct("f", "g", "at"))).alias("x"))   # the grams of one name
-    return ordered.select("side", "s", "n", F.transform("x", lambda v: F.struct(v["g"].alias("g"), v["at"].alias("at"))).alias("grams"))
-
-
-def _keys(ordered: DataFrame, t: float, q: int) -> DataFrame:
-    """(side, s, n, least, class, key, at): what names with ratio >= t have in common.
-
-    With all grams in one order, names that share o of them share k among the
-    first |grams| - o + k of each (prefix filtering, extended to k common
-    grams), so they agree on the hashes of those. Pairs of names that can do
-    with fewer than 3 shared grams meet on one, with 3 on three; with more, on
-    four out of the keys of three (two grams, three keys where a name is longer
-    than ``SHORT_NAME``)."""
-    lengths = ordered.select("side", "n").distinct().collect()        # a few dozen lengths of names
-    plan = _length_plan(*[sorted(r.n for r in lengths if r.side == side) for side in "lr"], t, q)
-    table = ordered.sparkSession.createDataFrame(plan, "side string, n int, least int, class string, keep int")
-    rows = ordered.join(F.broadcast(table), ["side", "n"]).select("side", "s", "n", "least", "class", F.slice("grams", 1, F.col("keep")).alias("x"))
-    parts = [_combinations(rows.where(F.col("class").isin([c for c, v in CLASSES.items() if v[0] == k])), k)
-             for k in sorted({CLASSES[r[3]][0] for r in plan} or {1})]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
+def _all(left: B.Side, right: B.Side, li: np.ndarray, ri: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return li, ri, np.zeros(len(li))
 
-def _places_fit(t: float) -> Column:
-    """Whether shared grams can be kept by one alignment that reaches t: what it
-    deletes and inserts bounds how far a gram moves, and grams stay in order.
-    Grams that repeat in a name (place 0) always fit."""
-    c = F.ceil((F.col("ln") + F.col("rn")) * F.lit(t / 200.0) - F.lit(1e-9))
-    pairs = [(F.shiftright("lat", 8 * k) % 256, F.shiftright("rat", 8 * k) % 256) for k in range(3)]
-    ok = F.lit(True)
-    for x, y in pairs:
-        ok = ok & ((x == 0) | (y == 0) | ((y - x >= c - F.col("ln")) & (y - x <= F.col("rn") - c)))
-    for (x, y), (u, v) in ((pairs[0], pairs[1]), (pairs[1], pairs[2]), (pairs[0], pairs[2])):
-        ok = ok & ((x == 0) | (y == 0) | (u == 0) | (v == 0) | ((x < u) == (y < v)))
-    return ok
 
+def _pairs_of(met) -> pa.Table:
+    found = [(left.s.strings(li), right.s.strings(ri)) for left, right, li, ri, _ in met]
+    return pa.table({k: pa.array([x for part in found for x in part[i]], pa.string()) for i, k in enumerate(("ls", "rs"))})
 
-def candidate_pairs(ordered: DataFrame, t: float, q: int = 2) -> DataFrame:
+
+#: Names a shard of the join is made for; one task takes a few shards.
+SHARD_NAMES = 60_000
+
+
+def candidate_pairs(ordered: Ordered, t: float, q: int = 2, judge=_all, give=_pairs_of, schema: str = "ls string, rs string") -> DataFrame:
     """(ls, rs): every pair of a left and a right string that can have Indel
-    ratio >= t, of ``_gram_order`` rows, by an equi-join on ``_keys``."""
-    keys = _keys(ordered, t, q)
-    left = keys.where("side = 'l'").select(F.col("s").alias("ls"), F.col("n").alias("ln"), F.col("least").alias("lo"), "class", "key", F.col("at").alias("lat"))
-    right = keys.where("side = 'r'").select(F.col("s").alias("rs"), F.col("n").alias("rn"), F.col("least").alias("ro"), "class", "key", F.col("at").alias("rat"))
-    least = F.least("lo", "ro")
-    kind = F.when(least < 3, "one").when(least == 3, "three").when(F.greatest("ln", "rn") > SHORT_NAME, "long").otherwise("many")
-    same = F.when(F.col("class") == "many", CLASSES["many"][1]).when(F.col("class") == "long", CLASSES["long"][1]).otherwise(1)
-    return (left.join(right, ["class", "key"]).where(_places_fit(t) & (F.col("class") == kind))
-            .groupBy("ls", "rs", "class").agg(F.count(F.lit(1)).alias("keys")).where(F.col("keys") >= same).select("ls", "rs"))
+    ratio >= t, each once. Names go to the shards of the grams that can be the
+    first of a key they share with a partner (``B.copies``) and meet there in
+    memory (``B.meet``). ``judge`` keeps some of the pairs with a score, and
+    ``give`` turns what is kept into rows of ``schema``."""
+    spark, rank = ordered.packed.sparkSession, ordered.rank
+    plan = B.plan_of(ordered.lengths["l"], ordered.lengths["r"], t, q)
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-ordered.names // 5_000))
+    shards = max(tasks, -(-ordered.names // SHARD_NAMES), 1)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[B.Texts]] = {"l": [], "r": []}
+
+        def out(side):
+            t, held[side] = B.joined(held[side]), []
+            if side == "l":
+                t = B.texts(list(dict.fromkeys(t.column(0, 2).strings())))
+            for shard, blob in B.copies(t, side, 1 if side == "l" else 2, plan, rank, shards):
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([side]), pa.array([blob])], ["shard", "kind", "blob"])
+
+        for b in batches:
+            for side, blob in zip(*(c.to_pylist() for c in b.columns)):
+                held[side].append(B.unpack(blob))
+                if sum(len(x.length) for x in held[side]) >= 2 * B.BLOCK:
+                    yield from out(side)
+        for side in "lr":
+            if held[side]:
+                yield from out(side)
+
+    def join(rows: pa.Table) -> pa.Table:
+        sides = {"l": [], "r": []}
+        for side, blob in zip(rows["kind"].to_pylist(), rows["blob"].to_pylist()):
+            sides[side].append(blob)
+        return give(B.meet(rows["shard"][0].as_py(), shards, sides["l"], sides["r"], 2, plan, rank, judge))
+
+    dealt = ordered.packed.select("kind", "blob").mapInArrow(deal, "shard int, kind string, blob binary")
+    # a number of partitions of its own: blocks are small, what they take to join is not
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(join, schema)
 
 
 def _scorer(least: float):
@@ -271,9 +246,125 @@ def _scorer(least: float):
     return run
 
 
+def _judge(least: float):
+    """Keeps pairs with an Indel ratio of ``least`` or more."""
+    def run(left: B.Side, right: B.Side, li: np.ndarray, ri: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        (x, x_at), (y, y_at) = np.unique(li, return_inverse=True), np.unique(ri, return_inverse=True)
+        lcs = _lcs_of(left.s.take(x), right.s.take(y), x_at, y_at)
+        score = 200.0 * lcs / np.maximum(left.s.length[li] + right.s.length[ri], 1)
+        keep = score >= least
+        return li[keep], ri[keep], score[keep]
+    return run
+
+
 def _levels(t: float) -> list[float]:
     """Thresholds tried one after the other down to t."""
-    return [t + (100.0 - t) * f for f in (0.7, 0.4, 0.0)] if t > BIGRAMS_FROM else [t]
+    return [t + (100.0 - t) * f for f in (0.4, 0.0)] if t > BIGRAMS_FROM else [t]
+
+
+#: Rows of the best-match join: kind l, blocks of (s, name) of left names
+#: without a partner yet; r, of (s, name) of right names; f and p, of (left
+#: name, right name) and (left s, right name), with their scores.
+BLOCKS = "shard int, kind string, blob binary, scores binary"
+_BLOCKS = pa.schema([("shard", pa.int32()), ("kind", pa.string()), ("blob", pa.binary()), ("scores", pa.binary())])
+
+
+def _blocks(rows: list[tuple[int, str, bytes, bytes | None]]) -> pa.Table:
+    return pa.table([pa.array([r[i] for r in rows], _BLOCKS.types[i]) for i in range(4)], schema=_BLOCKS)
+
+
+def _laid(shard: int, kind: str, rows: list[tuple]) -> list[tuple[int, str, bytes, bytes | None]]:
+    """Rows of strings, with a score at the end for kinds f and p, as blocks."""
+    scored = kind in "fp"
+    return [(shard, kind, B.packed([r[:2] for r in x]), B.press(np.array([r[2] for r in x]).tobytes()) if scored else None) for x in B.slices(rows, B.BLOCK // 4)]
+
+
+def _rows(blob: bytes, scores: bytes | None = None) -> list[tuple]:
+    x = B.unpack(blob).strings()
+    return list(zip(x[0::2], x[1::2], *([np.frombuffer(B.unpress(scores)).tolist()] if scores is not None else [])))
+
+
+def _by_kind(table: pa.Table) -> tuple[int, dict[str, list[tuple]]]:
+    """(shard, rows by kind) of the blocks of a shard."""
+    out: dict[str, list[tuple]] = {"l": [], "r": [], "p": []}
+    for kind, blob, scores in zip(table["kind"].to_pylist(), table["blob"].to_pylist(), table["scores"].to_pylist()):
+        out[kind].extend(_rows(blob, scores))
+    return table["shard"][0].as_py(), out
+
+
+def _deal_names(parts: int):
+    """Rows (side, s, name) to blocks by their s, each row of a block once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str, str], None] = {}
+
+        def out():
+            rows, found = list(held), []
+            held.clear()
+            home = B.homes(B.texts([s for _, s, _ in rows]), parts).tolist()
+            dealt: dict[tuple[int, str], list[tuple[str, str]]] = {}
+            for (side, s, name), shard in zip(rows, home):
+                dealt.setdefault((shard, side), []).append((s, name))
+            for (shard, side), x in dealt.items():
+                found += _laid(shard, side, x)
+            return _blocks(found).to_batches()
+
+        for b in batches:
+            held.update(dict.fromkeys(zip(*(c.to_pylist() for c in b.columns))))
+            if len(held) >= B.BLOCK:
+                yield from out()
+        if held:
+            yield from out()
+    return run
+
+
+def _equal(t: float):
+    """Left names whose s a right name has, found; the others; right names, the smallest of each s."""
+    def run(table: pa.Table) -> pa.Table:
+        shard, rows = _by_kind(table)
+        right: dict[str, str] = {}
+        for s, name in rows["r"]:
+            if s not in right or name < right[s]:
+                right[s] = name
+        left = dict.fromkeys(rows["l"])
+        same = [(name, right[s], 100.0) for s, name in left if s in right] if 100.0 >= t else []
+        return _blocks(_laid(shard, "f", same) + _laid(shard, "l", [x for x in left if x[0] not in right]) + _laid(shard, "r", list(right.items())))
+    return run
+
+
+def _best(table: pa.Table) -> pa.Table:
+    """The best of the scored pairs of each left name, and the left names without one."""
+    shard, rows = _by_kind(table)
+    best: dict[str, tuple[float, str]] = {}
+    for s, name, score in rows["p"]:
+        if s not in best or (-score, name) < best[s]:
+            best[s] = (-score, name)
+    found = [(name, best[s][1], -best[s][0]) for s, name in rows["l"] if s in best]
+    return _blocks(_laid(shard, "f", found) + _laid(shard, "l", [x for x in rows["l"] if x[0] not in best]))
+
+
+def _scored(parts: int):
+    """Judged pairs as blocks by the shard of their left s."""
+    def run(met) -> pa.Table:
+        dealt: dict[int, list[tuple[str, str, float]]] = {}
+        for left, right, li, ri, score in met:
+            s = left.s.take(li)
+            for shard, *row in zip(B.homes(s, parts).tolist(), s.strings(), right.t.column(1, 2).strings(ri), score.tolist()):
+                dealt.setdefault(shard, []).append(tuple(row))
+        return _blocks([x for shard, rows in dealt.items() for x in _laid(shard, "p", rows)])
+    return run
+
+
+def _found_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for blob, scores in zip(*(c.to_pylist() for c in b.columns)):
+            x = _rows(blob, scores)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*x), (pa.string(), pa.string(), pa.float64()))], ["left_name", "right_name", "score"])
+
+
+def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for blob in b.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array([name for _, name in _rows(blob)], pa.string())], ["name"])
 
 
 def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: str,
@@ -290,48 +381,46 @@ def best_match(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     names with a partner leave, because any partner not looked at is worse. So
     near-equal names never meet the loose bound of the last threshold, under
     which only names without a good partner are left. No step loses a pair that
-    reaches the threshold."""
+    reaches the threshold.
+
+    Between the steps names lie in packed blocks by a hash of their sorted
+    tokens, where equal names meet and the best of a name's pairs is taken."""
     from strataforge.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(left.sparkSession)
+    spark = left.sparkSession
+    ensure_checkpoint_dir(spark)
     key = match_key if normalise else (lambda c: _c(c))
     t = float(threshold)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def names(df, col, side):
         x = F.col("name")
-        return (df.select(F.col(col).cast("string").alias("name")).where(x.isNotNull()).distinct()
-                .select("name", sort_tokens(key(x)).alias("s")).withColumn("side", F.lit(side)))
-
-    ln = names(left, left_name, "l").checkpoint(eager=True)
-    right_names = names(right, right_name, "r").groupBy("s").agg(F.min("name").alias("right_name")).checkpoint(eager=True)
-    todo = ln.select("s").distinct()
-    found = todo.join(right_names, "s").select(F.col("s").alias("ls"), "right_name", F.lit(100.0).alias("score"))
-    found = found.where(F.lit(100.0 >= t)).checkpoint(eager=True)
-    todo = todo.join(found, todo.s == found.ls, "left_anti")
+        return df.select(F.col(col).cast("string").alias("name")).where(x.isNotNull()).select(F.lit(side).alias("side"), sort_tokens(key(x)).alias("s"), "name")
+
+    dealt = names(left, left_name, "l").unionAll(names(right, right_name, "r")).mapInArrow(_deal_names(parts), BLOCKS)
+    state = dealt.groupBy("shard").applyInArrow(_equal(t), BLOCKS).checkpoint(eager=True)
     q = 2 if t > BIGRAMS_FROM else 1
-    both = (todo.select(F.lit("l").alias("side"), "s").unionAll(right_names.select(F.lit("r").alias("side"), "s"))
-            .withColumn("n", F.length("s")).where(F.col("n") > 0))
-    ordered = _gram_order(both, q).checkpoint(eager=True)
-    out = [found]
-    for level in _levels(max(t, LEAST)) if t < 100 else []:
-        pairs = candidate_pairs(ordered, level, q)
-        scored = pairs.mapInArrow(_scorer(level), "ls string, rs string, score double").join(right_names, F.col("rs") == F.col("s"))
-        best = (scored.groupBy("ls").agg(F.min_by(F.struct("right_name", "score"), F.struct((-F.col("score")).alias("m"), "right_name")).alias("b"))
-                .select("ls", "b.right_name", "b.score").checkpoint(eager=True))
-        out.append(best)
-        if level > t:
-            ordered = ordered.join(best, (F.col("side") == "l") & (F.col("s") == F.col("ls")), "left_anti").checkpoint(eager=True)
-            if ordered.where("side = 'l'").isEmpty():
-                break
-    if t <= 0:      # names that share nothing with any partner have ratio 0 with all
-        first = right_names.agg(F.min("right_name").alias("m")).first().m
-        rest = ordered.where("side = 'l'").select("s").unionAll(todo.where(F.length("s") == 0).select("s"))
-        if first is not None:
-            out.append(rest.select(F.col("s").alias("ls"), F.lit(first).alias("right_name"), F.lit(0.0).alias("score")))
+    kind = F.col("kind")
+    todo, others, out = state.where(kind == "l"), state.where(kind == "r"), [state.where(kind == "f")]
+    ordered = _gram_order(todo.unionAll(others), q)
+    for level in _levels(max(t, LEAST)) if t < 100 and ordered.lengths["l"] and ordered.lengths["r"] else []:
+        pairs = candidate_pairs(ordered, level, q, _judge(level), _scored(parts), BLOCKS)
+        state = pairs.unionAll(todo).groupBy("shard").applyInArrow(_best, BLOCKS).checkpoint(eager=True)
+        todo = state.where(kind == "l")
+        out.append(state.where(kind == "f"))
+        if todo.isEmpty():
+            break
+        ordered = ordered._replace(packed=todo.unionAll(others))
     every = out[0]
     for part in out[1:]:
-        every = every.unionByName(part)
-    return ln.join(every, F.col("s") == F.col("ls")).select(F.col("name").alias("left_name"), "right_name", "score")
+        every = every.unionAll(part)
+    every = every.select("blob", "scores").mapInArrow(_found_rows, "left_name string, right_name string, score double")
+    if t <= 0:      # names that share nothing with any partner have ratio 0 with all
+        cells = lambda df: df.select("blob", "scores").mapInArrow(_name_rows, "name string")
+        first = cells(others).agg(F.min("name").alias("m")).first().m
+        if first is not None:
+            every = every.unionAll(cells(todo).select(F.col("name").alias("left_name"), F.lit(first).alias("right_name"), F.lit(0.0).alias("score")))
+    return every
 
 
 def lookup_ci(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, order_col: str,

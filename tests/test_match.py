@@ -100,3 +100,69 @@ def test_candidates_grow_about_linearly(spark):
     (small, a), (large, b) = pairs(5500), pairs(11000)
     assert large >= 10_000 and large == 2 * small
     assert a >= small and b < 3 * a and b < 12 * large
+
+
+def _files(spark):
+    """Bytes of shuffle and checkpoint files."""
+    import os
+    from urllib.parse import urlparse
+
+    jvm, checkpoints = spark.sparkContext._jvm, urlparse(spark.sparkContext.getCheckpointDir()).path
+    shuffled = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [shuffled.apply(i).getPath() for i in range(shuffled.size())] + [f"{d}/{f}" for d, _, names in os.walk(checkpoints) for f in names]
+    return {f: os.path.getsize(f) for f in files if os.path.exists(f)}
+
+
+def test_names_take_few_bytes_of_disk(spark):
+    """Keys by which names meet are made inside the tasks: what is shuffled and
+    checkpointed is a few packed copies of a name, not a row for each key."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(5, 9)))
+    right = sorted({f"{word()} {word()}" for _ in range(3000)})
+    left = [x[:k % 7] + "v" + x[k % 7 + 1:] if k % 3 else f"{word()} {word()}" for k, x in enumerate(right)]
+    frame = lambda names: spark.createDataFrame([(x,) for x in names], "n string")
+    before = _files(spark)
+    got = match.best_match(frame(left), frame(right), "n", "n").count()
+    wrote = sum(n for f, n in _files(spark).items() if f not in before)
+    assert got >= len(right) * 0.5
+    assert wrote < 500 * (len(left) + len(right)), wrote
+
+
+@pytest.mark.parametrize("pairs,side", [(2_000_000, 100_000), (50, 7)])
+def test_each_pair_meets_once(monkeypatch, pairs, side):
+    """Candidates hold all pairs that reach the ratio, each pair once over all
+    shards, also when names are looked up a few at a time."""
+    from strataforge.operators import name_blocks as B
+
+    for name, value in (("PAIRS", pairs), ("LEFT", side), ("RIGHT", side), ("KEYS", side)):
+        monkeypatch.setattr(B, name, value)
+    rng = random.Random(2)
+    for letters, lo, hi, t, q in (("abcd", 3, 12, 80.0, 2), ("abcdefgh𝄞é", 8, 20, 75.0, 2), ("abcdefghijkl", 60, 75, 71.0, 2), ("abc", 1, 6, 60.0, 1)):
+        right = _names(rng, 40, letters, lo, hi)
+        left = sorted({x[:3] + x[4:] for x in right[:20]} | {"z" + x[1:] for x in right[20:30]} | set(_names(rng, 20, letters, lo, hi)))
+        x, y = B.texts(left), B.texts([v for s in right for v in (s, s.upper())])
+        rank = B.ranked(B.counted(x, q) + B.counted(y.column(0, 2), q))
+        plan = B.plan_of(*[sorted({len(s) for s in z if s}) for z in (left, right)], t, q)
+        met, shards = [], 5
+        dealt = [{}, {}]
+        for to, (text, kind, columns) in zip(dealt, ((x, "l", 1), (y, "r", 2))):
+            for shard, blob in B.copies(text, kind, columns, plan, rank, shards):
+                to.setdefault(shard, []).append(blob)
+        for shard in range(shards):
+            for a, b, li, ri, score in B.meet(shard, shards, dealt[0].get(shard, []), dealt[1].get(shard, []), 2, plan, rank, match._all):
+                met += zip(a.s.strings(li), b.s.strings(ri))
+                assert b.t.column(1, 2).strings(ri) == [s.upper() for s in b.s.strings(ri)]
+        assert len(met) == len(set(met))
+        reach = {(a, b) for a in left for b in right if 200.0 * _lcs(a, b) / max(len(a) + len(b), 1) >= t}
+        assert reach and reach <= set(met)
+
+
+def test_blocks_of_texts():
+    from strataforge.operators import name_blocks as B
+
+    for some in ([], [""], ["", "a", "é𝄞", "b" * 300, ""], ["x"] * 5):
+        t = B.unpack(B.pack(B.texts(some)))
+        assert t.strings() == some
+        assert t.strings(B.np.arange(len(some))[::-1]) == some[::-1]
+    h = B.homes(B.texts(["ab", "ab", "ba", ""]), 7)
+    assert h[0] == h[1] and 0 <= h.min() and h.max() < 7
