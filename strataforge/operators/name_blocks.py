@@ -26,8 +26,9 @@ import pyarrow as pa
 
 #: Names packed or dealt at a time; left names indexed and right names looked up at a time.
 BLOCK, LEFT, RIGHT = 200_000, 100_000, 40_000
-#: Codes of a table of texts, pairs of names, and keys made of one gram, looked at at a time.
-CODES, PAIRS, KEYS = 4_000_000, 2_000_000, 100_000
+#: Codes of a table of texts, pairs of names and likely ones among them, and
+#: keys made of one gram, looked at at a time (in reach of a core's cache).
+CODES, PAIRS, LIKELY, KEYS = 4_000_000, 1 << 16, 1 << 20, 1 << 16
 #: Buckets that grams are counted in, and bits of a gram's hash.
 BUCKETS, HASH_BITS = 1 << 13, 48
 #: Most grams in a key, and most keys of three or more grams a name may have.
@@ -432,15 +433,18 @@ def meet(shard: int, shards: int, lefts: list[bytes], rights: list[bytes], colum
 def _met(left: Side, index: dict[int, Index], low: int, rt: Texts, columns: int, rank: np.ndarray, shard: int, shards: int, judge: Judge):
     """``meet`` of indexed left and some right names, fewer where too many pairs meet at a time."""
     right = Side(rt, "r", columns, left.plan, rank)
-    n, found = len(right.s.length), np.zeros(0, np.int64)
+    n, found, more = len(right.s.length), np.zeros(0, np.int64), []
     for k, x in index.items():
         for li, ri in x.pairs(right.keys(k, shard, shards, low, x)):
             li, ri = _likely(left, right, k, li, ri)
-            found = np.union1d(found, li * n + ri)
-            if len(found) > PAIRS and n > 1:
+            more.append(li * n + ri)
+            if sum(map(len, more)) > LIKELY:
+                found, more = np.unique(np.concatenate([found, *more])), []
+            if len(found) > LIKELY and n > 1:
                 for rows in np.array_split(np.arange(n * columns).reshape(n, columns), 2):
                     yield from _met(left, index, low, rt.take(rows.ravel()), columns, rank, shard, shards, judge)
                 return
+    found = np.unique(np.concatenate([found, *more]))
     li, ri, score = judge(left, right, *np.divmod(found, max(n, 1)))
     mine = _owned(left, right, li, ri, shard, shards)
     if mine.any():

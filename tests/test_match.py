@@ -128,13 +128,13 @@ def test_names_take_few_bytes_of_disk(spark):
     assert wrote < 500 * (len(left) + len(right)), wrote
 
 
-@pytest.mark.parametrize("pairs,side", [(2_000_000, 100_000), (50, 7)])
+@pytest.mark.parametrize("pairs,side", [(1 << 20, 100_000), (50, 7)])
 def test_each_pair_meets_once(monkeypatch, pairs, side):
     """Candidates hold all pairs that reach the ratio, each pair once over all
     shards, also when names are looked up a few at a time."""
     from strataforge.operators import name_blocks as B
 
-    for name, value in (("PAIRS", pairs), ("LEFT", side), ("RIGHT", side), ("KEYS", side)):
+    for name, value in (("PAIRS", pairs), ("LIKELY", pairs), ("LEFT", side), ("RIGHT", side), ("KEYS", side)):
         monkeypatch.setattr(B, name, value)
     rng = random.Random(2)
     for letters, lo, hi, t, q in (("abcd", 3, 12, 80.0, 2), ("abcdefgh𝄞é", 8, 20, 75.0, 2), ("abcdefghijkl", 60, 75, 71.0, 2), ("abc", 1, 6, 60.0, 1)):
